@@ -1,0 +1,10 @@
+"""Registered queries with their comparing SQL."""
+
+from __future__ import annotations
+
+
+def all_checks():
+    from demandframe.checks import cleaning  # noqa: F401
+    from demandframe.checks.registry import CHECKS
+
+    return dict(CHECKS)

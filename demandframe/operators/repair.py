@@ -160,6 +160,17 @@ def replace_exclusive_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.
 # ---- counts --------------------------------------------------------------------------------
 
 
+def computed_once(df: DataFrame, new: Mapping[str, Column]) -> DataFrame:
+    """``withColumns`` whose values are computed once per row.
+
+    Catalyst pushes a later filter below a projection by repeating the projected expressions in
+    it, which for chained repairs grows exponentially. A one-row ``inline`` stops that.
+    """
+    kept = [c for c in df.columns if c not in new]
+    made = df.select(*kept, F.inline(F.array(F.struct(*[e.alias(c) for c, e in new.items()]))))
+    return made.select(*df.columns, *[c for c in new if c not in df.columns])
+
+
 def whole_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Round half-even to integers, then drop the sign."""
     return df.withColumns({c: F.abs(fc.to_long_half_even(c)) for c in cols})
@@ -184,12 +195,13 @@ def _identity_branch(a: str, b: str, total: str) -> Column:
 def fix_identity(df: DataFrame, a: str, b: str, total: str) -> DataFrame:
     """Where a + b differs from total, recompute the largest of the three from the other two."""
     branch = F.coalesce(_identity_branch(a, b, total), F.lit("none"))
-    return df.withColumns(
+    return computed_once(
+        df,
         {
             a: F.when(branch == "a", F.col(total) - F.col(b)).otherwise(F.col(a)),
             b: F.when(branch == "b", F.col(total) - F.col(a)).otherwise(F.col(b)),
             total: F.when(branch == "total", F.col(a) + F.col(b)).otherwise(F.col(total)),
-        }
+        },
     )
 
 
