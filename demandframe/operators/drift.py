@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandframe.functions import columns as fc
-from demandframe.operators.lookup import compare_counts, one_row, stack_tables
+from demandframe.operators.lookup import attach_row, compare_counts, stack_tables
 from demandframe.operators.ordered import DEFAULT, Blocking, running_sums, sample_borders
 from demandframe.operators.profile import histogram, to_long
 from demandframe.operators.typing import columns_of_kind
@@ -243,8 +243,9 @@ def scenario_metrics(scenarios: DataFrame, y: str, yhat: str, scenario: str = "s
 
 def delta_vs_baseline(summary: DataFrame, baseline: DataFrame, digits: int | None = None) -> DataFrame:
     """Add delta_rmse, delta_mae, delta_r2 against a one-row baseline; optionally round for display."""
-    s = one_row(baseline.select("rmse", "mae", "r2"))
-    out = summary.withColumns({f"delta_{m}": F.col(m) - s.getField(m) for m in ("rmse", "mae", "r2")})
+    ready = attach_row(summary, baseline.select("rmse", "mae", "r2"))
+    deltas = {f"delta_{m}": F.col(m) - F.col("_stats").getField(m) for m in ("rmse", "mae", "r2")}
+    out = ready.withColumns(deltas).drop("_stats")
     if digits is None:
         return out
     shown = ["rmse", "mae", "r2", "delta_rmse", "delta_mae", "delta_r2"]

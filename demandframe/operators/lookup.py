@@ -33,10 +33,14 @@ def one_row(stats: DataFrame) -> Column:
     return stats.select(F.struct(*stats.columns).alias("s")).scalar()
 
 
+def attach_row(df: DataFrame, stats: DataFrame, name: str = "_stats") -> DataFrame:
+    """The one-row table as a struct column ``name``: one subquery, however often it is used."""
+    return df.withColumn(name, one_row(stats))
+
+
 def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
     """Attach every column of a one-row statistics table to every row."""
-    s = one_row(stats)
-    return df.withColumns({c: s.getField(c) for c in stats.columns})
+    return attach_row(df, stats).select(*df.columns, *[F.col("_stats").getField(c).alias(c) for c in stats.columns])
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], c: str, order: str, out: str) -> DataFrame:

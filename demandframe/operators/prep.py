@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandframe.functions import columns as fc
-from demandframe.operators.lookup import one_row
+from demandframe.operators.lookup import attach_row, join_summary, one_row
 from demandframe.operators.ordered import DEFAULT, Blocking
-from demandframe.operators.profile import modes, quantile_row
+from demandframe.operators.profile import modes, quantile_arrays, quantile_row
 from demandframe.operators.typing import columns_of_kind
 
 # A one-hot block wider than this is refused, not cut.
@@ -103,19 +103,20 @@ def _scaled(c: str | Column, lo: Column, hi: Column) -> Column:
 
 def minmax_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Scale by fitted statistics. Values outside the fitted range are not clipped; NULL stays NULL."""
-    s = one_row(stats)
-    return df.withColumns({c: _scaled(c, s.getField(f"{c}_min"), s.getField(f"{c}_max")) for c in cols})
+    s = F.col("_stats")
+    new = {c: _scaled(c, s.getField(f"{c}_min"), s.getField(f"{c}_max")) for c in cols}
+    return attach_row(df, stats).withColumns(new).drop("_stats")
 
 
 def minmax_invert(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Back to the original unit."""
-    s = one_row(stats)
+    s = F.col("_stats")
 
     def back(c: str) -> Column:
         lo, hi = s.getField(f"{c}_min"), s.getField(f"{c}_max")
         return F.col(c) * F.when(hi == lo, F.lit(1.0)).otherwise(hi - lo) + lo
 
-    return df.withColumns({c: back(c) for c in cols})
+    return attach_row(df, stats).withColumns({c: back(c) for c in cols}).drop("_stats")
 
 
 # ---- imputation ----------------------------------------------------------------------------
@@ -132,8 +133,8 @@ def median_fit(df: DataFrame, cols: Sequence[str], only_missing: bool = True, bl
 
 
 def impute_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFrame:
-    s = one_row(stats)
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), s.getField(c)) for c in cols})
+    new = {c: F.coalesce(F.col(c).cast("double"), F.col("_stats").getField(c)) for c in cols}
+    return attach_row(df, stats).withColumns(new).drop("_stats")
 
 
 def impute_median(
@@ -143,10 +144,7 @@ def impute_median(
     if stats_from == "train":
         fitted = median_fit(df.where(F.col(split_col) == train), cols, True, blocking)
         return impute_apply(df, fitted, cols)
-    from demandframe.operators.lookup import join_summary
-    from demandframe.operators.profile import _quantile_arrays
-
-    own = _quantile_arrays(df, cols, [0.5], [split_col], blocking)
+    own = quantile_arrays(df, cols, [0.5], [split_col], blocking)
     wide = own.groupBy(split_col).agg(*[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(f"_med_{c}") for c in cols])
     joined = join_summary(df, wide, [split_col])
     return joined.withColumns({c: F.coalesce(F.col(c).cast("double"), f"_med_{c}") for c in cols}).select(*df.columns)
@@ -158,9 +156,9 @@ def mode_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def impute_mode(df: DataFrame, cols: Sequence[str], train: DataFrame | None = None) -> DataFrame:
-    s = one_row(mode_fit(train if train is not None else df, cols))
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: F.coalesce(F.col(c), s.getField(c).cast(kinds[c])) for c in cols})
+    new = {c: F.coalesce(F.col(c), F.col("_stats").getField(c).cast(kinds[c])) for c in cols}
+    return attach_row(df, mode_fit(train if train is not None else df, cols)).withColumns(new).drop("_stats")
 
 
 # ---- learned one-hot -----------------------------------------------------------------------

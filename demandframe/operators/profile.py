@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandframe.operators.lookup import join_summary, one_row
+from demandframe.operators.lookup import attach_row, join_summary, one_row
 from demandframe.operators.ordered import DEFAULT, Blocking, running_sums, sample_borders
 
 # ``percentile`` keeps every distinct value of its group in one task; used up to this many rows.
@@ -44,7 +44,7 @@ def _ranked_quantiles(long: DataFrame, qs: Sequence[float], by: Sequence[str], b
     return found.select(*keys, F.array(*values).alias("q"))
 
 
-def _quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str], blocking: Blocking) -> DataFrame:
+def quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str], blocking: Blocking) -> DataFrame:
     long = to_long(df, cols, by)
     borders = sample_borders(long, "value", blocking)
     if borders.rows <= IN_TASK_ROWS and not borders.cuts:
@@ -55,7 +55,7 @@ def _quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by
 
 def quantile_row(df: DataFrame, cols: Sequence[str], qs: Sequence[float], blocking: Blocking = DEFAULT) -> DataFrame:
     """One row with an array of exact, linearly interpolated quantiles per column."""
-    arrays = _quantile_arrays(df, cols, qs, (), blocking)
+    arrays = quantile_arrays(df, cols, qs, (), blocking)
     return arrays.agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols])
 
 
@@ -66,7 +66,7 @@ def quantiles(
     if accuracy:
         arrays = to_long(df, cols, by).groupBy(*by, "column").agg(F.percentile_approx("value", list(qs), accuracy).alias("q"))
     else:
-        arrays = _quantile_arrays(df, cols, qs, by, blocking)
+        arrays = quantile_arrays(df, cols, qs, by, blocking)
     pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in qs]).alias("quantile"), F.col("q").alias("value"))
     return arrays.select(*by, "column", F.inline(pairs).alias("quantile", "value"))
 
@@ -81,7 +81,7 @@ def describe(df: DataFrame, cols: Sequence[str], blocking: Blocking = DEFAULT) -
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    arrays = _quantile_arrays(df, cols, [0.25, 0.5, 0.75], (), blocking)
+    arrays = quantile_arrays(df, cols, [0.25, 0.5, 0.75], (), blocking)
     q = F.col("q")
     return basic.join(arrays, "column", "left").select(
         "column", "count", "mean", "std", "min", q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), "max"
@@ -162,21 +162,21 @@ def shape_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return g.select("column", skew.alias("skewness"), kurt.alias("kurtosis"))
 
 
-def _any_outlier(df: DataFrame, cols: Sequence[str], k: float, blocking: Blocking) -> tuple[dict[str, Column], Column]:
+def _any_outlier(df: DataFrame, cols: Sequence[str], k: float, blocking: Blocking) -> tuple[DataFrame, dict[str, Column], Column]:
     from demandframe.operators.repair import _outside
 
-    s = one_row(quantile_row(df, cols, [0.25, 0.75], blocking))
-    flags = {c: _outside(c, s.getField(c), k) for c in cols}
+    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75], blocking))
+    flags = {c: _outside(c, F.col("_stats").getField(c), k) for c in cols}
     anywhere = F.lit(False)
     for f in flags.values():
         anywhere = anywhere | f
-    return flags, anywhere
+    return ready, flags, anywhere
 
 
 def outlier_profile(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
     """(column, n_out, pct) per column plus a row '*' for rows with at least one outlier."""
-    flags, anywhere = _any_outlier(df, cols, k, blocking)
-    one = df.agg(
+    ready, flags, anywhere = _any_outlier(df, cols, k, blocking)
+    one = ready.agg(
         F.count("*").alias("_n"), *[F.count_if(f).alias(c) for c, f in flags.items()], F.count_if(anywhere).alias("_any")
     )
     long = one.unpivot(["_n"], [*cols, "_any"], "column", "n_out")
@@ -185,8 +185,8 @@ def outlier_profile(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking
 
 
 def drop_outlier_rows(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
-    _, anywhere = _any_outlier(df, cols, k, blocking)
-    return df.where(~anywhere)
+    ready, _, anywhere = _any_outlier(df, cols, k, blocking)
+    return ready.where(~anywhere).drop("_stats")
 
 
 def value_counts(df: DataFrame, c: str) -> DataFrame:
@@ -228,7 +228,7 @@ def box_stats(df: DataFrame, c: str, by: Sequence[str] = (), k: float = 1.5, blo
         q = one_row(quantile_row(x, ["x"], [0.25, 0.5, 0.75], blocking)).getField("x")
         rows = x.withColumn("q", q)
     else:
-        arrays = _quantile_arrays(x, ["x"], [0.25, 0.5, 0.75], names, blocking).drop("column")
+        arrays = quantile_arrays(x, ["x"], [0.25, 0.5, 0.75], names, blocking).drop("column")
         keyed = x.withColumn("_group", F.struct(*names))
         rows = join_summary(keyed, arrays.select(F.struct(*names).alias("_group"), "q"), ["_group"])
     q1, q2, q3 = (F.col("q")[i] for i in range(3))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandframe.functions import columns as fc
-from demandframe.operators.lookup import join_summary, lookup_first, one_row
+from demandframe.operators.lookup import attach_row, join_summary, lookup_first
 from demandframe.operators.ordered import DEFAULT, Blocking, fill_next_valid
 from demandframe.operators.profile import quantile_row
 
@@ -103,14 +103,16 @@ def _outside(c: str, q: Column, k: float) -> Column:
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
     """(column, q1, q3, iqr, lo, hi, n_out, pct); pct is over all rows, NULLs are no outliers."""
-    s = one_row(quantile_row(df, cols, [0.25, 0.75], blocking))
-    quarter = {c: s.getField(c) for c in cols}
-    counted = df.agg(
-        F.count("*").alias("_n"), *[F.count_if(_outside(c, quarter[c], k)).alias(f"_out_{i}") for i, c in enumerate(cols)]
+    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75], blocking))
+    s = F.col("_stats")
+    counted = ready.agg(
+        F.count("*").alias("_n"),
+        F.first(s).alias("_stats"),
+        *[F.count_if(_outside(c, s.getField(c), k)).alias(f"_out_{i}") for i, c in enumerate(cols)],
     )
     rows = F.array(
         *[
-            F.struct(F.lit(c).alias("column"), quarter[c].alias("q"), F.col(f"_out_{i}").alias("n_out"), F.col("_n").alias("n"))
+            F.struct(F.lit(c).alias("column"), s.getField(c).alias("q"), F.col(f"_out_{i}").alias("n_out"), F.col("_n").alias("n"))
             for i, c in enumerate(cols)
         ]
     )
@@ -130,8 +132,9 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blo
 
 def iqr_flag(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
     """Add ``<column>_outlier`` 0/1 flags."""
-    s = one_row(quantile_row(df, cols, [0.25, 0.75], blocking))
-    return df.withColumns({f"{c}_outlier": _outside(c, s.getField(c), k).cast("int") for c in cols})
+    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75], blocking))
+    flags = {f"{c}_outlier": _outside(c, F.col("_stats").getField(c), k).cast("int") for c in cols}
+    return ready.withColumns(flags).drop("_stats")
 
 
 def replace_exclusive_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
@@ -140,7 +143,8 @@ def replace_exclusive_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.
     Fences and medians come from one statistics pass over the unchanged columns. For integer
     columns the median is rounded half-even.
     """
-    s = one_row(quantile_row(df, cols, [0.25, 0.75, 0.5], blocking))
+    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75, 0.5], blocking))
+    s = F.col("_stats")
     kinds = {f.name: f.dataType for f in df.schema.fields}
     outside = {c: _outside(c, s.getField(c), k) for c in cols}
     median = {}
@@ -154,7 +158,7 @@ def replace_exclusive_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.
             if other != c:
                 alone = alone & ~outside[other]
         fixed[c] = F.when(alone, median[c]).otherwise(F.col(c))
-    return df.withColumns(fixed)
+    return ready.withColumns(fixed).drop("_stats")
 
 
 # ---- counts --------------------------------------------------------------------------------
@@ -217,12 +221,17 @@ def drop_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(~bad)
 
 
-def repair_counts(df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
-    """The whole count step: integers, outliers, fill, identity, then rows that cannot be saved go."""
+def repair_count_values(df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
+    """Counts made whole, single outliers replaced, gaps filled, identity restored; no row is dropped."""
     members = [a, b, total]
     df = replace_exclusive_outliers(whole_counts(df, members), members, k, blocking)
-    df = fix_identity(fill_by_identity(df, a, b, total), a, b, total)
-    return drop_negative(drop_incomplete(df, members), members)
+    return fix_identity(fill_by_identity(df, a, b, total), a, b, total)
+
+
+def repair_counts(df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
+    """The whole count step: repaired values, then rows that cannot be saved go."""
+    members = [a, b, total]
+    return drop_negative(drop_incomplete(repair_count_values(df, a, b, total, k, blocking), members), members)
 
 
 def cleaning_report(df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from demandframe.operators import repair as r
 from demandframe.operators.ordered import DEFAULT, Blocking
 from demandframe.operators.typing import coerce_numeric, parse_date, to_nullable_int
-from demandframe.sources.tables import read_csv_text, require_rows, write_table
+from demandframe.sources.tables import durable, read_csv_text, require_rows, write_table
 
 # Public holidays of 2011 and 2012.
 HOLIDAYS = (
@@ -60,20 +60,25 @@ def typed(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
 
 
 def clean(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
-    """All repair steps in their order. Working days use the holiday column before it is replaced."""
+    """All repair steps. Working days use the holiday column before it is replaced.
+
+    Fills and donors look at every row, so rows are dropped only after them; count values depend on
+    nothing else and are repaired first, which lets every statistic read the typed input directly.
+    The deduplicated rows are written once (reliable checkpoint): the two steps after it both need
+    them twice.
+    """
     n = rules
-    df = typed(df, n)
+    df = r.drop_columns(typed(df, n), n.unused)
+    df = r.repair_count_values(df, *n.counts, k=n.outlier_width, blocking=n.blocking)
     df = r.repair_from_group(df, n.season, (1, 2, 3, 4), [n.date], n.order)
     df = r.calendar_repairs(df, n.date, n.year, n.month, n.workingday, n.weekday, n.holiday, n.year_codes)
     df = r.bound_and_fill(df, {m: n.measure_limit for m in n.measures}, n.order, blocking=n.blocking)
-    df = r.drop_columns(df, n.unused)
-    df = r.repair_counts(df, *n.counts, k=n.outlier_width, blocking=n.blocking)
+    df = r.drop_negative(r.drop_incomplete(df, n.counts), n.counts)
     df = r.calendar_flag(df, n.date, n.holidays, n.holiday)
     keys = [n.date, n.season, n.year, n.month, n.hour, n.holiday, n.weekday, n.workingday]
-    df = r.dedupe_keep_first(df, keys, n.order)
-    df = r.bound_to_null(df, {n.hour: n.hour_limit})
-    df = r.resequence_group(df, n.date, n.hour, n.order)
+    df = durable(r.dedupe_keep_first(df, keys, n.order))
     df = r.bound_and_fill(df, {n.condition: n.condition_limit}, n.order, blocking=n.blocking)
+    df = r.resequence_group(r.bound_to_null(df, {n.hour: n.hour_limit}), n.date, n.hour, n.order)
     return df.withColumn(n.holiday, df[n.holiday].cast("bigint"))
 
 
