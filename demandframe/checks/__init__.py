@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+AREAS = ("cleaning", "features", "profiling", "monitoring", "forecasting", "learning")
+
 
 def all_checks():
-    from demandframe.checks import cleaning  # noqa: F401
     from demandframe.checks.registry import CHECKS
 
+    for area in AREAS:
+        import_module(f"demandframe.checks.{area}")
     return dict(CHECKS)
