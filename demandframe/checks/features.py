@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -201,20 +202,31 @@ def _(t: Tables) -> DataFrame:
     return rounded(model.prepared(x).select("o_orderkey", *model.feature_names()))
 
 
-@check("feature_vector")
+@check(
+    "feature_vector",
+    f"""WITH x AS ({plain(PREP_ORDERS)}), s AS (SELECT quantile_cont(price, 0.5) AS m_price, min(price) AS lo_price, max(price) AS hi_price,
+               min(cust) AS lo_cust, max(cust) AS hi_cust FROM x)
+        SELECT o_orderkey, round((coalesce(price, m_price) - lo_price) / (hi_price - lo_price), 6) AS price, {_scaled_sql('cust')}, CAST(mnth AS DOUBLE) AS mnth,
+               {', '.join(f"""CAST(priority = '{p}' AS DOUBLE) AS "priority_{p}" """ for p in [*PRIORITIES[1:], 'ZZ'])} FROM x, s""",
+)
 def _(t: Tables) -> DataFrame:
-    """The same model as a vector column, as a regressor reads it."""
+    """The same model as a vector column, as a regressor reads it, taken apart again by name."""
     x = prep.ColumnDropper(columns=["o_orderstatus", "not_there"]).transform(t.view(PREP_ORDERS))
     num, cat, rest = prep.feature_lists(x, ["price", "cust", "gone"], ["priority"], "o_orderkey")
     model = prep.TablePrep(numeric=num, categorical=cat, passthrough=rest).fit(x)
+    values = vector_to_array("features")
     made = model.transform(x)
-    return made.select("o_orderkey", F.col("features").cast("string").alias("features"))
+    return rounded(made.select("o_orderkey", *[values[i].alias(n) for i, n in enumerate(model.feature_names())]))
 
 
-@check("label_and_features")
+@check(
+    "label_and_features",
+    "SELECT l_orderkey, l_linenumber, l_extendedprice AS label, l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem",
+)
 def _(t: Tables) -> DataFrame:
-    x = prep.xy(t.lineitem.select("l_quantity", "l_discount", "l_tax", "l_extendedprice"), "l_extendedprice")
-    return x.select("label", F.col("features").cast("string").alias("features"))
+    x = prep.xy(t.lineitem, "l_extendedprice", ["l_quantity", "l_discount", "l_tax"])
+    values = vector_to_array("features")
+    return x.select("l_orderkey", "l_linenumber", "label", *[values[i].alias(f"f{i}") for i in range(3)])
 
 
 # ---- joins and sets ------------------------------------------------------------------------

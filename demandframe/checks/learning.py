@@ -1 +1,407 @@
-"""To be filled."""
+"""Models, search, scoring, storage."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from demandframe.checks.cleaning import CLEAN_SQL, EVENT_RULES, RAW_EVENTS
+from demandframe.checks.features import split_sql
+from demandframe.checks.monitoring import requests
+from demandframe.checks.registry import Tables, check, plain, rounded
+from demandframe.operators import drift, models, prep, scoring
+from demandframe.operators.metrics import metrics_by_split
+from demandframe.operators.ordered import Blocking
+from demandframe.plans import clean, monitor, training
+from demandframe.sources import tables as io
+from demandframe.streaming.scoring import score_stream
+
+# ---- linear family: one or two features have closed forms ----------------------------------
+
+PRICED = "SELECT l_orderkey, l_linenumber, l_extendedprice / 1000 AS y, l_quantity AS q, l_discount * 100 AS d FROM {lineitem}"
+MOMENTS = f"""m AS (SELECT count(*) AS n, avg(y) AS my, avg(q) AS mq, avg(d) AS md, covar_pop(y, q) AS cyq, covar_pop(y, d) AS cyd, covar_pop(q, d) AS cqd,
+                     var_pop(q) AS vq, var_pop(d) AS vd, sum(q * y) AS sqy, sum(q * q) AS sqq FROM ({plain(PRICED)}))"""
+
+
+def _terms(slopes: dict[str, str], intercept: str, digits: int = 5) -> str:
+    rows = [f"SELECT 'Intercept' AS term, round({intercept}, {digits}) AS coefficient FROM b"]
+    rows += [f"SELECT '{n}', round({e}, {digits}) FROM b" for n, e in slopes.items()]
+    return " UNION ALL ".join(rows)
+
+
+def _coefficients(t: Tables, name: str, features: list[str], params: dict | None = None) -> DataFrame:
+    model = models.fit(name, t.view(PRICED), "y", features, params)
+    return rounded(models.coefficients(model, features, t.spark), 5)
+
+
+@check(
+    "linear_two_features",
+    f"""WITH {MOMENTS}, b AS (SELECT *, (cyq * vd - cyd * cqd) / (vq * vd - cqd * cqd) AS bq, (cyd * vq - cyq * cqd) / (vq * vd - cqd * cqd) AS bd FROM m)
+        {_terms({'q': 'bq', 'd': 'bd'}, 'my - bq * mq - bd * md')}""",
+)
+def _(t: Tables) -> DataFrame:
+    return _coefficients(t, "linear", ["q", "d"])
+
+
+@check("linear_sql_twin", f"SELECT round(regr_slope(y, q), 6) AS slope, round(regr_intercept(y, q), 6) AS intercept, round(regr_r2(y, q), 6) AS r2 FROM ({plain(PRICED)})")
+def _(t: Tables) -> DataFrame:
+    return t.view(PRICED).agg(
+        F.round(F.regr_slope("y", "q"), 6).alias("slope"), F.round(F.regr_intercept("y", "q"), 6).alias("intercept"), F.round(F.regr_r2("y", "q"), 6).alias("r2")
+    )
+
+
+@check("linear_no_intercept", f"WITH {MOMENTS}, b AS (SELECT sqy / sqq AS bq FROM m) {_terms({'q': 'bq'}, '0.0')}")
+def _(t: Tables) -> DataFrame:
+    return _coefficients(t, "linear", ["q"], {"fit_intercept": False})
+
+
+@check("ridge_one_feature", f"WITH {MOMENTS}, b AS (SELECT *, cyq * n / (vq * n + 1e6) AS bq FROM m) {_terms({'q': 'bq'}, 'my - bq * mq')}")
+def _(t: Tables) -> DataFrame:
+    return _coefficients(t, "ridge", ["q"], {"alpha": 1e6})
+
+
+@check("ridge_no_intercept", f"WITH {MOMENTS}, b AS (SELECT *, sqy / (sqq + 1e6) AS bq FROM m) {_terms({'q': 'bq'}, '0.0')}")
+def _(t: Tables) -> DataFrame:
+    return _coefficients(t, "ridge", ["q"], {"alpha": 1e6, "fit_intercept": False})
+
+
+@check("lasso_one_feature", f"WITH {MOMENTS}, b AS (SELECT *, sign(cyq) * greatest(abs(cyq) - 50, 0) / vq AS bq FROM m) {_terms({'q': 'bq'}, 'my - bq * mq')}")
+def _(t: Tables) -> DataFrame:
+    return _coefficients(t, "lasso", ["q"], {"alpha": 50.0})
+
+
+@check(
+    "elasticnet_one_feature",
+    f"WITH {MOMENTS}, b AS (SELECT *, sign(cyq) * greatest(abs(cyq) - 15, 0) / (vq + 35) AS bq FROM m) {_terms({'q': 'bq'}, 'my - bq * mq')}",
+)
+def _(t: Tables) -> DataFrame:
+    return _coefficients(t, "elasticnet", ["q"], {"alpha": 50.0, "l1_ratio": 0.3})
+
+
+@check(
+    "predict",
+    f"""SELECT l_orderkey, l_linenumber, y, q, round(i + s * q, 5) AS yhat FROM ({plain(PRICED)}), (SELECT regr_slope(y, q) AS s, regr_intercept(y, q) AS i FROM ({plain(PRICED)}))""",
+)
+def _(t: Tables) -> DataFrame:
+    x = t.view(PRICED)
+    out = models.predict(x, models.fit("linear", x, "y", ["q"]), "yhat")
+    return out.select("l_orderkey", "l_linenumber", "y", "q", F.round("yhat", 5).alias("yhat"))
+
+
+# ---- search --------------------------------------------------------------------------------
+
+PARTS = "SELECT p_partkey, p_retailprice AS y, CAST(p_size AS DOUBLE) AS s, CAST(p_partkey % 7 AS DOUBLE) AS w FROM {part}"
+
+
+def folds_sql(k: int) -> str:
+    return f"""SELECT *, CASE WHEN i < (n % {k}) * (n // {k} + 1) THEN i // (n // {k} + 1) ELSE n % {k} + (i - (n % {k}) * (n // {k} + 1)) // (n // {k}) END AS fold
+               FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i, count(*) OVER () AS n FROM ({plain(PARTS)}) WHERE p_partkey > 2)"""
+
+
+def _folded(t: Tables, k: int) -> DataFrame:
+    return models.with_folds(t.view(PARTS).where("p_partkey > 2"), "p_partkey", k, blocking=Blocking(block_size=300))
+
+
+@check("with_folds", f"SELECT p_partkey, y, s, w, CAST(fold AS INT) AS fold FROM ({folds_sql(5)})")
+def _(t: Tables) -> DataFrame:
+    return _folded(t, 5)
+
+
+def cv_sql(points: list[dict], k: int, ridge: bool = False) -> str:
+    """Mean squared error over the folds of one-feature fits, each from the other folds' moments."""
+    rows = ", ".join(f"({i}, {p.get('alpha', 0.0) if ridge else 0.0}, {str(p.get('fit_intercept', True)).upper()})" for i, p in enumerate(points))
+    return f"""f AS ({folds_sql(k)}), pt(point, alpha, icpt) AS (VALUES {rows}),
+      b AS (SELECT point, icpt, h.fold, CASE WHEN icpt THEN covar_pop(y, s) * count(*) / (var_pop(s) * count(*) + alpha) ELSE sum(s * y) / (sum(s * s) + alpha) END AS b, avg(y) AS my, avg(s) AS ms
+            FROM f, (SELECT DISTINCT fold FROM f) h, pt WHERE f.fold <> h.fold GROUP BY point, alpha, icpt, h.fold),
+      e AS (SELECT b.point, f.fold, avg(power(y - (CASE WHEN icpt THEN my - b * ms ELSE 0 END + b * s), 2)) AS mse, avg(abs(y - (CASE WHEN icpt THEN my - b * ms ELSE 0 END + b * s))) AS mae
+            FROM f JOIN b ON f.fold = b.fold GROUP BY b.point, f.fold),
+      a AS (SELECT point, avg(mse) AS mse, avg(sqrt(mse)) AS rmse, avg(mae) AS mae FROM e GROUP BY point)"""
+
+
+LINEAR_GRID = {"fit_intercept": [True, False]}
+
+
+@check(
+    "grid_search_linear",
+    f"""WITH {cv_sql(models.param_grid(LINEAR_GRID), 5)} SELECT CAST(point AS INT) AS point, round(-mse, 3) AS score, round(sqrt(mse), 5) AS cv_rmse, CAST(mse = min(mse) OVER () AS INT) AS best FROM a""",
+)
+def _(t: Tables) -> DataFrame:
+    _, table = models.search("linear", LINEAR_GRID, _folded(t, 5), "y", ["s"], 5)
+    return table.select("point", F.round("score", 3).alias("score"), F.round("cv_rmse", 5).alias("cv_rmse"), "best")
+
+
+RIDGE_GRID = {"alpha": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 1e5, 1e6], "fit_intercept": [True, False], "max_iter": [1000]}
+RIDGE_POINTS = models.sampled_grid(RIDGE_GRID, 6, 42)
+
+
+@check(
+    "random_search_ridge",
+    f"""WITH {cv_sql(RIDGE_POINTS, 4, True)} SELECT CAST(point AS INT) AS point, round(-mse, 3) AS score, round(sqrt(mse), 5) AS cv_rmse FROM a""",
+)
+def _(t: Tables) -> DataFrame:
+    _, table = models.search("ridge", RIDGE_GRID, _folded(t, 4), "y", ["s"], 4, "random", 6, 42)
+    return table.select("point", F.round("score", 3).alias("score"), F.round("cv_rmse", 5).alias("cv_rmse"))
+
+
+@check(
+    "cross_validate_two_metrics",
+    f"WITH {cv_sql(models.param_grid(LINEAR_GRID), 4)} SELECT CAST(point AS INT) AS point, round(rmse, 5) AS rmse, round(mae, 5) AS mae, CAST(rmse = min(rmse) OVER () AS INT) AS best FROM a",
+)
+def _(t: Tables) -> DataFrame:
+    _, table = models.cross_validate("linear", models.param_grid(LINEAR_GRID), _folded(t, 4), "y", ["s"], 4)
+    return table.select("point", F.round("rmse", 5).alias("rmse"), F.round("mae", 5).alias("mae"), "best")
+
+
+# ---- trees ---------------------------------------------------------------------------------
+
+STEP = "SELECT p_partkey, p_retailprice AS y, CAST(CASE WHEN p_partkey % 10 < 4 THEN 1 ELSE 0 END AS DOUBLE) AS big, CAST(p_size AS DOUBLE) AS s FROM {part}"
+
+
+@check("boosted_single_split", f"SELECT p_partkey, round(avg(y) OVER (PARTITION BY big), 5) AS prediction FROM ({plain(STEP)})")
+def _(t: Tables) -> DataFrame:
+    """One tree with one split on a yes/no feature predicts the two group means."""
+    x = t.view(STEP)
+    model = models.fit("boosted", x, "y", ["big"], {"n_estimators": 1, "max_depth": 1})
+    return rounded(models.predict(x, model).select("p_partkey", "prediction"), 5)
+
+
+@check("importances", "SELECT 'big' AS feature, 1.0::DOUBLE AS importance UNION ALL SELECT 'flat', 0.0")
+def _(t: Tables) -> DataFrame:
+    x = t.view(STEP).withColumn("flat", F.lit(1.0))
+    model = models.fit("boosted", x, "y", ["flat", "big"], {"n_estimators": 1, "max_depth": 1})
+    return models.importances(model, ["flat", "big"], t.spark, top=5)
+
+
+def _tree_table(t: Tables) -> tuple[DataFrame, list[str]]:
+    types = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+    x = t.part.select("p_partkey", "p_type", F.col("p_size").cast("double").alias("p_size"), F.col("p_retailprice").alias("y"))
+    x = prep.split(prep.dummies(x, {"p_type": types}), "p_partkey")
+    return x, ["p_size", *[f"p_type_{v}" for v in types[1:]]]
+
+
+def _tree_metrics(t: Tables, name: str, params: dict, validation: bool = False) -> DataFrame:
+    x, features = _tree_table(t)
+    x = x.withColumn("held_out", F.col("split") == "valid")
+    train = x.where("split <> 'test'") if validation else x.where("split = 'train'")
+    model = models.fit(name, train, "y", features, params, "held_out" if validation else None)
+    return metrics_by_split(models.predict(x, model), "y", "prediction")
+
+
+@check("boosted_trees")
+def _(t: Tables) -> DataFrame:
+    return _tree_metrics(t, "boosted", {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.2, "subsample": 0.8, "colsample_bytree": 0.7})
+
+
+@check("boosted_trees_early_stopping")
+def _(t: Tables) -> DataFrame:
+    return _tree_metrics(t, "boosted", {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.3}, validation=True)
+
+
+@check("gradient_boosting")
+def _(t: Tables) -> DataFrame:
+    return _tree_metrics(t, "gradient_boosting", {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.1})
+
+
+@check("random_forest")
+def _(t: Tables) -> DataFrame:
+    return _tree_metrics(t, "random_forest", {"n_estimators": 10, "max_depth": 5, "min_samples_leaf": 2})
+
+
+# ---- Poisson: one categorical feature has a closed form ------------------------------------
+
+TYPED_COUNTS = "SELECT event_id, event_type, CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE) AS y, value / 100 AS v FROM {events}"
+
+
+def _kinds(t: Tables) -> list[str]:
+    return prep.observed_domain(t.events, "event_type")
+
+
+@check(
+    "poisson_effects",
+    f"""WITH g AS (SELECT event_type, avg(y) AS m FROM ({plain(TYPED_COUNTS)}) GROUP BY event_type), r AS (SELECT m AS m0, event_type AS t0 FROM g ORDER BY event_type LIMIT 1)
+        SELECT CASE WHEN event_type = t0 THEN 'Intercept' ELSE 'event_type_' || event_type END AS term, round(CASE WHEN event_type = t0 THEN ln(m) ELSE ln(m / m0) END, 6) AS coefficient,
+               round(100 * (CASE WHEN event_type = t0 THEN m ELSE m / m0 END - 1), 4) AS effect_pct FROM g, r""",
+)
+def _(t: Tables) -> DataFrame:
+    domain = {"event_type": _kinds(t)}
+    x = models.poisson_table(t.view(TYPED_COUNTS), domain)
+    model, names, _ = models.poisson_steps(x, "y", [["event_type"]], domain)
+    out = models.effects_pct(model, names, t.spark)
+    return out.select("term", F.round("coefficient", 6).alias("coefficient"), F.round("effect_pct", 4).alias("effect_pct"))
+
+
+@check(
+    "poisson_log_likelihood",
+    f"SELECT round(sum(y * ln(m) - m - lgamma(y + 1)), 2) AS llf FROM (SELECT y, avg(y) OVER (PARTITION BY event_type) AS m FROM ({plain(TYPED_COUNTS)}))",
+)
+def _(t: Tables) -> DataFrame:
+    domain = {"event_type": _kinds(t)}
+    x = models.poisson_table(t.view(TYPED_COUNTS), domain)
+    model, _, _ = models.poisson_steps(x, "y", [["event_type"]], domain)
+    llf = models.poisson_log_likelihood(model, x, "y")
+    return x.limit(1).select(F.round(F.lit(llf), 2).alias("llf"))
+
+
+@check("poisson_nested_formulas")
+def _(t: Tables) -> DataFrame:
+    domain = {"event_type": _kinds(t)}
+    x = models.poisson_table(t.view(TYPED_COUNTS), domain)
+    model, names, _ = models.poisson_steps(x, "y", [["v"], ["v", "event_type"]], domain)
+    return models.effects_pct(model, names, t.spark)
+
+
+# ---- training and monitoring ---------------------------------------------------------------
+
+TRAINING = f"SELECT p_partkey, p_retailprice AS y, CASE WHEN p_partkey % 29 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS s, {split_sql('p_partkey')} AS split FROM {{part}}"
+FITTED = f"""x AS ({plain(TRAINING)}), md AS (SELECT quantile_cont(s, 0.5) AS m FROM x WHERE split = 'train'), z AS (SELECT * REPLACE (coalesce(s, m) AS s) FROM x, md),
+  co AS (SELECT regr_slope(y, s) AS b, regr_intercept(y, s) AS a FROM z WHERE split = 'train')"""
+
+
+@check(
+    "train_all",
+    f"""WITH {FITTED} SELECT 'linear' AS model, split, count(*) AS n, round(sqrt(avg(power(y - a - b * s, 2))), 4) AS rmse, round(avg(abs(y - a - b * s)), 4) AS mae,
+               round(1 - sum(power(y - a - b * s, 2)) / (var_pop(y) * count(*)), 6) AS r2, round(avg(abs((y - a - b * s) / y)) * 100, 4) AS mape FROM z, co GROUP BY split""",
+)
+def _(t: Tables) -> DataFrame:
+    """One model works, one is switched off, one is unknown and must not stop the others."""
+    config = {
+        "linear": {"folds": 4, "grid": {"fit_intercept": [True, False]}},
+        "lasso": {"enabled": False, "grid": {"alpha": [1.0]}},
+        "no_such_model": {"folds": 4, "grid": {"alpha": [1.0]}},
+    }
+    _, table = training.train_all(config, t.view(TRAINING), "y", "p_partkey")
+    return table.select("model", "split", "n", *[F.round(c, 6 if c == "r2" else 4).alias(c) for c in ("rmse", "mae", "r2", "mape")])
+
+
+@check(
+    "evaluate_models",
+    f"""WITH x AS (SELECT *, {split_sql('l_orderkey')} AS split FROM ({plain(PRICED)})),
+        c AS (SELECT 'linear' AS model, regr_slope(y, q) AS b, regr_intercept(y, q) AS a FROM x WHERE split = 'train'
+              UNION ALL SELECT 'through_zero', sum(q * y) / sum(q * q), 0 FROM x WHERE split = 'train')
+        SELECT model, split, count(*) AS n, round(sqrt(avg(power(y - a - b * q, 2))), 5) AS rmse, round(avg(abs(y - a - b * q)), 5) AS mae FROM x, c GROUP BY model, split""",
+)
+def _(t: Tables) -> DataFrame:
+    x = prep.split(t.view(PRICED), "l_orderkey")
+    train = x.where("split = 'train'")
+    fitted = {"linear": models.fit("linear", train, "y", ["q"]), "through_zero": models.fit("linear", train, "y", ["q"], {"fit_intercept": False})}
+    out = training.evaluate_models(fitted, x, "y")
+    return rounded(out.select("model", "split", "n", "rmse", "mae"), 5)
+
+
+SHIFTED = f"""b AS (SELECT regr_slope(y, q) AS s, regr_intercept(y, q) AS a FROM ({plain(PRICED)})),
+  sc AS (SELECT y, a + s * least(greatest(q + sh, 0), 50) AS p, name FROM ({plain(PRICED)}), b, (VALUES ('small', 2), ('large', 10)) v(name, sh)),
+  base AS (SELECT sqrt(avg(power(y - a - s * q, 2))) AS rmse, avg(abs(y - a - s * q)) AS mae, 1 - sum(power(y - a - s * q, 2)) / (var_pop(y) * count(*)) AS r2 FROM ({plain(PRICED)}), b),
+  su AS (SELECT name AS scenario, sqrt(avg(power(y - p, 2))) AS rmse, avg(abs(y - p)) AS mae, 1 - sum(power(y - p, 2)) / (var_pop(y) * count(*)) AS r2 FROM sc GROUP BY name),
+  dl AS (SELECT su.*, su.rmse - base.rmse AS dr, su.mae - base.mae AS dm, su.r2 - base.r2 AS d2 FROM su, base)"""
+
+
+@check(
+    "scenario_summary",
+    f"""WITH {SHIFTED} SELECT scenario, round(rmse, 5) AS rmse, round(mae, 5) AS mae, round(r2, 5) AS r2, round(dr, 5) AS delta_rmse, round(dm, 5) AS delta_mae, round(d2, 5) AS delta_r2,
+               CASE WHEN abs(dr) > 10 OR abs(dm) > 10 OR d2 < -0.05 THEN 'red' WHEN abs(dr) > 5 OR abs(dm) > 5 THEN 'yellow' ELSE 'green' END AS alert FROM dl""",
+)
+def _(t: Tables) -> DataFrame:
+    x = t.view(PRICED)
+    model = models.fit("linear", x, "y", ["q"])
+    cases = {n: drift.perturb(x, {"q": {"add": sh, "clip": (0, 50)}}) for n, sh in (("small", 2), ("large", 10))}
+    return rounded(monitor.scenario_summary(x, cases, model, ["q"], "y"), 5)
+
+
+@check(
+    "feature_reports",
+    """SELECT 'moved' AS scenario, feature, kind, drift_detected FROM (VALUES ('q', 'ks', 1), ('d', 'ks', 0), ('flag', 'chi2', 0)) v(feature, kind, drift_detected)
+       UNION ALL SELECT 'same', feature, kind, 0 FROM (VALUES ('q', 'ks'), ('d', 'ks'), ('flag', 'chi2')) v(feature, kind)""",
+)
+def _(t: Tables) -> DataFrame:
+    x = t.lineitem.select(F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").alias("y"))
+    moved = drift.perturb(x, {"q": {"add": 3}})
+    return monitor.feature_reports(x, {"moved": moved, "same": x}, "y").select("scenario", "feature", "kind", "drift_detected")
+
+
+# ---- request scoring -----------------------------------------------------------------------
+
+# The label is an exact linear form of the first four numbers, so predictions are known.
+FORM = "2 * {0} - 1 * {1} + 0.5 * {2} + 0 * {3} + 1"
+
+
+def _request_model(t: Tables):
+    e = F.col("embedding")
+    x = t.embeddings.select(*[e[i].cast("double").alias(f"x{i}") for i in range(4)])
+    y = 2 * F.col("x0") - F.col("x1") + 0.5 * F.col("x2") + 1
+    return models.fit("linear", x.withColumn("y", y), "y", [f"x{i}" for i in range(4)])
+
+
+def _answers(part: int) -> str:
+    cells = [f"CAST(embedding[{4 * part + i + 1}] AS DOUBLE)" for i in range(4)]
+    return f"round({FORM.format(*cells)}, 5)"
+
+
+ANSWERED = f"""SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 400 WHEN vec_id % 11 = 0 OR vec_id % 13 = 0 OR vec_id % 17 = 0 THEN 422 ELSE 200 END AS status,
+  {', '.join(f'CASE WHEN vec_id % 7 > 0 AND vec_id % 11 > 0 AND vec_id % 13 > 0 AND vec_id % 17 > 0 THEN {_answers(i)} END AS p{i}' for i in range(4))} FROM embeddings"""
+
+
+def _flat(answers: DataFrame) -> DataFrame:
+    return answers.select("vec_id", "status", *[F.round(F.get("predictions", F.lit(i)), 5).alias(f"p{i}") for i in range(4)])
+
+
+@check("answer_requests", ANSWERED)
+def _(t: Tables) -> DataFrame:
+    return _flat(scoring.answer_requests(requests(t), _request_model(t), "vec_id", "features", 4))
+
+
+@check("score_stream", ANSWERED)
+def _(t: Tables) -> DataFrame:
+    """The same requests read as a stream of files, answered batch by batch into a folder."""
+    folder = _scratch(t, "stream")
+    io.write_table(requests(t), f"{folder}/requests")
+    schema = t.spark.read.parquet(f"{folder}/requests").schema
+    stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/requests")
+    query = score_stream(stream, _request_model(t), "vec_id", "features", f"{folder}/answers", f"{folder}/progress", 4)
+    query.awaitTermination()
+    return _flat(t.spark.read.parquet(f"{folder}/answers"))
+
+
+# ---- storage -------------------------------------------------------------------------------
+
+
+def _scratch(t: Tables, name: str) -> str:
+    import uuid
+
+    return f"{io.shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@check("csv_round_trip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
+def _(t: Tables) -> DataFrame:
+    path = _scratch(t, "csv")
+    io.write_table(t.orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date")).drop("o_orderpriority"), path, "csv")
+    raw = io.require_rows(io.read_csv_text(t.spark, path, ["o_orderkey", "o_totalprice"]))
+    from demandframe.operators.typing import coerce_numeric, parse_date, to_nullable_int
+
+    x = to_nullable_int(coerce_numeric(raw, ["o_orderkey", "o_custkey", "o_totalprice"]), ["o_orderkey", "o_custkey"])
+    return parse_date(x, "o_orderdate")
+
+
+@check("split_round_trip", f"SELECT o_orderkey, o_totalprice FROM (SELECT *, {split_sql('o_orderkey')} AS split FROM orders) WHERE split = 'valid'")
+def _(t: Tables) -> DataFrame:
+    path = _scratch(t, "splits")
+    io.write_splits(prep.split(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey"), path)
+    return io.read_split(t.spark, path, "valid")
+
+
+@check(
+    "saved_model_predicts",
+    f"""SELECT l_orderkey, l_linenumber, y, round(i + s * q, 5) AS prediction FROM ({plain(PRICED)}), (SELECT regr_slope(y, q) AS s, regr_intercept(y, q) AS i FROM ({plain(PRICED)}))""",
+)
+def _(t: Tables) -> DataFrame:
+    x, folder = t.view(PRICED), _scratch(t, "models")
+    io.save_models({"linear": models.fit("linear", x, "y", ["q"])}, folder)
+    out = models.predict(x, io.load_model(f"{folder}/linear"))
+    return out.select("l_orderkey", "l_linenumber", "y", F.round("prediction", 5).alias("prediction"))
+
+
+@check("clean_files", CLEAN_SQL)
+def _(t: Tables) -> DataFrame:
+    """The cleaning job from CSV file to written table."""
+    folder = _scratch(t, "clean")
+    io.write_table(t.view(RAW_EVENTS), f"{folder}/raw", "csv")
+    return rounded(clean.run(t.spark, f"{folder}/raw", f"{folder}/cleaned", EVENT_RULES), 9)

@@ -99,21 +99,25 @@ def save_models(models: Mapping[str, PipelineModel], folder: str) -> None:
         save_model(model, f"{folder}/{name}")
 
 
-def durable(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate data that all executors reach: ``spark.checkpoint.dir`` of the session.
 
-    ``spark.checkpoint.dir`` is read from the session; a local folder is used only where the
-    session names none and runs on one machine (tests).
+    Only where the session names none and runs on one machine (tests) a local folder is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    import tempfile
+
+    return tempfile.mkdtemp(prefix="demandframe-")
+
+
+def durable(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not named:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            import tempfile
-
-            named = tempfile.mkdtemp(prefix="demandframe-checkpoint-")
-        context.setCheckpointDir(named)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager)
