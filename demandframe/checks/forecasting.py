@@ -72,10 +72,10 @@ def _(t: Tables) -> DataFrame:
 
 @check(
     "month_subseries",
-    """SELECT month(m) AS month_of_year, count(*) AS n, round(avg(y), 2) AS mean_y FROM (SELECT date_trunc('month', o_orderdate) AS m, sum(o_totalprice) AS y FROM orders GROUP BY 1) GROUP BY 1""",
+    """SELECT month(m) AS month_of_year, count(*) AS n, round(avg(y), 4) AS mean_y FROM (SELECT date_trunc('month', o_orderdate) AS m, sum(o_totalprice) AS y FROM orders GROUP BY 1) GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
-    return rounded(series.month_subseries(series.resample_month(t.orders, "o_orderdate", "o_totalprice")), 2)
+    return rounded(series.month_subseries(series.resample_month(t.orders, "o_orderdate", "o_totalprice")), 4)
 
 
 LABEL = """CASE WHEN ds <= DATE '2000-06-30' THEN 'train' WHEN ds BETWEEN DATE '2000-07-01' AND DATE '2000-12-31' THEN 'valid'

@@ -150,7 +150,7 @@ def ks_sql(source: str, cols: list[str], factor: str = "1") -> str:
       e AS (SELECT *, d * sqrt(na * nb / (na + nb)) AS t FROM d),
       f AS (SELECT feature, d, na, nb, t, 2 * sum((CASE WHEN i % 2 = 1 THEN 1 ELSE -1 END) * exp(-2 * i * i * t * t)) AS upper,
                    1 - sqrt(2 * pi()) / t * sum(exp(-(2 * i - 1) * (2 * i - 1) * pi() * pi() / (8 * t * t))) AS lower
-            FROM e, (SELECT unnest(range(1, 101)) AS i) GROUP BY ALL),
+            FROM e, (SELECT unnest(range(1, 101)) AS i) GROUP BY feature, d, na, nb, t),
       ks AS (SELECT feature, d AS statistic, na AS n_base, nb AS n_new,
                     CASE WHEN t <= 0.05 THEN 1.0 ELSE least(greatest(CASE WHEN t < 1.18 THEN lower ELSE upper END, 0.0), 1.0) END AS p_value FROM f)"""
 
@@ -164,7 +164,7 @@ def _(t: Tables) -> DataFrame:
     return rounded(drift.ks_two_sample(x.where("half = 'base'"), x.where("half = 'new'"), ["value", "k"]))
 
 
-@check("ks_two_sample_blocks", f"WITH x AS ({plain(PARTS)}), {ks_sql('x', ['value', 'k'], '1.1')} {KS_OUT}")
+@check("ks_two_sample_blocks", f"WITH x AS ({plain(PARTS)}), {ks_sql('x', ['value', 'k'], 'CAST(1.1 AS DOUBLE)')} {KS_OUT}")
 def _(t: Tables) -> DataFrame:
     """The new half raised by a tenth; distribution functions cut into many blocks."""
     x = t.view(PARTS)

@@ -38,7 +38,15 @@ def kolmogorov_sf(t: Column) -> Column:
     theta = F.aggregate(k, zero, lambda acc, i: acc + F.exp(-(2 * i - 1) * (2 * i - 1) * F.lit(math.pi**2) / (8 * t * t)))
     lower = 1 - F.lit(math.sqrt(2 * math.pi)) / t * theta
     p = F.when(t <= 0.05, 1.0).when(t < 1.18, lower).otherwise(upper)
-    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+    return F.when(t.isNotNull(), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
+
+
+def _every_feature(found: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per tested column: a column that could not be tested has p = 1 and no drift."""
+    names = found.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("feature"))
+    full = names.join(found, "feature", "left")
+    counts = {c: F.coalesce(c, F.lit(0)) for c in ("n_base", "n_new", "n", "dof", "drift_detected") if c in found.columns}
+    return full.withColumns({**counts, "p_value": F.coalesce("p_value", F.lit(1.0))}).select(*found.columns)
 
 
 def ks_two_sample(
@@ -64,9 +72,8 @@ def ks_two_sample(
     )
     size = F.sqrt(F.col("n_base") * F.col("n_new") / (F.col("n_base") + F.col("n_new")))
     p = F.coalesce(kolmogorov_sf(size * F.col("statistic")), F.lit(1.0))
-    return found.select(F.col("column").alias("feature"), "statistic", "n_base", "n_new", p.alias("p_value")).withColumn(
-        "drift_detected", fc.flag(F.col("p_value") < alpha)
-    )
+    tested = found.select(F.col("column").alias("feature"), "statistic", "n_base", "n_new", p.alias("p_value"))
+    return _every_feature(tested.withColumn("drift_detected", fc.flag(F.col("p_value") < alpha)), cols)
 
 
 # ---- chi-square ----------------------------------------------------------------------------
@@ -116,7 +123,6 @@ def _chi2_from_cells(cells: DataFrame, alpha: float) -> DataFrame:
         F.max("dof").alias("dof"),
         F.max("levels_r").alias("levels_r"),
         F.max("levels_c").alias("levels_c"),
-        F.min(F.col("nr")).alias("min_r"),
     )
     absent_e = F.col("n") - F.col("present_e")
     n_absent = F.col("levels_r") * F.col("levels_c") - F.col("cells")
@@ -149,7 +155,7 @@ def chi2_paired(a: DataFrame, b: DataFrame, cols: Sequence[str] | str, order: st
         return text.unpivot([order], cols, "feature", name)
 
     pairs = labels(a, "r").join(labels(b, "c"), [order, "feature"], "inner")
-    return _chi2_from_cells(pairs.groupBy("feature", "r", "c").agg(F.count("*").alias("n")), alpha)
+    return _every_feature(_chi2_from_cells(pairs.groupBy("feature", "r", "c").agg(F.count("*").alias("n")), alpha), cols)
 
 
 def chi2_homogeneity(a: DataFrame, b: DataFrame, cols: Sequence[str] | str, alpha: float = ALPHA) -> DataFrame:
@@ -160,7 +166,7 @@ def chi2_homogeneity(a: DataFrame, b: DataFrame, cols: Sequence[str] | str, alph
         text = t.select(*[fc.text_or_nan(c).alias(c) for c in cols]).unpivot([], cols, "feature", "c")
         return text.groupBy("feature", "c").agg(F.count("*").alias("n")).withColumn("r", F.lit(name))
 
-    return _chi2_from_cells(labels(a, "base").unionByName(labels(b, "new")), alpha)
+    return _every_feature(_chi2_from_cells(labels(a, "base").unionByName(labels(b, "new")), alpha), cols)
 
 
 # ---- reports -------------------------------------------------------------------------------

@@ -131,8 +131,8 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, mode): the most frequent value as text, ties to the smallest value of its own type."""
     parts = None
     for c in cols:
-        counted = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
-        best = counted.agg(F.min(F.struct((-F.col("n")).alias("minus"), F.col(c).alias("value"))).alias("b"))
+        counted = df.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("_v")).agg(F.count("*").alias("_n"))
+        best = counted.agg(F.min(F.struct((-F.col("_n")).alias("minus"), F.col("_v").alias("value"))).alias("b"))
         row = best.select(F.lit(c).alias("column"), F.col("b.value").cast("string").alias("mode"))
         parts = row if parts is None else parts.unionByName(row)
     return parts

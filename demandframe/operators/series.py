@@ -135,22 +135,32 @@ def _polynomials(theta: np.ndarray, order, seasonal) -> tuple[np.ndarray, np.nda
     return ar, ma
 
 
+def _terms(poly: np.ndarray) -> list[tuple[int, float]]:
+    """(lag, coefficient) of the terms that are not zero, without lag 0."""
+    return [(i, float(c)) for i, c in enumerate(poly) if i and c]
+
+
 def _residuals(y: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One-step errors given the first values; a missing value is replaced by its own prediction."""
-    n, p, q = len(y), len(ar) - 1, len(ma) - 1
-    level = y.copy()
-    err = np.zeros(n)
-    back_a, back_m = -ar[:0:-1], ma[:0:-1]
+    """One-step errors given the first values; a missing value is replaced by its own prediction.
+
+    Seasonal polynomials are mostly zeros, so only the terms present are followed.
+    """
+    n, p = len(y), len(ar) - 1
+    level, err = y.tolist(), [0.0] * n
+    a, b = _terms(ar), _terms(ma)
     for t in range(p, n):
-        guess = back_a @ level[t - p : t]
-        if q:
-            lo = max(0, t - q)
-            guess += back_m[q - (t - lo) :] @ err[lo:t]
-        if np.isnan(level[t]):
+        guess = 0.0
+        for lag, c in a:
+            guess -= c * level[t - lag]
+        for lag, c in b:
+            if lag <= t:
+                guess += c * err[t - lag]
+        seen = level[t]
+        if seen != seen:
             level[t] = guess
         else:
-            err[t] = level[t] - guess
-    return err, level
+            err[t] = seen - guess
+    return np.array(err), np.array(level)
 
 
 def _lead_in(y: np.ndarray, p: int) -> np.ndarray:
@@ -219,6 +229,14 @@ def _normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Partition by key with a fixed number of tasks: fits are heavy and their input is tiny, so
+    merging partitions by size (as adaptive execution does) would line all fits up in one task."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, *keys)
+
+
 def sarima_by_key(
     df: DataFrame, keys: Sequence[str], ds: str, y: str, order=(1, 1, 1), seasonal=(1, 1, 1, 7), steps: int = 0, alpha: float = 0.05
 ) -> DataFrame:
@@ -262,7 +280,7 @@ def sarima_by_key(
             out[k] = part[k].iloc[0]
         return out[[*names, "ds", "y", "yhat", "lower", "upper", "is_forecast"]]
 
-    slim = df.select(*keys, F.col(ds).cast("date").alias("ds"), F.col(y).cast("double").alias("y"))
+    slim = _spread(df.select(*keys, F.col(ds).cast("date").alias("ds"), F.col(y).cast("double").alias("y")), keys)
     made = slim.groupBy(*keys).applyInPandas(per_key, schema)
     numbers = {c: F.when(~F.isnan(c), F.col(c)) for c in ("y", "yhat", "lower", "upper")}
     return made.withColumns(numbers)
@@ -305,7 +323,7 @@ def order_scores(
         row = {**{k: part[k].iloc[0] for k in names}, "candidate": number, "order": f"{order}{seasonal}", "mae": mae}
         return pd.DataFrame([row])[[*names, "candidate", "order", "mae"]]
 
-    scored = slim.groupBy(*keys, "candidate").applyInPandas(score, schema)
+    scored = _spread(slim, [*keys, "candidate"]).groupBy(*keys, "candidate").applyInPandas(score, schema)
     return scored.withColumn("mae", F.when(~F.isnan("mae"), F.col("mae")))
 
 
