@@ -10,9 +10,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the texts that count as a number. ``try_cast`` alone is too generous
-# ('1d' and '2f' would pass as doubles).
-NUMBER_PATTERN = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity)$"
+# Fixed value: the characters a number may be made of, with blanks around them. ``try_cast`` decides
+# about the rest; alone it would also read type suffixes ('1d', '2f'), hexadecimal floats and 'nan'.
+NUMBER_PATTERN = r"^[ \t\r\n]*[+-]?(?:[0-9.][0-9.eE+-]*|(?i:inf(?:inity)?))[ \t\r\n]*$"
 
 # Fixed value: year, month and day separated by dashes and nothing else.
 DATE_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
@@ -34,8 +34,12 @@ def nan_to_null(c: Column | str) -> Column:
 
 
 def number_or_null(c: Column | str) -> Column:
-    """Text to double; anything that is not a plain number becomes NULL."""
-    text = strip(c)
+    """Text to double; anything that is not a plain number becomes NULL.
+
+    One short expression per cell, so a projection over many columns stays small enough for the JVM
+    to compile; the pattern also keeps most failing casts (an exception each) from happening.
+    """
+    text = _as_column(c).cast("string")
     return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandframe.functions.columns import nan_to_null
 from demandframe.operators.lookup import attach_row, join_summary, one_row
 from demandframe.operators.ordered import DEFAULT, Blocking, running_sums, sample_borders
 
-# ``percentile`` keeps every distinct value of its group in one task; used up to this many rows.
-IN_TASK_ROWS = 2_000_000
+# ``percentile`` keeps every distinct value of its group in one task; used up to this many values.
+IN_TASK_ROWS = 500_000
 
 
 def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -44,18 +45,26 @@ def _ranked_quantiles(long: DataFrame, qs: Sequence[float], by: Sequence[str], b
     return found.select(*keys, F.array(*values).alias("q"))
 
 
+def _exact_in_task(value: Column, qs: Sequence[float]) -> Column:
+    return F.percentile(value, F.array(*[F.lit(float(q)) for q in qs]))
+
+
 def quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str], blocking: Blocking) -> DataFrame:
+    """(by…, column, q ARRAY): exact, linearly interpolated quantiles."""
     long = to_long(df, cols, by)
     borders = sample_borders(long, "value", blocking)
     if borders.rows <= IN_TASK_ROWS and not borders.cuts:
-        exact = F.percentile("value", F.array(*[F.lit(float(q)) for q in qs]))
-        return long.groupBy(*by, "column").agg(exact.alias("q"))
+        return long.groupBy(*by, "column").agg(_exact_in_task(F.col("value"), qs).alias("q"))
     return _ranked_quantiles(long, qs, by, borders)
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], qs: Sequence[float], blocking: Blocking = DEFAULT) -> DataFrame:
     """One row with an array of exact, linearly interpolated quantiles per column."""
-    arrays = quantile_arrays(df, cols, qs, (), blocking)
+    long = to_long(df, cols)
+    borders = sample_borders(long, "value", blocking)
+    if borders.rows <= IN_TASK_ROWS and not borders.cuts:
+        return df.agg(*[_exact_in_task(nan_to_null(c), qs).alias(c) for c in cols])
+    arrays = _ranked_quantiles(long, qs, (), borders)
     return arrays.agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols])
 
 

@@ -16,13 +16,16 @@ from demandframe.operators.profile import quantile_row
 # ---- calendar codes ------------------------------------------------------------------------
 
 
-def repair_from_group(df: DataFrame, c: str, valid: Iterable, keys: Sequence[str], order: str) -> DataFrame:
+def repair_from_group(
+    df: DataFrame, c: str, valid: Iterable, keys: Sequence[str], order: str, donors: DataFrame | None = None
+) -> DataFrame:
     """Replace an invalid or NULL value by the first valid value of a row with the same key.
 
     Without a donor (or with a NULL key) the value stays as it is, even if it is out of domain.
+    ``donors`` names an earlier table with the same rows, cheaper to read than ``df``.
     """
     ok = fc.is_one_of(c, valid)
-    found = lookup_first(df, df.where(ok), keys, c, order, "_donor")
+    found = lookup_first(df, (df if donors is None else donors).where(ok), keys, c, order, "_donor")
     fixed = F.when(ok, F.col(c)).otherwise(F.coalesce("_donor", c))
     return found.withColumn(c, fixed).select(*df.columns)
 
@@ -137,13 +140,20 @@ def iqr_flag(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Block
     return ready.withColumns(flags).drop("_stats")
 
 
-def replace_exclusive_outliers(df: DataFrame, cols: Sequence[str], k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def outlier_fit(df: DataFrame, cols: Sequence[str], blocking: Blocking = DEFAULT) -> DataFrame:
+    """One row with [first quartile, third quartile, median] per column."""
+    return quantile_row(df, cols, [0.25, 0.75, 0.5], blocking)
+
+
+def replace_exclusive_outliers(
+    df: DataFrame, cols: Sequence[str], k: float = 2.5, blocking: Blocking = DEFAULT, stats: DataFrame | None = None
+) -> DataFrame:
     """A value that is an outlier in its own column and in no other of ``cols`` becomes the median.
 
-    Fences and medians come from one statistics pass over the unchanged columns. For integer
-    columns the median is rounded half-even.
+    Fences and medians come from one statistics pass over the unchanged columns (``stats``, see
+    ``outlier_fit``). For integer columns the median is rounded half-even.
     """
-    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75, 0.5], blocking))
+    ready = attach_row(df, outlier_fit(df, cols, blocking) if stats is None else stats)
     s = F.col("_stats")
     kinds = {f.name: f.dataType for f in df.schema.fields}
     outside = {c: _outside(c, s.getField(c), k) for c in cols}
@@ -221,10 +231,12 @@ def drop_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(~bad)
 
 
-def repair_count_values(df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def repair_count_values(
+    df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT, stats: DataFrame | None = None
+) -> DataFrame:
     """Counts made whole, single outliers replaced, gaps filled, identity restored; no row is dropped."""
     members = [a, b, total]
-    df = replace_exclusive_outliers(whole_counts(df, members), members, k, blocking)
+    df = replace_exclusive_outliers(whole_counts(df, members), members, k, blocking, stats)
     return fix_identity(fill_by_identity(df, a, b, total), a, b, total)
 
 

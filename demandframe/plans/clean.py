@@ -62,17 +62,19 @@ def typed(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
 def clean(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     """All repair steps. Working days use the holiday column before it is replaced.
 
-    Fills and donors look at every row, so rows are dropped only after them; count values depend on
-    nothing else and are repaired first, which lets every statistic read the typed input directly.
-    The deduplicated rows are written once (reliable checkpoint): the two steps after it both need
-    them twice.
+    The repairs touch different columns of the same rows, and rows are dropped only after the
+    steps that look at other rows. So every statistic (count quartiles, donors per day, first valid
+    measure per block) is read from the typed input, one narrow scan each, not from a chain of
+    earlier repairs. The deduplicated rows are written once (reliable checkpoint): the two steps
+    after it read them twice.
     """
     n = rules
-    df = r.drop_columns(typed(df, n), n.unused)
-    df = r.repair_count_values(df, *n.counts, k=n.outlier_width, blocking=n.blocking)
-    df = r.repair_from_group(df, n.season, (1, 2, 3, 4), [n.date], n.order)
+    start = r.drop_columns(typed(df, n), n.unused)
+    quartiles = r.outlier_fit(r.whole_counts(start, n.counts), n.counts, n.blocking)
+    df = r.bound_and_fill(start, {m: n.measure_limit for m in n.measures}, n.order, blocking=n.blocking)
+    df = r.repair_from_group(df, n.season, (1, 2, 3, 4), [n.date], n.order, donors=start)
     df = r.calendar_repairs(df, n.date, n.year, n.month, n.workingday, n.weekday, n.holiday, n.year_codes)
-    df = r.bound_and_fill(df, {m: n.measure_limit for m in n.measures}, n.order, blocking=n.blocking)
+    df = r.repair_count_values(df, *n.counts, k=n.outlier_width, stats=quartiles)
     df = r.drop_negative(r.drop_incomplete(df, n.counts), n.counts)
     df = r.calendar_flag(df, n.date, n.holidays, n.holiday)
     keys = [n.date, n.season, n.year, n.month, n.hour, n.holiday, n.weekday, n.workingday]
