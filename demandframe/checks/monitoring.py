@@ -192,18 +192,16 @@ CRITICAL_SQL = "CASE dof " + " ".join(f"WHEN {k} THEN {v}" for k, v in CRITICAL.
 
 @check(
     "chi2_paired",
-    f"""WITH p AS (SELECT 'flag' AS feature, l_returnflag AS r, l_linestatus AS c FROM lineitem
-                   UNION ALL SELECT 'same', l_linestatus, l_linestatus FROM lineitem), {chi2_sql('p', 'x')}
+    f"""WITH h AS ({plain(PARTS)}), p AS (SELECT 'label' AS feature, event_type AS r, 'k' || CAST(k % 3 AS VARCHAR) AS c FROM h
+                   UNION ALL SELECT 'same', CAST(tenth AS VARCHAR), CAST(tenth AS VARCHAR) FROM h), {chi2_sql('p', 'x')}
         SELECT feature, round(statistic, 4) AS statistic, dof, n, CAST(statistic > {CRITICAL_SQL} AS INT) AS drift_detected FROM x""",
 )
 def _(t: Tables) -> DataFrame:
     """Row-by-row pairs; the second feature pairs a column with itself, which counts as drift here."""
-    x = t.lineitem.withColumn("row", F.struct(*t.lineitem.columns))
-    unique = x.groupBy("row", "l_returnflag", "l_linestatus").agg(F.count("*").alias("copies"))
-    lines = unique.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).withColumn("key", F.struct("row", "copy"))
-    a = lines.select("key", F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("same"))
-    b = lines.select("key", F.col("l_linestatus").alias("flag"), F.col("l_linestatus").alias("same"))
-    out = drift.chi2_paired(a, b, ["flag", "same"], "key").drop("p_value")
+    x = t.view(PARTS)
+    a = x.select("event_id", F.col("event_type").alias("label"), F.col("tenth").alias("same"))
+    b = x.select("event_id", F.concat(F.lit("k"), (F.col("k") % 3).cast("string")).alias("label"), F.col("tenth").alias("same"))
+    out = drift.chi2_paired(a, b, ["label", "same"], "event_id").drop("p_value")
     return out.withColumn("statistic", F.round("statistic", 4))
 
 

@@ -35,7 +35,7 @@ class Blocking:
     """
 
     block_size: int | None = None
-    rows_per_block: int = 1_000_000
+    rows_per_block: int = 250_000
     fraction: float = 0.001
     seed: int = 42
 
@@ -121,10 +121,12 @@ def fill_next_valid(
     heads = df.groupBy(*part).agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_head_{c}") for c in cols]
     )
-    later = _carry_window(group).rowsBetween(1, Window.unboundedFollowing)
-    carry = heads.select(*part, *[F.first(f"_head_{c}", ignorenulls=True).over(later).alias(f"_next_{c}") for c in cols])
-    ahead = Window.partitionBy(*part).orderBy(order).rowsBetween(0, Window.unboundedFollowing)
-    local = df.withColumns({f"_local_{c}": F.first(c, ignorenulls=True).over(ahead) for c in cols})
+    # Descending order: a frame that starts at the partition's first row is updated row by row,
+    # one that ends at its last row would be computed anew for every row.
+    later = Window.partitionBy(*group).orderBy(F.desc(BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
+    carry = heads.select(*part, *[F.last(f"_head_{c}", ignorenulls=True).over(later).alias(f"_next_{c}") for c in cols])
+    ahead = Window.partitionBy(*part).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = df.withColumns({f"_local_{c}": F.last(c, ignorenulls=True).over(ahead) for c in cols})
     joined = local.join(carry, part, "left")
     filled = {c: F.coalesce(F.col(f"_local_{c}"), F.col(f"_next_{c}")).alias(c) for c in cols}
     return joined.select(*[filled.get(c, F.col(c)) for c in names])
