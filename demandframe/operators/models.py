@@ -5,8 +5,10 @@ from __future__ import annotations
 import itertools
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -21,6 +23,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandframe.operators.lookup import stack_tables
 from demandframe.operators.metrics import regression_metrics
 from demandframe.operators.ordered import DEFAULT, Blocking, row_index
 from demandframe.operators.prep import dummies
@@ -173,16 +176,99 @@ def with_folds(df: DataFrame, order: str, k: int, out: str = "fold", blocking: B
     return numbered.withColumn(out, fold.cast("int")).drop("_i", "_n")
 
 
+# Cross-products of up to this many features are kept per fold; wider tables are searched fit by fit.
+GRAM_FEATURES = 200
+
+
+def fold_products(train: DataFrame, label: str, features: Sequence[str], fold_col: str) -> dict[int, np.ndarray]:
+    """Cross-products of (features, label, 1) per fold: all a linear search needs, in one pass.
+
+    Each task multiplies its own batches and gives one small matrix per fold; Spark adds them up.
+    """
+    names = [*features, label]
+    width = len(names) + 1
+
+    def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            z = np.column_stack([batch[names].to_numpy(dtype=float), np.ones(len(batch))])
+            folds = batch[fold_col].to_numpy()
+            for f in np.unique(folds):
+                part = z[folds == f]
+                sums[int(f)] = sums.get(int(f), 0.0) + part.T @ part
+        if sums:
+            yield pd.DataFrame({"fold": list(sums), "cells": [m.ravel().tolist() for m in sums.values()]})
+
+    slim = train.select(*[F.col(c).cast("double").alias(c) for c in names], F.col(fold_col).cast("int").alias(fold_col))
+    parts = slim.mapInPandas(multiply, "fold int, cells array<double>")
+    cells = parts.select("fold", F.posexplode("cells").alias("pos", "v")).groupBy("fold", "pos").agg(F.sum("v").alias("v")).collect()
+    products: dict[int, np.ndarray] = {}
+    for r in cells:
+        products.setdefault(r["fold"], np.zeros(width * width))[r["pos"]] = r["v"]
+    return {f: m.reshape(width, width) for f, m in products.items()}
+
+
+def _shrink(value: float, by: float) -> float:
+    return math.copysign(max(abs(value) - by, 0.0), value)
+
+
+def linear_from_products(name: str, params: Mapping, product: np.ndarray) -> np.ndarray:
+    """Coefficients (features, intercept) of a linear-family model from its cross-products."""
+    n, p = product[-1, -1], len(product) - 2
+    xx, xy = product[:p, :p], product[:p, p]
+    mean_x, mean_y = product[:p, -1] / n, product[p, -1] / n
+    if params.get("fit_intercept", True):
+        xx, xy = xx - n * np.outer(mean_x, mean_x), xy - n * mean_x * mean_y
+    else:
+        mean_x, mean_y = np.zeros(p), 0.0
+    alpha = float(params.get("alpha", 1.0))
+    if name == "linear":
+        w = np.linalg.lstsq(xx, xy, rcond=None)[0]
+    elif name == "ridge":
+        w = np.linalg.solve(xx + alpha * np.eye(p), xy)
+    else:
+        ratio = 1.0 if name == "lasso" else float(params.get("l1_ratio", 0.5))
+        a, b, w = xx / n, xy / n, np.zeros(p)
+        for _ in range(int(params.get("max_iter", 1000))):
+            old = w.copy()
+            for j in range(p):
+                scale = a[j, j] + alpha * (1 - ratio)
+                w[j] = _shrink(b[j] - a[j] @ w + a[j, j] * w[j], alpha * ratio) / scale if scale else 0.0
+            if np.abs(w - old).max() <= 1e-10 * max(1.0, np.abs(w).max()):
+                break
+    return np.append(w, mean_y - mean_x @ w)
+
+
+def _product_scores(name: str, points: Sequence[Mapping], products: Mapping[int, np.ndarray]) -> list[float]:
+    """Negative mean squared error of every point, averaged over the held-out folds."""
+    whole = sum(products.values())
+    scores = []
+    for point in points:
+        errors = []
+        for held_out in products.values():
+            w = linear_from_products(name, point, whole - held_out)
+            p = len(w) - 1
+            v = np.concatenate([-w[:p], [1.0], -w[p:]])
+            errors.append(float(v @ held_out @ v) / held_out[-1, -1])
+        scores.append(-float(np.mean(errors)))
+    return scores
+
+
 def search(
     name: str, grid: Mapping[str, Sequence], train: DataFrame, label: str, features: Sequence[str], k: int = 5, method: str = "grid",
     n_iter: int = 10, seed: int = 42, scoring: str = "neg_mean_squared_error", fold_col: str = "fold", parallelism: int = 4,
 ) -> tuple[PipelineModel, DataFrame]:
     """(refitted best model, cv table with one row per point: point, params, score, cv_rmse).
 
-    ``train`` carries the fold column (``with_folds``). Every fold and point is a Spark job; several
-    run at a time. Scores are negative squared errors: higher is better, the first best wins.
+    ``train`` carries the fold column (``with_folds``). Scores are negative errors: higher is better,
+    the first best wins. Linear models by squared error need one pass for the whole grid (cross-products
+    per fold) and one fit; for all others every fold and point is a Spark job, several at a time.
     """
     points = param_grid(grid) if method == "grid" else sampled_grid(grid, n_iter, seed)
+    if name in LINEAR and scoring == "neg_mean_squared_error" and len(features) <= GRAM_FEATURES:
+        scores = _product_scores(name, points, fold_products(train, label, features, fold_col))
+        table = _cv_table(train, points, scores)
+        return fit(name, train, label, features, points[_first_best(scores)]), table
     used = assemble(features).transform(train).select("features", label, F.col(fold_col).cast("int").alias(fold_col)).persist()
     try:
         metric = {"neg_mean_squared_error": "mse", "neg_mean_absolute_error": "mae"}[scoring]
@@ -196,10 +282,17 @@ def search(
         scores = [-m for m in cv.avgMetrics]
     finally:
         used.unpersist()
-    best = max(range(len(points)), key=lambda i: (scores[i], -i))
+    return PipelineModel(stages=[assemble(features), cv.bestModel]), _cv_table(train, points, scores)
+
+
+def _first_best(scores: Sequence[float]) -> int:
+    return max(range(len(scores)), key=lambda i: (scores[i], -i))
+
+
+def _cv_table(train: DataFrame, points: Sequence[Mapping], scores: Sequence[float]) -> DataFrame:
+    best = _first_best(scores)
     rows = [(i, str(points[i]), float(scores[i]), math.sqrt(max(0.0, -scores[i])), int(i == best)) for i in range(len(points))]
-    table = train.sparkSession.createDataFrame(rows, "point int, params string, score double, cv_rmse double, best int")
-    return PipelineModel(stages=[assemble(features), cv.bestModel]), table
+    return train.sparkSession.createDataFrame(rows, "point int, params string, score double, cv_rmse double, best int")
 
 
 def cv_rmse(cv: CrossValidatorModel | DataFrame) -> float:
@@ -209,25 +302,50 @@ def cv_rmse(cv: CrossValidatorModel | DataFrame) -> float:
     return math.sqrt(min(cv.avgMetrics))
 
 
+def _stacked_by_products(
+    name: str, params: Sequence[Mapping], train: DataFrame, label: str, features: Sequence[str], fold_col: str
+) -> DataFrame:
+    """(point, fold, label, prediction) of linear models: every row is scored by each point's model of its fold."""
+    products = fold_products(train, label, features, fold_col)
+    whole = sum(products.values())
+    rows = [
+        (int(f), i, [float(v) for v in linear_from_products(name, p, whole - part)]) for f, part in products.items() for i, p in enumerate(params)
+    ]
+    fitted = train.sparkSession.createDataFrame(rows, "fold int, point int, w array<double>")
+    inputs = F.array(*[F.col(c).cast("double") for c in features], F.lit(1.0))
+    shaped = train.select(F.col(fold_col).cast("int").alias("fold"), F.col(label).alias("label"), inputs.alias("x"))
+    product = F.aggregate(F.zip_with("w", "x", lambda w, x: w * x), F.lit(0.0), lambda total, v: total + v)
+    # one row per fold and point, made on the driver
+    return shaped.join(F.broadcast(fitted), "fold").select("point", "fold", "label", product.alias("prediction"))
+
+
+def _stacked_by_fits(
+    name: str, params: Sequence[Mapping], train: DataFrame, label: str, features: Sequence[str], k: int, fold_col: str
+) -> DataFrame:
+    """The same for any model: one fit per fold and point."""
+    parts = []
+    for i, p in enumerate(params):
+        for f in range(k):
+            model = fit(name, train.where(F.col(fold_col) != f), label, features, p)
+            scored = predict(train.where(F.col(fold_col) == f), model)
+            parts.append(scored.select(F.lit(i).alias("point"), F.lit(f).alias("fold"), F.col(label).alias("label"), "prediction"))
+    return stack_tables(*parts)
+
+
 def cross_validate(
     name: str, params: Sequence[Mapping], train: DataFrame, label: str, features: Sequence[str], k: int = 5, fold_col: str = "fold", refit: str = "rmse"
 ) -> tuple[PipelineModel, DataFrame]:
     """Several metrics per point: (model refitted on all rows, table point, params, rmse, mae, best).
 
-    Predictions of all folds of a point are stacked and scored in one aggregation, then averaged.
+    Predictions of all folds and points are scored in one aggregation, then averaged over the folds.
     """
     used = train.select(*features, label, fold_col).persist()
     try:
-        parts = []
-        for i, p in enumerate(params):
-            for f in range(k):
-                model = fit(name, used.where(F.col(fold_col) != f), label, features, p)
-                scored = predict(used.where(F.col(fold_col) == f), model).select(label, "prediction")
-                parts.append(scored.select(F.lit(i).alias("point"), F.lit(f).alias("f"), label, "prediction"))
-        stacked = parts[0]
-        for part in parts[1:]:
-            stacked = stacked.unionByName(part)
-        per_fold = regression_metrics(stacked, label, "prediction", ["point", "f"])
+        if name in LINEAR and len(features) <= GRAM_FEATURES:
+            stacked = _stacked_by_products(name, params, used, label, features, fold_col)
+        else:
+            stacked = _stacked_by_fits(name, params, used, label, features, k, fold_col)
+        per_fold = regression_metrics(stacked, "label", "prediction", ["point", "fold"])
         means = per_fold.groupBy("point").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae")).collect()
     finally:
         used.unpersist()

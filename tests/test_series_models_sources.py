@@ -172,6 +172,42 @@ def test_search_refits_on_all_rows(sample):
     assert models.regressor(model).coefficients.toArray() == pytest.approx(models.regressor(direct).coefficients.toArray())
 
 
+@pytest.mark.parametrize("name, params", [
+    ("linear", {"fit_intercept": True}), ("linear", {"fit_intercept": False}), ("ridge", {"alpha": 7.0}), ("ridge", {"alpha": 7.0, "fit_intercept": False}),
+    ("lasso", {"alpha": 0.3}), ("elasticnet", {"alpha": 0.3, "l1_ratio": 0.3}),
+])
+def test_products_give_the_fitted_model(sample, name, params):
+    """The one-pass search and a fit of the same point on the same rows are the same model."""
+    df, _ = sample
+    features = ["a", "b", "c"]
+    products = models.fold_products(models.with_folds(df, "i", 4).repartition(5), "y", features, "fold")
+    assert sorted(products) == [0, 1, 2, 3]
+    got = models.linear_from_products(name, params, sum(products.values()))
+    stage = models.regressor(models.fit(name, df, "y", features, params))
+    assert got == pytest.approx([*stage.coefficients.toArray(), stage.intercept], abs=1e-4)
+
+
+def test_one_pass_search_agrees_with_fold_by_fold_search(sample):
+    df, _ = sample
+    folded = models.with_folds(df, "i", 3)
+    grid = {"alpha": [0.1, 50.0], "fit_intercept": [True, False]}
+    _, fast = models.search("ridge", grid, folded, "y", ["a", "b", "c"], 3)
+    _, slow = models.cross_validate("ridge", models.param_grid(grid), folded, "y", ["a", "b", "c"], 3)
+    one = {r["point"]: r["best"] for r in fast.collect()}
+    two = {r["point"]: r["best"] for r in slow.collect()}
+    assert one == two
+
+
+def test_two_metric_search_both_ways(sample, monkeypatch):
+    df, _ = sample
+    folded, points = models.with_folds(df, "i", 3), [{"alpha": 0.1}, {"alpha": 90.0, "fit_intercept": False}]
+    _, fast = models.cross_validate("ridge", points, folded, "y", ["a", "b", "c"], 3)
+    monkeypatch.setattr(models, "GRAM_FEATURES", 0)
+    _, slow = models.cross_validate("ridge", points, folded, "y", ["a", "b", "c"], 3)
+    for x, y in zip(fast.orderBy("point").collect(), slow.orderBy("point").collect()):
+        assert (x["rmse"], x["mae"], x["best"]) == (pytest.approx(y["rmse"]), pytest.approx(y["mae"]), y["best"])
+
+
 def test_singular_poisson_falls_back_to_a_penalty(spark):
     rng = random.Random(4)
     df = spark.createDataFrame([(float(v := rng.randint(0, 3)), float(v), float(rng.randint(0, 9) + v)) for _ in range(80)], "a double, b double, y double")
