@@ -180,10 +180,9 @@ def _month_dummies() -> str:
 )
 def _(t: Tables) -> DataFrame:
     rules = prepare_plan.PrepareRules(
-        key="o_orderkey", domains={"mnth": MONTHS}, integers=("o_orderkey",), doubles=("price", "cust"), drop=("o_orderstatus",), scale=("price", "cust")
+        key="o_orderkey", domains={"priority": PRIORITIES, "mnth": MONTHS}, integers=("o_orderkey",), doubles=("price", "cust"), drop=("o_orderstatus",), scale=("price", "cust")
     )
-    x = prep.dummies(t.view(PREP_ORDERS), {"priority": PRIORITIES})
-    made, _ = prepare_plan.prepare(x, rules)
+    made, _ = prepare_plan.prepare(t.view(PREP_ORDERS), rules)
     return rounded(made, 9)
 
 

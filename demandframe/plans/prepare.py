@@ -31,8 +31,9 @@ class PrepareRules:
 
 def converted(df: DataFrame, rules: PrepareRules = PrepareRules()) -> DataFrame:
     """Numbers where numbers belong, and category values outside their domain as NULL."""
-    df = coerce_numeric(df, [*rules.domains, *rules.integers, *rules.doubles])
-    whole = [c for c in [*rules.integers, *rules.domains] if c in df.columns and not isinstance(next(iter(rules.domains.get(c, [0]))), str)]
+    coded = [c for c, domain in rules.domains.items() if not any(isinstance(v, str) for v in domain)]
+    whole = [c for c in [*rules.integers, *coded] if c in df.columns]
+    df = coerce_numeric(df, [*whole, *rules.doubles])
     df = df.withColumns({c: F.col(c).cast("bigint") for c in whole})
     for c, domain in rules.domains.items():
         if c in df.columns:

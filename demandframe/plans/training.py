@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from demandframe.operators import metrics as m
 from demandframe.operators import models
-from demandframe.operators.lookup import stack_tables
 from demandframe.operators.prep import impute_median
 
 log = logging.getLogger(__name__)
@@ -70,7 +69,6 @@ def train_all(
         train = table.where(F.col(split) == "train")
         folded: dict[int, DataFrame] = {}
         fitted: dict[str, PipelineModel] = {}
-        rows = []
         for name, job in config.items():
             if not job.get("enabled", True):
                 continue
@@ -81,27 +79,28 @@ def train_all(
                 model, _ = models.search(
                     job.get("model", name), job["grid"], folded[k], label, features, k, job.get("method", "grid"), job.get("n_iter", 10), seed
                 )
-                scored = models.predict(table, model).select(split, label, "prediction")
-                values = m.metrics_by_split(scored, label, "prediction", split).collect()
             except Exception:
                 log.exception("model %s failed and is left out", name)
                 continue
             fitted[name] = model
-            rows += [(name, r[split], r["n"], r["rmse"], r["mae"], r["r2"], r["mape"]) for r in values]
+        if not fitted:
+            raise ValueError("no model could be trained")
+        values = evaluate_models(fitted, table, label, split).collect()
     finally:
         table.unpersist()
-    if not rows:
-        raise ValueError("no model could be trained")
+    rows = [(r["model"], r[split], r["n"], r["rmse"], r["mae"], r["r2"], r["mape"]) for r in values]
     schema = f"model string, {split} string, n bigint, rmse double, mae double, r2 double, mape double"
     return fitted, table.sparkSession.createDataFrame(rows, schema)
 
 
 def evaluate_models(fitted: Mapping[str, PipelineModel], table: DataFrame, label: str, split: str = "split") -> DataFrame:
-    """Metrics per model and split in one job: predictions of all models are stacked and aggregated."""
-    parts = [
-        models.predict(table, model).select(F.lit(name).alias("model"), split, label, "prediction") for name, model in fitted.items()
-    ]
-    return m.metrics_by_split(stack_tables(*parts), label, "prediction", split, ["model"])
+    """Metrics per model and split: one scan is scored by every model, then aggregated once."""
+    scored, cells = table, []
+    for i, (name, model) in enumerate(fitted.items()):
+        scored = models.predict(scored, model, f"_p{i}")
+        cells.append(F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("prediction")))
+    rows = scored.select(split, label, F.inline(F.array(*cells)))
+    return m.metrics_by_split(rows, label, "prediction", split, ["model"])
 
 
 def ranking(metrics: DataFrame) -> tuple[DataFrame, DataFrame]:
