@@ -288,7 +288,7 @@ def table_info(df: DataFrame) -> DataFrame:
     one = df.agg(F.count("*").alias("_n"), *[F.count(c).alias(c) for c in df.columns])
     cells = [
         F.struct(
-            F.lit(i).cast("bigint").alias("position"),
+            F.lit(i).alias("position"),
             F.lit(f.name).alias("column"),
             F.lit(f.dataType.simpleString()).alias("type"),
             F.col(f.name).alias("non_null"),

@@ -91,7 +91,7 @@ def validate_requests(df: DataFrame, features: str, n_features: int | None = Non
     empty = F.size(features) == 0
     ragged = F.size(lengths) != 1
     wrong = F.lit(False) if n_features is None else width != n_features
-    status = F.when(missing, 400).when(empty | ragged | wrong, 422).otherwise(200).cast("bigint")
+    status = F.when(missing, 400).when(empty | ragged | wrong, 422).otherwise(200)
     found = F.concat_ws(",", F.transform(lengths, lambda n: n.cast("string")))
     error = (
         F.when(missing, F.lit("features missing"))
