@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import url_filter
+from demandframe.llm import packing, token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,3 +45,17 @@ SELECT page_id, host, path, rule,
 
 QUERIES = {"op1_url_filter": op1_url_filter}
 SQL = {"op1_url_filter": OP1_SQL}
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 0).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    path = token_store.write(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
+    return token_store.read_digest(spark, path)
+
+
+QUERIES |= {"op3_packing": op3_packing, "op7_token_store": op7_token_store}
