@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import packing, token_store, url_filter
+from demandframe.llm import packing, simhash, token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,3 +59,11 @@ def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES |= {"op3_packing": op3_packing, "op7_token_store": op7_token_store}
+
+
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.groups(_table(spark, folder, "documents"), words=3, budget=2)
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES["op2_simhash"] = op2_simhash
