@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import packing, simhash, token_store, url_filter
+from demandframe.llm import embedding_dedup, packing, simhash, token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,3 +67,17 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op2_simhash"] = op2_simhash
+
+
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, folder, "embeddings"), 0.95)
+
+
+QUERIES["op10_embedding_dedup"] = op10_embedding_dedup
+SQL["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+c AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(vec_id, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, c.b FROM r JOIN c ON c.a = r.seen),
+m AS (SELECT vec_id, min(seen) AS component_id FROM r GROUP BY vec_id)
+SELECT m.vec_id, (SELECT count(*) FROM c WHERE c.a = m.vec_id) AS n_links, component_id, m.vec_id = component_id AS kept FROM m
+"""
