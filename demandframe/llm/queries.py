@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import embedding_dedup, packing, simhash, token_store, url_filter
+from demandframe.llm import embedding_dedup, packing, pii, simhash, token_store, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,3 +81,14 @@ r(vec_id, seen) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.vec_id, c.b FROM
 m AS (SELECT vec_id, min(seen) AS component_id FROM r GROUP BY vec_id)
 SELECT m.vec_id, (SELECT count(*) FROM c WHERE c.a = m.vec_id) AS n_links, component_id, m.vec_id = component_id AS kept FROM m
 """
+
+
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(_table(spark, folder, "documents"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin([pii.KINDS.index(k) for k in kinds]))
+    base = pii.KINDS[:4]
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(pii.told(of(*base)), 256).alias("base_sha256"), pii.told(F.col("spans")).alias("spans"))
+
+
+QUERIES["op9_pii"] = op9_pii
