@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import embedding_dedup, packing, pii, simhash, token_store, url_filter
+from demandframe.llm import embedding_dedup, packing, pii, simhash, token_store, toxicity, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -92,3 +92,13 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op9_pii"] = op9_pii
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.train(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
+    rows = toxicity.scored(docs.select("doc_id", "text"), model)
+    return rows.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES["op5_toxicity"] = op5_toxicity
