@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandframe.llm.common import materialise
 from demandframe.llm.hashing import BITS, Bytes, bucket, gradient_steps, groups
@@ -150,8 +151,7 @@ def _model(model: bytes) -> Model:
 
 def scored(docs: DataFrame, model: bytes, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with each whole text's score from 0 to 1; NULL and empty texts have 0. All rows and columns stay."""
-
-    schema = docs.schema.add(out, "double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model)
