@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import embedding_dedup, packing, pii, simhash, token_store, toxicity, url_filter
+from demandframe.llm import embedding_dedup, packing, pii, quality, simhash, token_store, toxicity, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -102,3 +102,11 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op5_toxicity"] = op5_toxicity
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return quality.judged(docs, quality.train(docs, labels))
+
+
+QUERIES["op6_quality"] = op6_quality
