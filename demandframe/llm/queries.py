@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import embedding_dedup, line_dedup, packing, pii, quality, simhash, token_store, toxicity, url_filter
+from demandframe.llm import embedding_dedup, line_dedup, packing, pii, quality, sentencepiece_fst, simhash, token_store, toxicity, url_filter
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -139,3 +139,13 @@ SQL["op4_line_dedup"] = f"""
 WITH docs AS (SELECT row_number() OVER () AS row_id, * FROM documents), {line_dedup_sql("docs")}
 SELECT doc_id, text, n_lines::INTEGER AS n_lines, n_removed::INTEGER AS n_removed FROM cleaned
 """
+
+
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole texts to ids and back: numbers and CRC-32 of the ids, and the CRC-32 of the decoded text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = sentencepiece_fst.decode(sentencepiece_fst.encode(_table(spark, folder, "documents"), model), model)
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+QUERIES["op8_sentencepiece"] = op8_sentencepiece
