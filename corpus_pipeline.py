@@ -1,8 +1,66 @@
-"""The text pipeline: its stages follow."""
+"""From raw documents to packed training sequences.
 
+Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. All but the last return
+the columns of ``documents``; ``n_chars`` follows the text where a stage changes it.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from demandframe.llm import line_dedup, near_copies, packing, pii, toxicity
+from demandframe.llm.common import materialise
+
+#: Documents with this score or a higher one are rejected.
+TOXIC = 0.7
+
+
+def _counted(docs: DataFrame, like: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(like.columns)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects toxic documents; the model learns from the labelled rows of the whole table."""
+    model = toxicity.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model).where(F.col("score") < TOXIC).select(docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes boilerplate lines; every document stays."""
+    return _counted(line_dedup.remove_boilerplate(docs), docs)
+
+
+def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-copies."""
+    return near_copies.keep_one(docs)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data and the terms that give it away; every document stays."""
+    return _counted(pii.sanitise(docs), docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with their ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, with_ids=True)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_stage),
+    ("simhash_near_dedup", near_copy_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
+]
+
+#: Fingerprints, hashed features and token ids have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), name)
+    return docs
