@@ -9,10 +9,8 @@ from demandframe.checks.cleaning import HOLES
 from demandframe.checks.features import GAPPY_LINES
 from demandframe.checks.registry import Tables, check, plain, rounded
 from demandframe.operators import lookup, profile, ranking
-from demandframe.operators.ordered import Blocking
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-RANKED = Blocking(rows_per_block=20_000, fraction=0.2)
 
 
 def per_column(cols: list[str], body: str, source: str) -> str:
@@ -30,8 +28,9 @@ def _(t: Tables) -> DataFrame:
 
 @check("describe_ranked", per_column(NUMBERS, DESCRIBE, "lineitem"))
 def _(t: Tables) -> DataFrame:
-    """The same numbers from ranks over value counts, the way a table too large for one task takes."""
-    return rounded(profile.describe(t.lineitem, NUMBERS, RANKED))
+    """Columns with one value, with few values and with none beside ordinary ones."""
+    x = t.lineitem.withColumns({c: F.col(c).cast("double") for c in NUMBERS})
+    return rounded(profile.describe(x.withColumn("none", F.lit(None).cast("double")), [*NUMBERS, "none"]).where("column <> 'none'"))
 
 
 LABELS = ["l_returnflag", "l_linestatus"]
@@ -80,7 +79,7 @@ def _(t: Tables) -> DataFrame:
 
 @check("quantiles_ranked", f"WITH x AS ({plain(GAPPY_LINES)}) {Q_SQL}")
 def _(t: Tables) -> DataFrame:
-    return rounded(profile.quantiles(t.view(GAPPY_LINES), ["l_quantity", "l_extendedprice", "l_discount"], QS, blocking=RANKED))
+    return rounded(profile.quantiles(t.view(GAPPY_LINES), ["l_quantity", "l_extendedprice", "l_discount"], QS))
 
 
 @check(
@@ -90,7 +89,7 @@ def _(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    return rounded(profile.quantiles(t.events, ["value"], QS, ["event_type"], Blocking(rows_per_block=3000, fraction=0.3)))
+    return rounded(profile.quantiles(t.events, ["value"], QS, ["event_type"]))
 
 
 @check("quantiles_approximate", " UNION ALL ".join(f"SELECT CAST({q} AS DOUBLE) AS quantile, 1 AS close FROM region WHERE r_regionkey = 0" for q in QS))

@@ -14,13 +14,9 @@ from pyspark.sql import functions as F
 
 from demandframe.functions import columns as fc
 from demandframe.operators.lookup import attach_row, join_summary, one_row
-from demandframe.operators.ordered import DEFAULT, Blocking
 from demandframe.operators.profile import modes, quantile_arrays, quantile_row
 from demandframe.operators.typing import columns_of_kind
 
-# A one-hot block wider than this is refused, not cut.
-MAX_LEVELS = 10_000
-
 
 # ---- dummies -------------------------------------------------------------------------------
 
@@ -39,10 +35,11 @@ def dummies(df: DataFrame, domains: Mapping[str, Sequence], drop_first: bool = T
     return df.select(*kept, *[e.alias(n) for n, e in new.items()])
 
 
-def observed_domain(df: DataFrame, c: str, max_levels: int = MAX_LEVELS) -> list:
-    """Sorted distinct values. Refuses (never cuts) a column with more than ``max_levels``."""
-    rows = df.where(F.col(c).isNotNull()).select(c).distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
+def observed_domain(df: DataFrame, c: str, max_levels: int | None = None) -> list:
+    """Sorted distinct values: one column name each. With ``max_levels`` a column that has more is refused (never cut)."""
+    levels = df.where(F.col(c).isNotNull()).select(c).distinct()
+    rows = (levels.limit(max_levels + 1) if max_levels else levels).collect()
+    if max_levels and len(rows) > max_levels:
         raise ValueError(f"{c} has more than {max_levels} distinct values, too many for one-hot columns")
     return sorted(r[0] for r in rows)
 
@@ -122,9 +119,9 @@ def minmax_invert(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataF
 # ---- imputation ----------------------------------------------------------------------------
 
 
-def median_fit(df: DataFrame, cols: Sequence[str], only_missing: bool = True, blocking: Blocking = DEFAULT) -> DataFrame:
+def median_fit(df: DataFrame, cols: Sequence[str], only_missing: bool = True) -> DataFrame:
     """One row of exact medians. With ``only_missing`` a column complete in ``df`` gets NULL: it is not imputed."""
-    s = one_row(quantile_row(df, cols, [0.5], blocking))
+    s = one_row(quantile_row(df, cols, [0.5]))
     holes = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
     pick = {c: s.getField(c)[0] for c in cols}
     if only_missing:
@@ -138,13 +135,13 @@ def impute_apply(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFr
 
 
 def impute_median(
-    df: DataFrame, cols: Sequence[str], split_col: str = "split", train: str = "train", stats_from: str = "train", blocking: Blocking = DEFAULT
+    df: DataFrame, cols: Sequence[str], split_col: str = "split", train: str = "train", stats_from: str = "train"
 ) -> DataFrame:
     """Fill NULL by medians of the training rows, or (``stats_from='self'``) of each split by itself."""
     if stats_from == "train":
-        fitted = median_fit(df.where(F.col(split_col) == train), cols, True, blocking)
+        fitted = median_fit(df.where(F.col(split_col) == train), cols, True)
         return impute_apply(df, fitted, cols)
-    own = quantile_arrays(df, cols, [0.5], [split_col], blocking)
+    own = quantile_arrays(df, cols, [0.5], [split_col])
     wide = own.groupBy(split_col).agg(*[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(f"_med_{c}") for c in cols])
     joined = join_summary(df, wide, [split_col])
     return joined.withColumns({c: F.coalesce(F.col(c).cast("double"), f"_med_{c}") for c in cols}).select(*df.columns)

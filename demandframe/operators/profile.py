@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandframe.functions.columns import nan_to_null
 from demandframe.operators.lookup import attach_row, join_summary, one_row
-from demandframe.operators.ordered import DEFAULT, Blocking, running_sums, sample_borders
 
-# ``percentile`` keeps every distinct value of its group in one task; used up to this many values.
-IN_TASK_ROWS = 500_000
+# Entries of the sketch that brackets a quantile: its rank error is one in this many rows.
+SKETCH = 20_000
 
 
 def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -22,65 +20,68 @@ def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataF
     return shaped.unpivot(list(by), list(cols), "column", "value").where("value IS NOT NULL AND NOT isnan(value)")
 
 
-def _ranked_quantiles(long: DataFrame, qs: Sequence[float], by: Sequence[str], borders) -> DataFrame:
-    """(by…, column, q ARRAY) from value counts and their running sums."""
-    keys = [*by, "column"]
-    counts = long.groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    ranked = running_sums(counts, "value", {"upto": "n"}, keys, totals=True, borders=borders)
-    start, end, last = F.col("upto") - F.col("n"), F.col("upto"), F.col("upto_total") - 1
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < end), F.col("value")))
+def quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by…, column, q ARRAY): exact, linearly interpolated quantiles.
 
+    A sketch brackets each quantile; one scan counts the values below each bracket and groups those inside; the
+    neighbours of the rank are picked from these. Only brackets are shuffled, never a column. A bracket that
+    misses its rank (the sketch's error is bounded, so none should) is taken again as the whole group.
+    """
+    long = to_long(df, cols, by)
+    keys = [*by, "column"]
+    long = long.select(F.struct(*keys).alias("_group"), "value")
+    margin, m = 3.0 / SKETCH, len(qs)
+    marks = [min(1.0, max(0.0, q + side * margin)) for q in qs for side in (-1, 1)]
+    sketch = long.groupBy("_group").agg(F.count("*").alias("_n"), F.percentile_approx("value", marks, SKETCH).alias("_m"), F.min("value").alias("_min"), F.max("value").alias("_max"))
+    # at the ends of the distribution the bracket is closed by the extreme itself
+    low = [F.when(F.lit(q - margin <= 0), F.col("_min")).otherwise(F.col("_m")[2 * i]).alias("lo") for i, q in enumerate(qs)]
+    high = [F.when(F.lit(q + margin >= 1), F.col("_max")).otherwise(F.col("_m")[2 * i + 1]).alias("hi") for i, q in enumerate(qs)]
+    brackets = sketch.select("_group", "_n", F.array(*[F.struct(a, b) for a, b in zip(low, high)]).alias("_b"))
+    near = long.join(brackets, "_group")
+    below = [F.sum((F.col("value") < F.col("_b")[i]["lo"]).cast("long")).alias(f"_below{i}") for i in range(m)]
+    inside = F.exists("_b", lambda b: (F.col("value") >= b["lo"]) & (F.col("value") <= b["hi"]))
+    cells = near.withColumn("_v", F.when(inside, F.col("value"))).groupBy("_group", "_n", "_b", "_v").agg(F.count("*").alias("_c"), *below)
+    group = Window.partitionBy("_group")
+    upto = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cells
+    for i in range(m):
+        own = (F.col("_v") >= F.col("_b")[i]["lo"]) & (F.col("_v") <= F.col("_b")[i]["hi"])
+        ranked = ranked.withColumn(f"_end{i}", F.when(own, F.sum(f"_below{i}").over(group) + F.sum(F.when(own, F.col("_c")).otherwise(0)).over(upto)))
     picks = []
     for i, q in enumerate(qs):
-        place = last * F.lit(float(q))
-        picks += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
-    found = ranked.groupBy(*keys).agg(*picks, F.max(last).alias("_last"))
+        place = (F.col("_n") - 1) * F.lit(float(q))
+        for rank, name in ((F.floor(place), "lo"), (F.ceil(place), "hi")):
+            picks.append(F.max(F.when((F.col(f"_end{i}") - F.col("_c") <= rank) & (rank < F.col(f"_end{i}")), F.col("_v"))).alias(f"_{name}{i}"))
+    found = ranked.groupBy("_group", "_n").agg(*picks)
     values = []
     for i, q in enumerate(qs):
-        place = F.col("_last") * F.lit(float(q))
-        share = place - F.floor(place)
-        values.append(F.col(f"_lo{i}") + share * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
-    return found.select(*keys, F.array(*values).alias("q"))
-
+        place = (F.col("_n") - 1) * F.lit(float(q))
+        values.append(F.col(f"_lo{i}") + (place - F.floor(place)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
+    found = found.select("_group", F.array(*values).alias("q"))
+    missed = found.where(F.exists("q", F.isnull)).select("_group")
+    again = long.join(missed, "_group", "left_semi").groupBy("_group").agg(F.percentile("value", F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
+    return found.where(~F.exists("q", F.isnull)).union(again).select("_group.*", "q")
 
-def _exact_in_task(value: Column, qs: Sequence[float]) -> Column:
-    return F.percentile(value, F.array(*[F.lit(float(q)) for q in qs]))
 
-
-def quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str], blocking: Blocking) -> DataFrame:
-    """(by…, column, q ARRAY): exact, linearly interpolated quantiles."""
-    long = to_long(df, cols, by)
-    borders = sample_borders(long, "value", blocking)
-    if borders.rows <= IN_TASK_ROWS and not borders.cuts:
-        return long.groupBy(*by, "column").agg(_exact_in_task(F.col("value"), qs).alias("q"))
-    return _ranked_quantiles(long, qs, by, borders)
-
-
-def quantile_row(df: DataFrame, cols: Sequence[str], qs: Sequence[float], blocking: Blocking = DEFAULT) -> DataFrame:
+def quantile_row(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
     """One row with an array of exact, linearly interpolated quantiles per column."""
-    long = to_long(df, cols)
-    borders = sample_borders(long, "value", blocking)
-    if borders.rows <= IN_TASK_ROWS and not borders.cuts:
-        return df.agg(*[_exact_in_task(nan_to_null(c), qs).alias(c) for c in cols])
-    arrays = _ranked_quantiles(long, qs, (), borders)
+    arrays = quantile_arrays(df, cols, qs)
     return arrays.agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols])
 
 
 def quantiles(
-    df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (), blocking: Blocking = DEFAULT, accuracy: int | None = None
+    df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = (), accuracy: int | None = None
 ) -> DataFrame:
     """(by…, column, quantile, value). Exact unless ``accuracy`` asks for the sketch."""
     if accuracy:
         arrays = to_long(df, cols, by).groupBy(*by, "column").agg(F.percentile_approx("value", list(qs), accuracy).alias("q"))
     else:
-        arrays = quantile_arrays(df, cols, qs, by, blocking)
+        arrays = quantile_arrays(df, cols, qs, by)
     pairs = F.arrays_zip(F.array(*[F.lit(float(q)) for q in qs]).alias("quantile"), F.col("q").alias("value"))
     return arrays.select(*by, "column", F.inline(pairs).alias("quantile", "value"))
 
 
-def describe(df: DataFrame, cols: Sequence[str], blocking: Blocking = DEFAULT) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, count, mean, std, min, q25, q50, q75, max) per numeric column."""
     long = to_long(df, cols)
     basic = long.groupBy("column").agg(
@@ -90,7 +91,7 @@ def describe(df: DataFrame, cols: Sequence[str], blocking: Blocking = DEFAULT) -
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    arrays = quantile_arrays(df, cols, [0.25, 0.5, 0.75], (), blocking)
+    arrays = quantile_arrays(df, cols, [0.25, 0.5, 0.75], ())
     q = F.col("q")
     return basic.join(arrays, "column", "left").select(
         "column", "count", "mean", "std", "min", q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), "max"
@@ -171,10 +172,10 @@ def shape_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return g.select("column", skew.alias("skewness"), kurt.alias("kurtosis"))
 
 
-def _any_outlier(df: DataFrame, cols: Sequence[str], k: float, blocking: Blocking) -> tuple[DataFrame, dict[str, Column], Column]:
+def _any_outlier(df: DataFrame, cols: Sequence[str], k: float) -> tuple[DataFrame, dict[str, Column], Column]:
     from demandframe.operators.repair import _outside
 
-    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75], blocking))
+    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75]))
     flags = {c: _outside(c, F.col("_stats").getField(c), k) for c in cols}
     anywhere = F.lit(False)
     for f in flags.values():
@@ -182,9 +183,9 @@ def _any_outlier(df: DataFrame, cols: Sequence[str], k: float, blocking: Blockin
     return ready, flags, anywhere
 
 
-def outlier_profile(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def outlier_profile(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """(column, n_out, pct) per column plus a row '*' for rows with at least one outlier."""
-    ready, flags, anywhere = _any_outlier(df, cols, k, blocking)
+    ready, flags, anywhere = _any_outlier(df, cols, k)
     one = ready.agg(
         F.count("*").alias("_n"), *[F.count_if(f).alias(c) for c, f in flags.items()], F.count_if(anywhere).alias("_any")
     )
@@ -193,8 +194,8 @@ def outlier_profile(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking
     return long.select(name, "n_out", (F.col("n_out") * 100.0 / F.col("_n")).alias("pct"))
 
 
-def drop_outlier_rows(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
-    ready, _, anywhere = _any_outlier(df, cols, k, blocking)
+def drop_outlier_rows(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
+    ready, _, anywhere = _any_outlier(df, cols, k)
     return ready.where(~anywhere).drop("_stats")
 
 
@@ -229,15 +230,15 @@ def histogram(df: DataFrame, c: str, bins: int, lo: float | None = None, hi: flo
     )
 
 
-def box_stats(df: DataFrame, c: str, by: Sequence[str] = (), k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def box_stats(df: DataFrame, c: str, by: Sequence[str] = (), k: float = 1.5) -> DataFrame:
     """(by…, n, q1, median, q3, whisker_lo, whisker_hi, n_out): whiskers end on data points."""
     names = [f"_by{i}" for i in range(len(by))]
     x = df.select(*[F.col(b).alias(n) for b, n in zip(by, names)], F.col(c).cast("double").alias("x")).where("x IS NOT NULL")
     if not by:
-        q = one_row(quantile_row(x, ["x"], [0.25, 0.5, 0.75], blocking)).getField("x")
+        q = one_row(quantile_row(x, ["x"], [0.25, 0.5, 0.75])).getField("x")
         rows = x.withColumn("q", q)
     else:
-        arrays = quantile_arrays(x, ["x"], [0.25, 0.5, 0.75], names, blocking).drop("column")
+        arrays = quantile_arrays(x, ["x"], [0.25, 0.5, 0.75], names).drop("column")
         keyed = x.withColumn("_group", F.struct(*names))
         rows = join_summary(keyed, arrays.select(F.struct(*names).alias("_group"), "q"), ["_group"])
     q1, q2, q3 = (F.col("q")[i] for i in range(3))

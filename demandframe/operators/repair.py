@@ -104,9 +104,9 @@ def _outside(c: str, q: Column, k: float) -> Column:
     return F.coalesce((F.col(c) < lo) | (F.col(c) > hi), F.lit(False))
 
 
-def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """(column, q1, q3, iqr, lo, hi, n_out, pct); pct is over all rows, NULLs are no outliers."""
-    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75], blocking))
+    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75]))
     s = F.col("_stats")
     counted = ready.agg(
         F.count("*").alias("_n"),
@@ -133,27 +133,27 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blo
     )
 
 
-def iqr_flag(df: DataFrame, cols: Sequence[str], k: float = 1.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def iqr_flag(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Add ``<column>_outlier`` 0/1 flags."""
-    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75], blocking))
+    ready = attach_row(df, quantile_row(df, cols, [0.25, 0.75]))
     flags = {f"{c}_outlier": _outside(c, F.col("_stats").getField(c), k).cast("int") for c in cols}
     return ready.withColumns(flags).drop("_stats")
 
 
-def outlier_fit(df: DataFrame, cols: Sequence[str], blocking: Blocking = DEFAULT) -> DataFrame:
+def outlier_fit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row with [first quartile, third quartile, median] per column."""
-    return quantile_row(df, cols, [0.25, 0.75, 0.5], blocking)
+    return quantile_row(df, cols, [0.25, 0.75, 0.5])
 
 
 def replace_exclusive_outliers(
-    df: DataFrame, cols: Sequence[str], k: float = 2.5, blocking: Blocking = DEFAULT, stats: DataFrame | None = None
+    df: DataFrame, cols: Sequence[str], k: float = 2.5, stats: DataFrame | None = None
 ) -> DataFrame:
     """A value that is an outlier in its own column and in no other of ``cols`` becomes the median.
 
     Fences and medians come from one statistics pass over the unchanged columns (``stats``, see
     ``outlier_fit``). For integer columns the median is rounded half-even.
     """
-    ready = attach_row(df, outlier_fit(df, cols, blocking) if stats is None else stats)
+    ready = attach_row(df, outlier_fit(df, cols) if stats is None else stats)
     s = F.col("_stats")
     kinds = {f.name: f.dataType for f in df.schema.fields}
     outside = {c: _outside(c, s.getField(c), k) for c in cols}
@@ -232,27 +232,27 @@ def drop_negative(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def repair_count_values(
-    df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT, stats: DataFrame | None = None
+    df: DataFrame, a: str, b: str, total: str, k: float = 2.5, stats: DataFrame | None = None
 ) -> DataFrame:
     """Counts made whole, single outliers replaced, gaps filled, identity restored; no row is dropped."""
     members = [a, b, total]
-    df = replace_exclusive_outliers(whole_counts(df, members), members, k, blocking, stats)
+    df = replace_exclusive_outliers(whole_counts(df, members), members, k, stats)
     return fix_identity(fill_by_identity(df, a, b, total), a, b, total)
 
 
-def repair_counts(df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def repair_counts(df: DataFrame, a: str, b: str, total: str, k: float = 2.5) -> DataFrame:
     """The whole count step: repaired values, then rows that cannot be saved go."""
     members = [a, b, total]
-    return drop_negative(drop_incomplete(repair_count_values(df, a, b, total, k, blocking), members), members)
+    return drop_negative(drop_incomplete(repair_count_values(df, a, b, total, k), members), members)
 
 
-def cleaning_report(df: DataFrame, a: str, b: str, total: str, k: float = 2.5, blocking: Blocking = DEFAULT) -> DataFrame:
+def cleaning_report(df: DataFrame, a: str, b: str, total: str, k: float = 2.5) -> DataFrame:
     """(measure, n): what the count step replaced, filled, recomputed and dropped. One pass."""
     members = [a, b, total]
     whole = whole_counts(df, members)
     old = {m: f"_old_{m}" for m in members}
     kept = whole.withColumns({old[m]: F.col(m) for m in members})
-    replaced = replace_exclusive_outliers(kept, members, k, blocking)
+    replaced = replace_exclusive_outliers(kept, members, k)
     nulls = {m: f"_null_{m}" for m in members}
     changed = replaced.withColumns(
         {**{nulls[m]: F.col(m).isNull() for m in members}, **{f"_rep_{m}": ~F.equal_null(F.col(m), F.col(old[m])) for m in members}}

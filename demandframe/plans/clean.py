@@ -70,7 +70,7 @@ def clean(df: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     """
     n = rules
     start = r.drop_columns(typed(df, n), n.unused)
-    quartiles = r.outlier_fit(r.whole_counts(start, n.counts), n.counts, n.blocking)
+    quartiles = r.outlier_fit(r.whole_counts(start, n.counts), n.counts)
     df = r.bound_and_fill(start, {m: n.measure_limit for m in n.measures}, n.order, blocking=n.blocking)
     df = r.repair_from_group(df, n.season, (1, 2, 3, 4), [n.date], n.order, donors=start)
     df = r.calendar_repairs(df, n.date, n.year, n.month, n.workingday, n.weekday, n.holiday, n.year_codes)

@@ -114,15 +114,14 @@ def flagged(spark, given, k=1.5, **kw):
     return [i for i, v in enumerate(values(repair.iqr_flag(column(spark, given), ["c"], k, **kw), "c_outlier")) if v]
 
 
-@pytest.mark.parametrize("kw", [{}, {"blocking": Blocking(rows_per_block=3, fraction=1.0)}])
-def test_iqr_flags(spark, kw):
-    assert flagged(spark, [10.0, 12, 11, 13, 10, 12, 1000, 15, 14, 11], **kw) == [6]
-    assert flagged(spark, [10.0, 10, 10, 100, 10, 10], **kw) == [3]
-    assert flagged(spark, [5.0] * 6, **kw) == []
-    assert flagged(spark, [7.0], **kw) == []
-    assert {10, 11} <= set(flagged(spark, [5.0, 10, 12, 11, 13, 10, 12, 15, 14, 11, 50, -20], **kw))
-    strict = flagged(spark, [10.0, 12, 11, 13, 10, 12, 50, 15, 14, 11, 60], 1.5, **kw)
-    lenient = flagged(spark, [10.0, 12, 11, 13, 10, 12, 50, 15, 14, 11, 60], 3.0, **kw)
+def test_iqr_flags(spark):
+    assert flagged(spark, [10.0, 12, 11, 13, 10, 12, 1000, 15, 14, 11]) == [6]
+    assert flagged(spark, [10.0, 10, 10, 100, 10, 10]) == [3]
+    assert flagged(spark, [5.0] * 6) == []
+    assert flagged(spark, [7.0]) == []
+    assert {10, 11} <= set(flagged(spark, [5.0, 10, 12, 11, 13, 10, 12, 15, 14, 11, 50, -20]))
+    strict = flagged(spark, [10.0, 12, 11, 13, 10, 12, 50, 15, 14, 11, 60], 1.5)
+    lenient = flagged(spark, [10.0, 12, 11, 13, 10, 12, 50, 15, 14, 11, 60], 3.0)
     assert set(lenient) <= set(strict)
 
 
