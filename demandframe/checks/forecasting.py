@@ -130,33 +130,3 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     x = series.regular_grid(_sums(t, ["o_orderpriority"]), keys=["o_orderpriority"]).fillna(0.0, ["y"])
     return rounded(series.decompose(x, "ds", "y", 7, ["o_orderpriority"]), 2)
-
-
-@check(
-    "sarima_without_parameters",
-    f"""WITH {GRID_BY}, x AS (SELECT o_orderpriority, ds, coalesce(y, 0) AS y, row_number() OVER (PARTITION BY o_orderpriority ORDER BY ds) AS t FROM r)
-        SELECT o_orderpriority, ds, round(y, 2) AS y, round(CASE WHEN t > 8 THEN lag(y, 1) OVER w + lag(y, 7) OVER w - lag(y, 8) OVER w END, 2) AS yhat
-        FROM x WINDOW w AS (PARTITION BY o_orderpriority ORDER BY ds)""",
-)
-def _(t: Tables) -> DataFrame:
-    """Order (0,1,0)(0,1,0,7) has nothing to fit: each prediction is y[t-1] + y[t-7] - y[t-8]."""
-    x = series.regular_grid(_sums(t, ["o_orderpriority"]), keys=["o_orderpriority"]).fillna(0.0, ["y"])
-    made = series.sarima_by_key(x, ["o_orderpriority"], "ds", "y", (0, 1, 0), (0, 1, 0, 7))
-    return rounded(made.select("o_orderpriority", "ds", "y", "yhat"), 2)
-
-
-def _weekly(t: Tables) -> DataFrame:
-    return series.regular_grid(_sums(t, ["o_orderpriority"]), keys=["o_orderpriority"])
-
-
-@check("sarima_by_key")
-def _(t: Tables) -> DataFrame:
-    """One fit per priority over the whole history, with two weeks of forecasts."""
-    return series.sarima_by_key(_weekly(t), ["o_orderpriority"], "ds", "y", steps=14)
-
-
-@check("select_order")
-def _(t: Tables) -> DataFrame:
-    x = series.split_by_date(_weekly(t), "ds", BOUNDS)
-    scores = series.order_scores(x, ["o_orderpriority"], "ds", "y")
-    return series.select_order(scores, ["o_orderpriority"])

@@ -1,4 +1,4 @@
-"""Daily time series: shaping, decomposition, naive and seasonal ARIMA forecasts.
+"""Daily time series: shaping, decomposition and naive forecasts.
 
 After ``daily_first`` / ``daily_agg`` a series has one row per day, so its length is bounded by the
 calendar; ordered steps still cut the days into blocks and never need a one-task window.
@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,234 +98,3 @@ def decompose(df: DataFrame, ds: str, y: str, period: int = 7, keys: Sequence[st
     season = means.join(centre, "_key").select("_key", "_phase", (F.col("_m") - F.col("_c")).alias("seasonal"))
     out = trended.withColumn("_phase", phase).join(season, ["_key", "_phase"], "left")
     return out.select(*df.columns, "trend", "seasonal", (F.col(y) - F.col("trend") - F.col("seasonal")).alias("resid"))
-
-
-# ---- seasonal ARIMA, one series per group --------------------------------------------------
-
-
-def _to_coefficients(raw: np.ndarray) -> np.ndarray:
-    """Unbounded numbers to a stationary polynomial, through partial autocorrelations in (-1, 1)."""
-    coef = np.zeros(0)
-    for r in np.tanh(raw):
-        coef = np.append(coef - r * coef[::-1], r)
-    return coef
-
-
-def _poly(coef: np.ndarray, step: int) -> np.ndarray:
-    """1 - c1 B^step - c2 B^2step …"""
-    p = np.zeros(len(coef) * step + 1)
-    p[0] = 1.0
-    p[step::step] = -coef
-    return p
-
-
-def _polynomials(theta: np.ndarray, order, seasonal) -> tuple[np.ndarray, np.ndarray]:
-    """Full AR polynomial (with differences) and MA polynomial in the lag operator."""
-    p, d, q = order
-    sp, sd, sq, s = seasonal
-    a, b, c, e = np.split(theta, np.cumsum([p, q, sp]))
-    ar = np.convolve(_poly(_to_coefficients(a), 1), _poly(_to_coefficients(c), max(s, 1)))
-    for _ in range(d):
-        ar = np.convolve(ar, [1.0, -1.0])
-    for _ in range(sd):
-        ar = np.convolve(ar, np.concatenate([[1.0], np.zeros(s - 1), [-1.0]]))
-    ma = np.convolve(_poly(-_to_coefficients(b), 1), _poly(-_to_coefficients(e), max(s, 1)))
-    return ar, ma
-
-
-def _terms(poly: np.ndarray) -> list[tuple[int, float]]:
-    """(lag, coefficient) of the terms that are not zero, without lag 0."""
-    return [(i, float(c)) for i, c in enumerate(poly) if i and c]
-
-
-def _residuals(y: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One-step errors given the first values; a missing value is replaced by its own prediction.
-
-    Seasonal polynomials are mostly zeros, so only the terms present are followed.
-    """
-    n, p = len(y), len(ar) - 1
-    level, err = y.tolist(), [0.0] * n
-    a, b = _terms(ar), _terms(ma)
-    for t in range(p, n):
-        guess = 0.0
-        for lag, c in a:
-            guess -= c * level[t - lag]
-        for lag, c in b:
-            if lag <= t:
-                guess += c * err[t - lag]
-        seen = level[t]
-        if seen != seen:
-            level[t] = guess
-        else:
-            err[t] = seen - guess
-    return np.array(err), np.array(level)
-
-
-def _lead_in(y: np.ndarray, p: int) -> np.ndarray:
-    """The first p values have no prediction: holes there take the nearest known value."""
-    out = y.copy()
-    known = np.flatnonzero(~np.isnan(out))
-    for t in range(min(p, len(out))):
-        if np.isnan(out[t]) and len(known):
-            out[t] = out[known[np.abs(known - t).argmin()]]
-    return out
-
-
-def fit_sarima(y: np.ndarray, order, seasonal, iterations: int = 40) -> dict | None:
-    """Conditional least squares by damped Gauss-Newton. None if the series is too short."""
-    k = order[0] + order[2] + seasonal[0] + seasonal[2]
-    theta = np.full(k, 0.1)
-    p = len(_polynomials(theta, order, seasonal)[0]) - 1
-    if np.count_nonzero(~np.isnan(y)) < p + k + 2:
-        return None
-    y = _lead_in(np.asarray(y, dtype=float), p)
-    scale = np.nanstd(y) or 1.0
-
-    def errors(t: np.ndarray) -> np.ndarray:
-        return _residuals(y, *_polynomials(t, order, seasonal))[0][p:] / scale
-
-    best = errors(theta)
-    damp = 1e-2
-    for _ in range(iterations if k else 0):
-        jac = np.column_stack([(errors(theta + 1e-5 * np.eye(k)[i]) - best) / 1e-5 for i in range(k)])
-        grad, hess = jac.T @ best, jac.T @ jac
-        moved = False
-        for _ in range(8):
-            step = np.linalg.solve(hess + damp * (np.diag(np.diag(hess)) + 1e-9 * np.eye(k)), grad)
-            trial = np.clip(theta - step, -6, 6)
-            e = errors(trial)
-            if np.isfinite(e).all() and e @ e < best @ best:
-                gain = 1 - (e @ e) / (best @ best)
-                theta, best, damp, moved = trial, e, damp / 3, True
-                break
-            damp *= 4
-        if not moved or gain < 1e-8:
-            break
-    ar, ma = _polynomials(theta, order, seasonal)
-    err, level = _residuals(y, ar, ma)
-    used = np.count_nonzero(err[p:]) or 1
-    return {"ar": ar, "ma": ma, "err": err, "level": level, "start": p, "sigma2": float(err[p:] @ err[p:]) / used}
-
-
-def forecast_sarima(fit: dict, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Point forecasts and their standard errors."""
-    ar, ma = fit["ar"], fit["ma"]
-    p, q = len(ar) - 1, len(ma) - 1
-    level, err = list(fit["level"]), list(fit["err"])
-    psi = np.zeros(steps)
-    for h in range(steps):
-        guess = -sum(ar[i] * level[-i] for i in range(1, p + 1)) + sum(ma[j] * err[-j] for j in range(1, q + 1))
-        level.append(guess)
-        err.append(0.0)
-        psi[h] = 1.0 if h == 0 else (ma[h] if h <= q else 0.0) - sum(ar[i] * psi[h - i] for i in range(1, min(p, h) + 1))
-    return np.array(level[-steps:] if steps else []), np.sqrt(fit["sigma2"] * np.cumsum(psi**2))
-
-
-def _normal_quantile(p: float) -> float:
-    from statistics import NormalDist
-
-    return NormalDist().inv_cdf(p)
-
-
-def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Partition by key with a fixed number of tasks: fits are heavy and their input is tiny, so
-    merging partitions by size (as adaptive execution does) would line all fits up in one task."""
-    spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return df.repartition(tasks, *keys)
-
-
-def sarima_by_key(
-    df: DataFrame, keys: Sequence[str], ds: str, y: str, order=(1, 1, 1), seasonal=(1, 1, 1, 7), steps: int = 0, alpha: float = 0.05
-) -> DataFrame:
-    """(keys…, ds, y, yhat, lower, upper, is_forecast): one seasonal ARIMA per key.
-
-    In-sample rows carry one-step predictions; ``steps`` future days follow. Series must be regular
-    daily ones (see ``regular_grid``), so a group is bounded by the calendar. The work is spread over
-    keys: a single series is fitted by a single task. Fitting is conditional least squares, so
-    numbers differ slightly from an exact-likelihood fit. A series that is too short gets NULLs.
-    """
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join(
-        [*[f"`{k}` {kinds[k]}" for k in keys], "ds date", "y double", "yhat double", "lower double", "upper double", "is_forecast int"]
-    )
-    names, z = list(keys), _normal_quantile(1 - alpha / 2)
-
-    def per_key(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("ds", kind="stable")
-        series = part["y"].to_numpy(dtype=float)
-        days = pd.to_datetime(part["ds"])
-        ahead = pd.date_range(days.iloc[-1] + pd.Timedelta(days=1), periods=steps)
-        blank = np.full(len(series), np.nan)
-        fit = fit_sarima(series, order, seasonal)
-        if fit is None:
-            inside, se_in, outside, se_out = blank, blank, np.full(steps, np.nan), np.full(steps, np.nan)
-        else:
-            inside = np.where(np.arange(len(series)) < fit["start"], np.nan, fit["level"] - fit["err"])
-            se_in = np.full(len(series), np.sqrt(fit["sigma2"]))
-            outside, se_out = forecast_sarima(fit, steps)
-        out = pd.DataFrame(
-            {
-                "ds": [d.date() for d in [*days, *ahead]],
-                "y": np.concatenate([series, np.full(steps, np.nan)]),
-                "yhat": np.concatenate([inside, outside]),
-                "is_forecast": np.repeat([0, 1], [len(series), steps]),
-            }
-        )
-        se = np.concatenate([se_in, se_out])
-        out["lower"], out["upper"] = out["yhat"] - z * se, out["yhat"] + z * se
-        for k in names:
-            out[k] = part[k].iloc[0]
-        return out[[*names, "ds", "y", "yhat", "lower", "upper", "is_forecast"]]
-
-    slim = _spread(df.select(*keys, F.col(ds).cast("date").alias("ds"), F.col(y).cast("double").alias("y")), keys)
-    made = slim.groupBy(*keys).applyInPandas(per_key, schema)
-    numbers = {c: F.when(~F.isnan(c), F.col(c)) for c in ("y", "yhat", "lower", "upper")}
-    return made.withColumns(numbers)
-
-
-# The orders tried by default.
-CANDIDATES = [
-    ((1, 1, 1), (1, 1, 1, 7)),
-    ((1, 1, 1), (2, 1, 1, 7)),
-    ((2, 1, 1), (1, 1, 1, 7)),
-    ((2, 1, 1), (2, 1, 1, 7)),
-    ((1, 1, 2), (1, 1, 1, 7)),
-    ((1, 1, 2), (2, 1, 1, 7)),
-]
-
-
-def order_scores(
-    df: DataFrame, keys: Sequence[str], ds: str, y: str, split: str = "split", train: str = "train", valid: str = "valid", candidates=CANDIDATES
-) -> DataFrame:
-    """(keys…, candidate, order, mae): validation error of every candidate; (key, candidate) pairs run in parallel."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "candidate int, order string, mae double"])
-    names = list(keys)
-    trials = F.explode(F.array(*[F.lit(i) for i in range(len(candidates))])).alias("candidate")
-    slim = df.where(F.col(split).isin(train, valid)).select(
-        *keys, F.col(ds).cast("date").alias("ds"), F.col(y).cast("double").alias("y"), F.col(split).alias("s"), trials
-    )
-
-    def score(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("ds", kind="stable")
-        number = int(part["candidate"].iloc[0])
-        order, seasonal = candidates[number]
-        known = part.loc[part["s"] == train, "y"].to_numpy(dtype=float)
-        truth = part.loc[part["s"] == valid, "y"].to_numpy(dtype=float)
-        fit = fit_sarima(known, order, seasonal)
-        mae = np.nan
-        if fit is not None and len(truth):
-            guess, _ = forecast_sarima(fit, len(truth))
-            mae = float(np.nanmean(np.abs(truth - guess)))
-        row = {**{k: part[k].iloc[0] for k in names}, "candidate": number, "order": f"{order}{seasonal}", "mae": mae}
-        return pd.DataFrame([row])[[*names, "candidate", "order", "mae"]]
-
-    scored = _spread(slim, [*keys, "candidate"]).groupBy(*keys, "candidate").applyInPandas(score, schema)
-    return scored.withColumn("mae", F.when(~F.isnan("mae"), F.col("mae")))
-
-
-def select_order(scores: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys…, candidate, order, mae): the best candidate per key, first on ties."""
-    best = F.min_by(F.struct("candidate", "order", "mae"), F.struct("mae", "candidate")).alias("b")
-    return scores.where("mae IS NOT NULL").groupBy(*keys).agg(best).select(*keys, "b.*")
