@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from demandframe.checks.cleaning import CLEAN_SQL, EVENT_RULES, RAW_EVENTS
 from demandframe.checks.features import split_sql
-from demandframe.checks.monitoring import requests
+from demandframe.checks.monitoring import WIDTH, requests
 from demandframe.checks.registry import Tables, check, plain, rounded
 from demandframe.operators import drift, models, prep, scoring
 from demandframe.operators.metrics import metrics_by_split
@@ -95,16 +95,16 @@ PARTS = "SELECT p_partkey, p_retailprice AS y, CAST(p_size AS DOUBLE) AS s, CAST
 
 def folds_sql(k: int) -> str:
     return f"""SELECT *, CASE WHEN i < (n % {k}) * (n // {k} + 1) THEN i // (n // {k} + 1) ELSE n % {k} + (i - (n % {k}) * (n // {k} + 1)) // (n // {k}) END AS fold
-               FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i, count(*) OVER () AS n FROM ({plain(PARTS)}) WHERE p_partkey > 2)"""
+               FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i, count(*) OVER () AS n FROM ({plain(PARTS)}))"""
 
 
 def _folded(t: Tables, k: int) -> DataFrame:
-    return models.with_folds(t.view(PARTS).where("p_partkey > 2"), "p_partkey", k, blocking=Blocking(block_size=300))
+    return models.with_folds(t.view(PARTS), "p_partkey", k, blocking=Blocking(block_size=300))
 
 
-@check("with_folds", f"SELECT p_partkey, y, s, w, CAST(fold AS INT) AS fold FROM ({folds_sql(5)})")
+@check("with_folds", f"SELECT p_partkey, y, s, w, CAST(fold AS INT) AS fold FROM ({folds_sql(7)})")
 def _(t: Tables) -> DataFrame:
-    return _folded(t, 5)
+    return _folded(t, 7)
 
 
 def cv_sql(points: list[dict], k: int, ridge: bool = False) -> str:
@@ -123,10 +123,10 @@ LINEAR_GRID = {"fit_intercept": [True, False]}
 
 @check(
     "grid_search_linear",
-    f"""WITH {cv_sql(models.param_grid(LINEAR_GRID), 5)} SELECT CAST(point AS INT) AS point, round(-mse, 3) AS score, round(sqrt(mse), 5) AS cv_rmse, CAST(mse = min(mse) OVER () AS INT) AS best FROM a""",
+    f"""WITH {cv_sql(models.param_grid(LINEAR_GRID), 7)} SELECT CAST(point AS INT) AS point, round(-mse, 3) AS score, round(sqrt(mse), 5) AS cv_rmse, CAST(mse = min(mse) OVER () AS INT) AS best FROM a""",
 )
 def _(t: Tables) -> DataFrame:
-    _, table = models.search("linear", LINEAR_GRID, _folded(t, 5), "y", ["s"], 5)
+    _, table = models.search("linear", LINEAR_GRID, _folded(t, 7), "y", ["s"], 7)
     return table.select("point", F.round("score", 3).alias("score"), F.round("cv_rmse", 5).alias("cv_rmse"), "best")
 
 
@@ -136,19 +136,19 @@ RIDGE_POINTS = models.sampled_grid(RIDGE_GRID, 6, 42)
 
 @check(
     "random_search_ridge",
-    f"""WITH {cv_sql(RIDGE_POINTS, 4, True)} SELECT CAST(point AS INT) AS point, round(-mse, 3) AS score, round(sqrt(mse), 5) AS cv_rmse FROM a""",
+    f"""WITH {cv_sql(RIDGE_POINTS, 6, True)} SELECT CAST(point AS INT) AS point, round(-mse, 3) AS score, round(sqrt(mse), 5) AS cv_rmse FROM a""",
 )
 def _(t: Tables) -> DataFrame:
-    _, table = models.search("ridge", RIDGE_GRID, _folded(t, 4), "y", ["s"], 4, "random", 6, 42)
+    _, table = models.search("ridge", RIDGE_GRID, _folded(t, 6), "y", ["s"], 6, "random", 6, 42)
     return table.select("point", F.round("score", 3).alias("score"), F.round("cv_rmse", 5).alias("cv_rmse"))
 
 
 @check(
     "cross_validate_two_metrics",
-    f"WITH {cv_sql(models.param_grid(LINEAR_GRID), 4)} SELECT CAST(point AS INT) AS point, round(rmse, 5) AS rmse, round(mae, 5) AS mae, CAST(rmse = min(rmse) OVER () AS INT) AS best FROM a",
+    f"WITH {cv_sql(models.param_grid(LINEAR_GRID), 3)} SELECT CAST(point AS INT) AS point, round(rmse, 5) AS rmse, round(mae, 5) AS mae, CAST(rmse = min(rmse) OVER () AS INT) AS best FROM a",
 )
 def _(t: Tables) -> DataFrame:
-    _, table = models.cross_validate("linear", models.param_grid(LINEAR_GRID), _folded(t, 4), "y", ["s"], 4)
+    _, table = models.cross_validate("linear", models.param_grid(LINEAR_GRID), _folded(t, 3), "y", ["s"], 3)
     return table.select("point", F.round("rmse", 5).alias("rmse"), F.round("mae", 5).alias("mae"), "best")
 
 
@@ -320,13 +320,14 @@ def _(t: Tables) -> DataFrame:
 
 # ---- request scoring -----------------------------------------------------------------------
 
-# The label is an exact linear form of the first four numbers, so predictions are known.
+# Four numbers make a row, the label is an exact linear form of them, so predictions are known.
 FORM = "2 * {0} - 1 * {1} + 0.5 * {2} + 0 * {3} + 1"
 
 
 def _request_model(t: Tables):
-    e = F.col("embedding")
-    x = t.embeddings.select(*[e[i].cast("double").alias(f"x{i}") for i in range(4)])
+    """Fitted on all rows of all requests."""
+    e = F.col("embedding").cast("array<double>")
+    x = t.embeddings.select(F.explode(F.array(*[F.slice(e, 4 * i + 1, 4) for i in range(WIDTH)])).alias("r")).select(*[F.col("r")[i].alias(f"x{i}") for i in range(4)])
     y = 2 * F.col("x0") - F.col("x1") + 0.5 * F.col("x2") + 1
     return models.fit("linear", x.withColumn("y", y), "y", [f"x{i}" for i in range(4)])
 
@@ -336,27 +337,34 @@ def _answers(part: int) -> str:
     return f"round({FORM.format(*cells)}, 5)"
 
 
-ANSWERED = f"""SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 400 WHEN vec_id % 11 = 0 OR vec_id % 13 = 0 OR vec_id % 17 = 0 THEN 422 ELSE 200 END AS status,
-  {', '.join(f'CASE WHEN vec_id % 7 > 0 AND vec_id % 11 > 0 AND vec_id % 13 > 0 AND vec_id % 17 > 0 THEN {_answers(i)} END AS p{i}' for i in range(4))} FROM embeddings"""
+# Ids of requests: two in three are shared by two requests, one in five is NULL.
+SHARED_ID = "CASE WHEN vec_id % 5 = 0 THEN NULL ELSE vec_id // 3 END"
+
+ANSWERED = f"""SELECT {SHARED_ID} AS request, CASE WHEN vec_id % 7 = 0 THEN 400 WHEN vec_id % 11 = 0 OR vec_id % 13 = 0 OR vec_id % 17 = 0 THEN 422 ELSE 200 END AS status,
+  {', '.join(f'CASE WHEN vec_id % 7 > 0 AND vec_id % 11 > 0 AND vec_id % 13 > 0 AND vec_id % 17 > 0 THEN {_answers(i)} END AS p{i}' for i in range(WIDTH))} FROM embeddings"""
+
+
+def _shared(t: Tables) -> DataFrame:
+    return requests(t).select(F.expr(SHARED_ID.replace("//", "DIV")).alias("request"), "features")
 
 
 def _flat(answers: DataFrame) -> DataFrame:
-    return answers.select("vec_id", "status", *[F.round(F.get("predictions", F.lit(i)), 5).alias(f"p{i}") for i in range(4)])
+    return answers.select("request", "status", *[F.round(F.get("predictions", F.lit(i)), 5).alias(f"p{i}") for i in range(WIDTH)])
 
 
 @check("answer_requests", ANSWERED)
 def _(t: Tables) -> DataFrame:
-    return _flat(scoring.answer_requests(requests(t), _request_model(t), "vec_id", "features", 4))
+    return _flat(scoring.answer_requests(_shared(t), _request_model(t), "request", "features", 4))
 
 
 @check("score_stream", ANSWERED)
 def _(t: Tables) -> DataFrame:
     """The same requests read as a stream of files, answered batch by batch into a folder."""
     folder = _scratch(t, "stream")
-    io.write_table(requests(t), f"{folder}/requests")
+    io.write_table(_shared(t), f"{folder}/requests")
     schema = t.spark.read.parquet(f"{folder}/requests").schema
     stream = t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/requests")
-    query = score_stream(stream, _request_model(t), "vec_id", "features", f"{folder}/answers", f"{folder}/progress", 4)
+    query = score_stream(stream, _request_model(t), "request", "features", f"{folder}/answers", f"{folder}/progress", 4)
     query.awaitTermination()
     return _flat(t.spark.read.parquet(f"{folder}/answers"))
 

@@ -404,13 +404,17 @@ def _(t: Tables) -> DataFrame:
 # ---- requests ------------------------------------------------------------------------------
 
 
+# Rows of four numbers in an embedding.
+WIDTH = 16
+
+
 def requests(t: Tables) -> DataFrame:
-    """Rows of four numbers cut from each embedding, with every kind of broken request."""
+    """Each embedding as rows of four numbers, with every kind of broken request."""
     e = F.col("embedding").cast("array<double>")
-    rows = [F.slice(e, 4 * i + 1, 4) for i in range(4)]
+    rows = [F.slice(e, 4 * i + 1, 4) for i in range(WIDTH)]
     good = F.array(*rows)
-    ragged = F.array(rows[0], F.slice(e, 5, 3), rows[2])
-    wide = F.array(F.slice(e, 1, 5), F.slice(e, 6, 5))
+    ragged = F.array(rows[0], F.slice(e, 5, 3), *rows[2:])
+    wide = F.array(*[F.slice(e, 5 * i + 1, 5) for i in range(12)])
     v = F.col("vec_id")
     body = (
         F.when(v % 7 == 0, F.lit(None))

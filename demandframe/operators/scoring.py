@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,22 +13,43 @@ from pyspark.sql import functions as F
 from demandframe.operators.quality import validate_requests
 
 
-def score_requests(df: DataFrame, model: Transformer, request_id: str, features: str) -> DataFrame:
-    """(request_id, predictions ARRAY in row order) for valid requests.
+def _vector_stages(model: Transformer) -> list[Transformer]:
+    """The stages that work on the vector of a request's row: all behind the assembler that would make it."""
+    if not isinstance(model, PipelineModel):
+        return [model]
+    stages = list(model.stages)
+    if stages and isinstance(stages[0], VectorAssembler):
+        stages = stages[1:]
+    if not stages or any(not s.hasParam("inputCol") and not s.hasParam("featuresCol") for s in stages) or any(isinstance(s, VectorAssembler) for s in stages):
+        raise ValueError("requests hold finished feature rows: only stages that take one vector can follow")
+    return stages
+
+
+def score_requests(df: DataFrame, model: Transformer, request_id: str, features: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(request_id, keep…, predictions ARRAY in row order), one row per row of ``df``, whatever its id.
 
-    A request is an array of feature rows in the order of the model's features. Rows are scored as
-    ordinary rows and put back per request, so a group is no larger than the request itself.
+    A request is an array of feature rows in the order of the model's features. Rows are scored as ordinary rows and put
+    back per request by a key of the request's own, so equal or NULL ids don't meet and a group is no larger than one request.
     """
-    stage = model.stages[-1] if isinstance(model, PipelineModel) else model
-    rows = df.select(request_id, F.posexplode(features).alias("pos", "row"))
-    scored = stage.transform(rows.select(request_id, "pos", array_to_vector("row").alias("features")))
-    pair = F.struct("pos", F.col("prediction").alias("p"))
-    back = scored.groupBy(request_id).agg(F.sort_array(F.collect_list(pair)).alias("pairs"))
-    return back.select(request_id, F.transform("pairs", lambda x: x["p"]).alias("predictions"))
+    stages = _vector_stages(model)
+    first = stages[0]
+    vector = first.getInputCol() if first.hasParam("inputCol") else first.getFeaturesCol()
+    kept = [request_id, *keep]
+    named = {c: f"_kept_{i}" for i, c in enumerate(kept)}
+    told_apart = df.select(F.monotonically_increasing_id().alias("_request"), *[F.col(c).alias(n) for c, n in named.items()], F.col(features).alias("_rows"))
+    rows = told_apart.select("_request", *named.values(), F.posexplode("_rows").alias("_pos", "_row"))
+    scored = rows.withColumn(vector, array_to_vector("_row"))
+    for stage in stages:
+        scored = stage.transform(scored)
+    made = stages[-1].getPredictionCol()
+    pair = F.struct("_pos", F.col(made).alias("p"))
+    back = scored.groupBy("_request").agg(*[F.first(n).alias(n) for n in named.values()], F.sort_array(F.collect_list(pair)).alias("_pairs"))
+    return back.select(*[F.col(n).alias(c) for c, n in named.items()], F.transform("_pairs", lambda x: x["p"]).alias("predictions"))
 
 
 def answer_requests(df: DataFrame, model: Transformer, request_id: str, features: str, n_features: int | None = None) -> DataFrame:
-    """Every request with status, error and (for valid ones) predictions."""
+    """Every request with status, error and (for valid ones) predictions. Requests are told apart even if their ids are equal or NULL."""
     checked = validate_requests(df, features, n_features)
-    scored = score_requests(checked.where("status = 200"), model, request_id, features)
-    return checked.select(request_id, "status", "error").join(scored, request_id, "left")
+    good = score_requests(checked.where("status = 200"), model, request_id, features, ["status", "error"])
+    bad = checked.where("status <> 200").select(request_id, "status", "error", F.lit(None).cast("array<double>").alias("predictions"))
+    return good.select(request_id, "status", "error", "predictions").unionByName(bad)
