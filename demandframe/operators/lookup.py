@@ -10,21 +10,12 @@ from pyspark.sql import functions as F
 
 from demandframe.functions.columns import flag
 
-# A summary is broadcast only after it was seen to have at most this many rows.
-BROADCAST_ROWS = 20_000
-
-
-def join_summary(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def join_summary(df: DataFrame, summary: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join a per-key summary to the rows it came from.
 
-    Up to ``max_rows + 1`` summary rows are taken. If there are no more, the size is proven and they
-    are broadcast, so the big side is not shuffled. Otherwise both sides are shuffled by key, and
-    adaptive execution splits keys that hold too many rows.
+    A plain join: adaptive execution broadcasts the summary if its measured bytes allow that, and else splits keys
+    that hold too many rows.
     """
-    rows = summary.take(max_rows + 1)
-    if len(rows) <= max_rows:
-        known = df.sparkSession.createDataFrame(rows, schema=summary.schema)
-        return df.join(F.broadcast(known), list(on), how)
     return df.join(summary, list(on), how)
 
 

@@ -31,7 +31,7 @@ from demandframe.operators.prep import dummies
 LINEAR = {"linear", "ridge", "lasso", "elasticnet"}
 TREES = {"boosted", "gradient_boosting", "random_forest"}
 
-# MLlib's limit on tree depth, used for "no limit".
+# MLlib's limit on tree depth.
 MAX_DEPTH = 30
 
 
@@ -86,7 +86,7 @@ class PenalisedRegression(Estimator):
 def _boosted(label: str, params: Mapping, validation_col: str | None) -> GBTRegressor:
     model = GBTRegressor(
         featuresCol="features", labelCol=label, maxIter=int(params.get("n_estimators", 100)), stepSize=float(params.get("learning_rate", 0.1)),
-        maxDepth=int(params.get("max_depth", 5)), minInstancesPerNode=max(1, int(params.get("min_child_weight", 1))),
+        maxDepth=_depth(params, 5), minInstancesPerNode=max(1, int(params.get("min_child_weight", 1))),
         minInfoGain=float(params.get("gamma", 0.0)), subsamplingRate=float(params.get("subsample", 1.0)),
         featureSubsetStrategy=str(params.get("colsample_bytree", "all")) if params.get("colsample_bytree", 1.0) != 1.0 else "all",
         seed=int(params.get("random_state", 42)),
@@ -94,10 +94,18 @@ def _boosted(label: str, params: Mapping, validation_col: str | None) -> GBTRegr
     return model.setValidationIndicatorCol(validation_col) if validation_col else model
 
 
+def _depth(params: Mapping, default: int | None) -> int:
+    """MLlib has no trees without a limit, so none is passed off as one."""
+    depth = params.get("max_depth", default)
+    if depth is None or int(depth) > MAX_DEPTH:
+        raise ValueError(f"max_depth must be given and at most {MAX_DEPTH}, the limit of MLlib's trees")
+    return int(depth)
+
+
 def _forest(label: str, params: Mapping) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="features", labelCol=label, numTrees=int(params.get("n_estimators", 100)),
-        maxDepth=int(params.get("max_depth") or MAX_DEPTH), minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
+        maxDepth=_depth(params, None), minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
         seed=int(params.get("random_state", 42)),
     )
 
@@ -176,36 +184,51 @@ def with_folds(df: DataFrame, order: str, k: int, out: str = "fold", blocking: B
     return numbered.withColumn(out, fold.cast("int")).drop("_i", "_n")
 
 
-# Cross-products of up to this many features are kept per fold; wider tables are searched fit by fit.
-GRAM_FEATURES = 200
+def centre(train: DataFrame, label: str, features: Sequence[str]) -> np.ndarray:
+    """Means of features and label over all rows: what is subtracted before products are made, so that large offsets cost no digits."""
+    means = train.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate([*features, label])]).first()
+    if any(m is None or math.isnan(m) for m in means):
+        empty = [c for c, m in zip([*features, label], means) if m is None or math.isnan(m)]
+        raise ValueError(f"no number in, or NaN among, the values of {empty}")
+    return np.array(means, dtype=float)
+
+
+def require_complete(train: DataFrame, columns: Sequence[str]) -> None:
+    """ValueError that names the columns that hold NULL or NaN, looked for in one pass."""
+    gaps = train.agg(*[F.max((F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).cast("int")).alias(f"g{i}") for i, c in enumerate(columns)]).first()
+    bad = [c for c, g in zip(columns, gaps) if g]
+    if bad:
+        raise ValueError(f"columns with NULL or NaN: {bad}")
 
 
-def fold_products(train: DataFrame, label: str, features: Sequence[str], fold_col: str) -> dict[int, np.ndarray]:
-    """Cross-products of (features, label, 1) per fold: all a linear search needs, in one pass.
+def fold_products(train: DataFrame, label: str, features: Sequence[str], fold_col: str, about: np.ndarray | None = None) -> dict[int, np.ndarray]:
+    """Cross-products of (features, label, 1) per fold, about the point ``about``: all a linear search needs, in one pass.
 
-    Each task multiplies its own batches and gives one small matrix per fold; Spark adds them up.
+    Each task multiplies its own batches and gives the rows of one matrix per fold; Spark adds the cells up and puts rows together.
     """
     names = [*features, label]
     width = len(names) + 1
+    shift = np.zeros(len(names)) if about is None else about
 
     def multiply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            z = np.column_stack([batch[names].to_numpy(dtype=float), np.ones(len(batch))])
+            z = np.column_stack([batch[names].to_numpy(dtype=float) - shift, np.ones(len(batch))])
             folds = batch[fold_col].to_numpy()
             for f in np.unique(folds):
                 part = z[folds == f]
                 sums[int(f)] = sums.get(int(f), 0.0) + part.T @ part
         if sums:
-            yield pd.DataFrame({"fold": list(sums), "cells": [m.ravel().tolist() for m in sums.values()]})
+            yield pd.DataFrame([(f, i, r.tolist()) for f, m in sums.items() for i, r in enumerate(m)], columns=["fold", "i", "cells"])
 
     slim = train.select(*[F.col(c).cast("double").alias(c) for c in names], F.col(fold_col).cast("int").alias(fold_col))
-    parts = slim.mapInPandas(multiply, "fold int, cells array<double>")
-    cells = parts.select("fold", F.posexplode("cells").alias("pos", "v")).groupBy("fold", "pos").agg(F.sum("v").alias("v")).collect()
+    parts = slim.mapInPandas(multiply, "fold int, i int, cells array<double>")
+    cells = parts.select("fold", "i", F.posexplode("cells").alias("j", "v")).groupBy("fold", "i", "j").agg(F.sum("v").alias("v"))
+    rows = cells.groupBy("fold", "i").agg(F.sort_array(F.collect_list(F.struct("j", "v"))).alias("r")).select("fold", "i", F.transform("r", lambda x: x["v"]).alias("r")).collect()
     products: dict[int, np.ndarray] = {}
-    for r in cells:
-        products.setdefault(r["fold"], np.zeros(width * width))[r["pos"]] = r["v"]
-    return {f: m.reshape(width, width) for f, m in products.items()}
+    for r in rows:
+        products.setdefault(r["fold"], np.zeros((width, width)))[r["i"]] = r["r"]
+    return products
 
 
 def _shrink(value: float, by: float) -> float:
@@ -239,6 +262,11 @@ def linear_from_products(name: str, params: Mapping, product: np.ndarray) -> np.
     return np.append(w, mean_y - mean_x @ w)
 
 
+def _about(points: Sequence[Mapping], train: DataFrame, label: str, features: Sequence[str]) -> np.ndarray | None:
+    """The means, unless a model without intercept needs products about the origin."""
+    return centre(train, label, features) if all(p.get("fit_intercept", True) for p in points) else None
+
+
 def _product_scores(name: str, points: Sequence[Mapping], products: Mapping[int, np.ndarray]) -> list[float]:
     """Negative mean squared error of every point, averaged over the held-out folds."""
     whole = sum(products.values())
@@ -265,8 +293,10 @@ def search(
     per fold) and one fit; for all others every fold and point is a Spark job, several at a time.
     """
     points = param_grid(grid) if method == "grid" else sampled_grid(grid, n_iter, seed)
-    if name in LINEAR and scoring == "neg_mean_squared_error" and len(features) <= GRAM_FEATURES:
-        scores = _product_scores(name, points, fold_products(train, label, features, fold_col))
+    if name in LINEAR and scoring == "neg_mean_squared_error":
+        require_complete(train, [*features, label])
+        about = _about(points, train, label, features)
+        scores = _product_scores(name, points, fold_products(train, label, features, fold_col, about))
         table = _cv_table(train, points, scores)
         return fit(name, train, label, features, points[_first_best(scores)]), table
     used = assemble(features).transform(train).select("features", label, F.col(fold_col).cast("int").alias(fold_col)).persist()
@@ -306,11 +336,18 @@ def _stacked_by_products(
     name: str, params: Sequence[Mapping], train: DataFrame, label: str, features: Sequence[str], fold_col: str
 ) -> DataFrame:
     """(point, fold, label, prediction) of linear models: every row is scored by each point's model of its fold."""
-    products = fold_products(train, label, features, fold_col)
+    require_complete(train, [*features, label])
+    about = _about(params, train, label, features)
+    products = fold_products(train, label, features, fold_col, about)
     whole = sum(products.values())
-    rows = [
-        (int(f), i, [float(v) for v in linear_from_products(name, p, whole - part)]) for f, part in products.items() for i, p in enumerate(params)
-    ]
+
+    def weights(p: Mapping, part: np.ndarray) -> list[float]:
+        w = linear_from_products(name, p, whole - part)
+        if about is not None:  # the intercept back at the origin
+            w[-1] += about[-1] - about[:-1] @ w[:-1]
+        return [float(v) for v in w]
+
+    rows = [(int(f), i, weights(p, part)) for f, part in products.items() for i, p in enumerate(params)]
     fitted = train.sparkSession.createDataFrame(rows, "fold int, point int, w array<double>")
     inputs = F.array(*[F.col(c).cast("double") for c in features], F.lit(1.0))
     shaped = train.select(F.col(fold_col).cast("int").alias("fold"), F.col(label).alias("label"), inputs.alias("x"))
@@ -341,7 +378,7 @@ def cross_validate(
     """
     used = train.select(*features, label, fold_col).persist()
     try:
-        if name in LINEAR and len(features) <= GRAM_FEATURES:
+        if name in LINEAR:
             stacked = _stacked_by_products(name, params, used, label, features, fold_col)
         else:
             stacked = _stacked_by_fits(name, params, used, label, features, k, fold_col)

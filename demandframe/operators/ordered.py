@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = "_block"
+# Quantiles that the first look at the sample reads; tables of more blocks are looked at again.
+PROBES = 128
 GROUP = "_group"
 
 
@@ -66,16 +68,19 @@ def position(df: DataFrame, order: str) -> Column:
 
 def sample_borders(df: DataFrame, order: str, blocking: Blocking = DEFAULT) -> Borders:
     """Estimated row count and cut points, read from a thin sample of one column in one job."""
-    most = 4 * max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    most = PROBES
     probes = [i / most for i in range(1, most)]
     thin = df.select(position(df, order).alias("x")).where("x IS NOT NULL")
     if blocking.fraction < 1:
         thin = thin.sample(False, blocking.fraction, blocking.seed)
     n, cuts = thin.agg(F.count("*"), F.percentile_approx("x", probes, 10 * most)).first()
     rows = n / blocking.fraction
-    blocks = min(most, math.ceil(rows / blocking.rows_per_block)) if rows else 1
+    blocks = math.ceil(rows / blocking.rows_per_block) if rows else 1
     if blocks <= 1 or not cuts:
         return Borders(rows, ())
+    if blocks > most:  # a large table: as many borders as blocks, from a second look at the thin sample
+        most, probes = blocks, [i / blocks for i in range(1, blocks)]
+        cuts = thin.agg(F.percentile_approx("x", probes, 10 * most)).first()[0]
     step = most / blocks
     chosen = {cuts[min(len(cuts) - 1, max(0, round(i * step) - 1))] for i in range(1, blocks)}
     return Borders(rows, tuple(sorted(chosen)))
@@ -84,7 +89,8 @@ def sample_borders(df: DataFrame, order: str, blocking: Blocking = DEFAULT) -> B
 def with_block(df: DataFrame, order: str, blocking: Blocking = DEFAULT, borders: Borders | None = None) -> DataFrame:
     """Add a block number that rises with ``order``; equal order values share a block."""
     if blocking.block_size:
-        return df.withColumn(BLOCK, F.floor(position(df, order) / blocking.block_size).cast("bigint"))
+        number = F.floor(position(df, order) / blocking.block_size).cast("bigint")
+        return df.withColumn(BLOCK, F.coalesce(number, F.lit(-(1 << 62))))  # NULL orders come first, as below
     borders = borders or sample_borders(df, order, blocking)
     if not borders.cuts:
         return df.withColumn(BLOCK, F.lit(0).cast("bigint"))

@@ -36,7 +36,7 @@ DEFAULT_CONFIG = {
     },
     "random_forest": {
         "enabled": False, "method": "grid", "folds": 3,
-        "grid": {"n_estimators": [50, 100, 200], "max_depth": [10, 20, 30, None], "min_samples_leaf": [1, 2, 4]},
+        "grid": {"n_estimators": [50, 100, 200], "max_depth": [10, 20, 30], "min_samples_leaf": [1, 2, 4]},
     },
     "gradient_boosting": {
         "enabled": False, "method": "grid", "folds": 3,

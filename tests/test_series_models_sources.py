@@ -52,62 +52,6 @@ def test_decompose_finds_a_weekly_pattern(spark):
     assert max(abs(r["resid"]) for r in got[3:-3]) < 1e-9
 
 
-def simulate(ar, ma, n, seed=0):
-    rng = np.random.default_rng(seed)
-    e = rng.normal(size=n + 50)
-    y = np.zeros(n + 50)
-    for t in range(1, n + 50):
-        y[t] = ar * y[t - 1] + e[t] + ma * e[t - 1]
-    return y[50:]
-
-
-def test_arma_parameters_are_recovered():
-    fit = series.fit_sarima(simulate(0.7, 0.4, 3000), (1, 0, 1), (0, 0, 0, 0))
-    assert -fit["ar"][1] == pytest.approx(0.7, abs=0.05)
-    assert fit["ma"][1] == pytest.approx(0.4, abs=0.05)
-    assert fit["sigma2"] == pytest.approx(1.0, abs=0.1)
-
-
-def test_forecast_of_a_random_walk():
-    fit = series.fit_sarima(np.array([1.0, 3.0, 2.0, 5.0, 4.0]), (0, 1, 0), (0, 0, 0, 0))
-    mean, se = series.forecast_sarima(fit, 4)
-    assert list(mean) == [4.0] * 4
-    assert se / se[0] == pytest.approx(np.sqrt([1, 2, 3, 4]))
-
-
-def test_missing_days_are_bridged():
-    y = simulate(0.9, 0.0, 400, 3)
-    holes = y.copy()
-    holes[[3, 50, 51, 200]] = np.nan
-    fit = series.fit_sarima(holes, (1, 0, 0), (0, 0, 0, 0))
-    assert np.isfinite(fit["level"]).all()
-    assert -fit["ar"][1] == pytest.approx(0.9, abs=0.06)
-
-
-def test_short_series_give_nulls(spark):
-    got = series.sarima_by_key(daily(spark, [1, 2, 3]), ["k"], "ds", "y", steps=2).orderBy("ds").collect()
-    assert len(got) == 5
-    assert all(r["yhat"] is None for r in got)
-
-
-def test_sarima_by_key_keeps_series_apart(spark):
-    rng = random.Random(2)
-    a = [50 + 10 * (i % 7 == 0) + rng.random() for i in range(140)]
-    df = daily(spark, a, "a").unionByName(daily(spark, [v * 100 for v in a], "b"))
-    got = series.sarima_by_key(df, ["k"], "ds", "y", (1, 0, 0), (0, 1, 1, 7), steps=7).where("is_forecast = 1").orderBy("k", "ds").collect()
-    assert len(got) == 14
-    for x, y in zip(got[:7], got[7:]):
-        assert y["yhat"] / x["yhat"] == pytest.approx(100, rel=1e-3)
-        assert x["lower"] < x["yhat"] < x["upper"]
-
-
-def test_order_selection_prefers_the_smaller_error(spark):
-    df = daily(spark, [10 + 5 * (i % 7) for i in range(120)]).withColumn("split", F.when(F.col("ds") < "2011-04-15", "train").otherwise("valid"))
-    cands = [((0, 1, 0), (0, 0, 0, 7)), ((0, 0, 0), (0, 1, 0, 7))]
-    best = series.select_order(series.order_scores(df, ["k"], "ds", "y", candidates=cands), ["k"]).first()
-    assert best["candidate"] == 1 and best["mae"] == pytest.approx(0.0)
-
-
 # ---- models
 
 
@@ -198,14 +142,39 @@ def test_one_pass_search_agrees_with_fold_by_fold_search(sample):
     assert one == two
 
 
-def test_two_metric_search_both_ways(sample, monkeypatch):
+def test_two_metric_search_both_ways(sample):
     df, _ = sample
     folded, points = models.with_folds(df, "i", 3), [{"alpha": 0.1}, {"alpha": 90.0, "fit_intercept": False}]
     _, fast = models.cross_validate("ridge", points, folded, "y", ["a", "b", "c"], 3)
-    monkeypatch.setattr(models, "GRAM_FEATURES", 0)
-    _, slow = models.cross_validate("ridge", points, folded, "y", ["a", "b", "c"], 3)
-    for x, y in zip(fast.orderBy("point").collect(), slow.orderBy("point").collect()):
-        assert (x["rmse"], x["mae"], x["best"]) == (pytest.approx(y["rmse"]), pytest.approx(y["mae"]), y["best"])
+    slow = models.regression_metrics(models._stacked_by_fits("ridge", points, folded, "y", ["a", "b", "c"], 3, "fold"), "label", "prediction", ["point", "fold"])
+    means = slow.groupBy("point").agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae")).orderBy("point").collect()
+    for x, y in zip(fast.orderBy("point").collect(), means):
+        assert (x["rmse"], x["mae"]) == (pytest.approx(y["rmse"]), pytest.approx(y["mae"]))
+
+
+def test_search_keeps_its_digits_far_from_the_origin(spark):
+    """A feature in epoch seconds and an exact slope of 3."""
+    df = spark.createDataFrame([(i, 1.7e9 + 3600.0 * (i * 7 % 101), 3.0 * 3600 * (i * 7 % 101) + 5) for i in range(300)], "i long, t double, y double")
+    _, table = models.search("linear", {"fit_intercept": [True]}, models.with_folds(df, "i", 4), "y", ["t"], 4)
+    assert models.cv_rmse(table) < 1e-3
+
+
+def test_search_of_many_features_is_the_same_path(spark):
+    rng = random.Random(1)
+    names = [f"x{j}" for j in range(230)]
+    rows = [(i, *[rng.random() for _ in names]) for i in range(500)]
+    df = spark.createDataFrame([(*r, r[1] - 2 * r[200] + 4) for r in rows], ["i", *names, "y"])
+    _, table = models.search("ridge", {"alpha": [1e-6, 1e6]}, models.with_folds(df, "i", 3), "y", names, 3)
+    assert models.cv_rmse(table) < 1e-3 and "1e-06" in table.where("best = 1").first()["params"]
+
+
+def test_gaps_and_depth_are_named(spark, sample):
+    df, _ = sample
+    with pytest.raises(ValueError, match="'b'"):
+        models.search("ridge", {"alpha": [1.0]}, models.with_folds(df.withColumn("b", F.expr("CASE WHEN i > 3 THEN b END")), "i", 3), "y", ["a", "b"], 3)
+    for depth in (None, 31):
+        with pytest.raises(ValueError, match="30"):
+            models.fit("random_forest", df, "y", ["a"], {"max_depth": depth})
 
 
 def test_singular_poisson_falls_back_to_a_penalty(spark):
@@ -281,3 +250,31 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     df = io.durable(spark.range(5))
     assert df.count() == 5
     assert named in spark.sparkContext.getCheckpointDir()
+
+
+def test_requests_with_equal_or_no_ids_get_their_own_answers(spark, sample):
+    from demandframe.operators import scoring
+
+    df, _ = sample
+    model = models.fit("linear", df.withColumn("y2", 2 * F.col("a") + 1), "y2", ["a"])
+    requests = spark.createDataFrame([("r", [[1.0]]), ("r", [[2.0], [3.0]]), (None, [[4.0]]), (None, None), ("x", [])], "id string, rows array<array<double>>")
+    got = [(r["id"], r["status"], [round(p, 6) for p in r["predictions"]] if r["predictions"] else None) for r in scoring.answer_requests(requests, model, "id", "rows", 1).collect()]
+    assert sorted(got, key=str) == sorted([("r", 200, [3.0]), ("r", 200, [5.0, 7.0]), (None, 200, [9.0]), (None, 400, None), ("x", 422, None)], key=str)
+
+
+def test_stages_between_assembler_and_model_are_run(spark, sample):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from demandframe.operators import scoring
+
+    df, _ = sample
+    stages = [VectorAssembler(inputCols=["a", "b"], outputCol="raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True), LinearRegression(labelCol="y")]
+    model = Pipeline(stages=stages).fit(df)
+    rows = df.select("a", "b").limit(5).collect()
+    want = [r["prediction"] for r in model.transform(spark.createDataFrame(rows)).collect()]
+    got = scoring.score_requests(spark.createDataFrame([(1, [[float(v) for v in r] for r in rows])], "id int, rows array<array<double>>"), model, "id", "rows").first()
+    assert got["predictions"] == pytest.approx(want)
+    with pytest.raises(ValueError):
+        scoring.score_requests(spark.createDataFrame([], "id int, rows array<array<double>>"), Pipeline(stages=stages[:1]).fit(df), "id", "rows")
