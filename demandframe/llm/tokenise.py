@@ -8,13 +8,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 
 #: Chunks kept per Python worker (some 200 bytes each); when there are more, those longer than SHORT go (the short ones are
 #: the frequent ones). Longer chunks than LONGEST are never kept. So many new chunks go to the library as one text.
-KEPT, SHORT, LONGEST, TOGETHER = 600_000, 8, 48, 128
+KEPT, SHORT, LONGEST, TOGETHER = 900_000, 8, 48, 128
 
 
 class ChunkEncoder:
@@ -26,18 +25,18 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.blank, self.kept = " " if blank_in_chunk else "", kept
+        self.blank, self.kept = blank_in_chunk, kept
         self.memo: dict[str, bytes] = {}
 
     def _whole(self, texts: Sequence[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _chunks(self, chunks: Sequence[str]) -> Iterator[bytes]:
-        """The ids of each chunk, from texts of many chunks that are cut again where each chunk's characters end."""
+        """The ids of each chunk after a blank, from texts of many chunks that are cut again where each chunk's characters end."""
         groups = [chunks[i : i + TOGETHER] for i in range(0, len(chunks), TOGETHER)]
-        space = "" if self.blank else " "
-        for group, e in zip(groups, self.tokenizer.encode_batch([space.join(g) for g in groups], add_special_tokens=False), strict=True):
-            ends = np.cumsum([len(c) + len(space) for c in group])
+        first = " " if self.blank else ""
+        for group, e in zip(groups, self.tokenizer.encode_batch([first + " ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ends = np.cumsum([len(c) + 1 for c in group])
             ids, starts = np.array(e.ids, "<u4").tobytes(), [a for a, _ in e.offsets]
             cuts = [0, *np.searchsorted(starts, ends).tolist()]
             for a, b in zip(cuts, cuts[1:], strict=False):
@@ -45,27 +44,29 @@ class ChunkEncoder:
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
+        out = [b""] * len(texts)
         # several blanks in a row make one token where the blank counts: such texts go whole
         whole = [i for i, t in enumerate(texts) if self.blank and "  " in t]
-        skip = {*whole}
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
+            out[i] = ids
+        skip, memo = {*whole}, self.memo
         cut = [[] if i in skip else t.split(" ") for i, t in enumerate(texts)]
-        if self.blank:
-            # " x" for every chunk but the first: the keys are the chunks as they stand in the text
-            cut = [[c[0], *map(" ".__add__, c[1:])] if c else c for c in cut]
-        memo, long = self.memo, {}
-        missing = {*chain.from_iterable(cut)} - memo.keys()
-        if len(memo) + len(missing) > self.kept:
+        if self.blank:  # no blank before the first chunk
+            for i, ids in enumerate(self._whole([c[0] if c else "" for c in cut])):
+                out[i] += ids
+            cut = [c[1:] for c in cut]
+        found = [list(map(memo.get, c)) for c in cut]
+        open_ = [i for i, f in enumerate(found) if None in f]
+        missing = [*{k for i in open_ for k, ids in zip(cut[i], found[i], strict=True) if ids is None}]
+        new = dict(zip(missing, self._chunks(missing), strict=True))
+        for i in open_:
+            found[i] = [new[k] if ids is None else ids for k, ids in zip(cut[i], found[i], strict=True)]
+        if len(memo) + len(new) > self.kept:
             for k in [k for k in memo if len(k) > SHORT]:
                 del memo[k]
-            missing = {*chain.from_iterable(cut)} - memo.keys()
-        # the first chunk of a text has no blank before it, so it can't follow another one
-        for kind in ([k for k in missing if k.startswith(" ")], [k for k in missing if not k.startswith(" ")]) if self.blank else ([*missing], []):
-            for k, ids in zip(kind, self._whole(kind) if kind and self.blank and not kind[0].startswith(" ") else self._chunks(kind), strict=True):
-                (memo if len(k) <= LONGEST else long)[k] = ids
-        find = memo.__getitem__ if not long else lambda k: long[k] if k in long else memo[k]
-        out = [b"".join(map(find, chunks)) for chunks in cut]
-        for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
-            out[i] = ids
+        memo.update((k, ids) for k, ids in new.items() if len(k) <= LONGEST)
+        for i, f in enumerate(found):
+            out[i] += b"".join(f)
         return out
 
 
