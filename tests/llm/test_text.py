@@ -43,9 +43,11 @@ def test_base_spans_of_odd_texts(spark):
 
 
 def test_terms_that_give_an_entity_away(spark):
-    rows = [(i, f"Agent Zorblax number {i} wrote from zed@x.org on day {'abcdef'[i]}") for i in range(6)]
+    rng = random.Random(1)
+    rows = [(i, f"Agent Zorblax number {i} wrote from zed@x.org on day {'abcdef'[i]}\n" + " ".join(word(rng) for _ in range(30))) for i in range(6)]
     rows += [(10 + i, f"Agent number {i} wrote on day {i} from home") for i in range(200)]
-    rows += [(400 + i, "Copied Quuxfoo mail q@y.org") for i in range(50)]  # one context, however often
+    base = [word(rng) for _ in range(80)]  # one text, however often, and with a word changed here and there
+    rows += [(400 + i, "Copied Quuxfoo mail q@y.org\n" + " ".join(base[: i % 7 + 70] + [word(rng)] * (i % 2))) for i in range(50)]
     rows += [(500, "Zorblax without mail"), (501, None), (None, "zorblax"), (500, "Zorblax without mail")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as term")
     found = pii.find(df).collect()
@@ -55,7 +57,7 @@ def test_terms_that_give_an_entity_away(spark):
     clean = pii.sanitise(df)
     texts = [r.text for r in clean.collect()]
     assert clean.columns == df.columns and len(texts) == len(rows) and texts.count(None) == 1
-    assert not any("zed@" in t or "orblax" in t for t in texts if t) and "Agent [TERM] number 0 wrote from [EMAIL] on day a" in texts
+    assert not any("zed@" in t or "orblax" in t for t in texts if t) and any(t.startswith("Agent [TERM] number 0 wrote from [EMAIL] on day a\n") for t in texts if t)
 
 
 def test_overlapping_spans_become_one(spark):
