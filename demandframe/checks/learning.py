@@ -165,6 +165,38 @@ def _(t: Tables) -> DataFrame:
     return rounded(models.predict(x, model).select("p_partkey", "prediction"), 5)
 
 
+@check("forest_one_tree", f"SELECT p_partkey, round(avg(y) OVER (PARTITION BY big), 5) AS prediction FROM ({plain(STEP)})")
+def _(t: Tables) -> DataFrame:
+    """Without drawing rows a forest of one tree is that tree: one split on a yes/no feature predicts the two group means."""
+    x = t.view(STEP)
+    return rounded(models.predict(x, models.fit("random_forest", x, "y", ["big"], {"n_estimators": 1, "max_depth": 1, "bootstrap": False})).select("p_partkey", "prediction"), 5)
+
+
+TWO_STEPS = """SELECT p_partkey, p_retailprice + CASE WHEN p_partkey % 10 < 4 THEN 5000 ELSE 0 END + CASE WHEN p_partkey % 2 = 1 THEN 400 ELSE 0 END AS y,
+               CAST(CASE WHEN p_partkey % 10 < 4 THEN 1 ELSE 0 END AS DOUBLE) AS big, CAST(p_partkey % 2 AS DOUBLE) AS odd FROM {part}"""
+
+
+@check(
+    "boosted_two_stages",
+    f"""WITH a AS (SELECT *, avg(y) OVER (PARTITION BY big) AS f FROM ({plain(TWO_STEPS)}))
+        SELECT p_partkey, round(f + 0.3 * avg(2 * (y - f)) OVER (PARTITION BY odd), 4) AS prediction FROM a""",
+)
+def _(t: Tables) -> DataFrame:
+    """The second of two one-split trees fits the gradient that the first leaves (twice the residual), times the learning rate."""
+    x = t.view(TWO_STEPS)
+    for name in ("boosted", "gradient_boosting"):
+        model = models.fit(name, x, "y", ["big", "odd"], {"n_estimators": 2, "max_depth": 1, "learning_rate": 0.3})
+    return rounded(models.predict(x, model).select("p_partkey", "prediction"), 4)
+
+
+@check("boosted_stops_early", f"SELECT p_partkey, round((SELECT avg(y) FROM ({plain(STEP)}) WHERE p_partkey % 4 > 0), 5) AS prediction, 1 AS trees FROM ({plain(STEP)})")
+def _(t: Tables) -> DataFrame:
+    """With nothing to split on, the second tree gains nothing on the validation rows: the mean of the others is left."""
+    x = t.view(STEP).withColumn("flat", F.lit(1.0)).withColumn("held_out", F.col("p_partkey") % 4 == 0)
+    model = models.fit("boosted", x, "y", ["flat"], {"n_estimators": 10, "max_depth": 2}, "held_out")
+    return rounded(models.predict(x, model).select("p_partkey", "prediction"), 5).withColumn("trees", F.lit(models.regressor(model).getNumTrees))
+
+
 @check("importances", "SELECT 'big' AS feature, 1.0::DOUBLE AS importance UNION ALL SELECT 'flat', 0.0")
 def _(t: Tables) -> DataFrame:
     x = t.view(STEP).withColumn("flat", F.lit(1.0))
@@ -242,6 +274,21 @@ def _(t: Tables) -> DataFrame:
     return x.limit(1).select(F.round(F.lit(llf), 2).alias("llf"))
 
 
+@check(
+    "poisson_nested_to_one_category",
+    f"""WITH g AS (SELECT event_type, avg(y) AS m FROM ({plain(TYPED_COUNTS)}) GROUP BY event_type), r AS (SELECT m AS m0, event_type AS t0 FROM g ORDER BY event_type LIMIT 1)
+        SELECT CASE WHEN event_type = t0 THEN 'Intercept' ELSE 'event_type_' || event_type END AS term, round(CASE WHEN event_type = t0 THEN ln(m) ELSE ln(m / m0) END, 6) AS coefficient FROM g, r""",
+)
+def _(t: Tables) -> DataFrame:
+    """Formulas that grow to the whole category: the last one fitted is left, with log group means."""
+    domain = {"event_type": _kinds(t)}
+    x = models.poisson_table(t.view(TYPED_COUNTS), domain)
+    kind = f"event_type_{domain['event_type'][1]}"
+    model, names, _ = models.poisson_steps(x, "y", [[kind], ["event_type"]], domain)
+    out = models.effects_pct(model, names, t.spark)
+    return out.select("term", F.round("coefficient", 6).alias("coefficient"))
+
+
 @check("poisson_nested_formulas")
 def _(t: Tables) -> DataFrame:
     domain = {"event_type": _kinds(t)}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import logging
 import math
 import random
 from collections.abc import Iterator, Mapping, Sequence
@@ -28,6 +29,8 @@ from demandframe.operators.metrics import regression_metrics
 from demandframe.operators.ordered import DEFAULT, Blocking, row_index
 from demandframe.operators.prep import dummies
 
+log = logging.getLogger(__name__)
+
 LINEAR = {"linear", "ridge", "lasso", "elasticnet"}
 TREES = {"boosted", "gradient_boosting", "random_forest"}
 
@@ -105,7 +108,7 @@ def _depth(params: Mapping, default: int | None) -> int:
 def _forest(label: str, params: Mapping) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="features", labelCol=label, numTrees=int(params.get("n_estimators", 100)),
-        maxDepth=_depth(params, None), minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
+        maxDepth=_depth(params, None), bootstrap=bool(params.get("bootstrap", True)), minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
         seed=int(params.get("random_state", 42)),
     )
 
@@ -429,6 +432,15 @@ def _session():
 # ---- Poisson -------------------------------------------------------------------------------
 
 
+# What MLlib says of a singular or diverging fit.
+UNFITTABLE = ("SingularMatrixException", "not positive definite", "singular", "NaN", "Infinity", "requirement failed")
+
+
+def _unfittable(e: Exception) -> bool:
+    """Whether a fit failed by its data and not for lack of executors, memory or columns."""
+    return any(mark in str(e) for mark in UNFITTABLE)
+
+
 def poisson_steps(
     df: DataFrame, label: str, formulas: Sequence[Sequence[str]], domains: Mapping[str, Sequence] | None = None, fallback: float = 1e-4
 ) -> tuple[PipelineModel, list[str], float]:
@@ -451,7 +463,10 @@ def poisson_steps(
         names = expand(terms)
         try:
             kept = (fit("poisson", df, label, names), names, 0.0)
-        except Exception:  # a singular or diverging fit ends the sequence
+        except Exception as e:
+            if not _unfittable(e):
+                raise
+            log.warning("formula %s ends the sequence: %s", list(terms), str(e).split("\n")[0])
             break
     if kept is None:
         names = expand(formulas[-1])
