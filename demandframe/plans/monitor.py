@@ -8,16 +8,25 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandframe.functions.columns import flag
 from demandframe.operators import drift
 from demandframe.operators.lookup import stack_tables
 from demandframe.operators.metrics import regression_metrics
 from demandframe.operators.models import predict
-from demandframe.operators.prep import align_columns, dummies_observed
+from demandframe.operators.prep import align_columns
+from demandframe.operators.typing import columns_of_kind
 
 
 def aligned(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Dummies of text columns, then exactly the model's features and the target."""
-    return align_columns(dummies_observed(df), [*features, target])
+    """Dummies of text columns, then exactly the model's features and the target.
+
+    The levels are those that the features name (``column_level``), not those seen in ``df``: a level that was the base in
+    training has zeros everywhere, also where the table holds no such row, and no job is run to look.
+    """
+    text = sorted(columns_of_kind(df, "text"), key=len)
+    missing = [f for f in features if f not in df.columns]
+    new = {f: flag(F.col(c) == f[len(c) + 1 :]) for c in text for f in missing if f.startswith(f"{c}_")}
+    return align_columns(df.withColumns(new) if new else df, [*features, target])
 
 
 def scenario_summary(base: DataFrame, scenarios: Mapping[str, DataFrame], model: PipelineModel, features: list[str], target: str) -> DataFrame:

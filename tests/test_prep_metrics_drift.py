@@ -268,3 +268,25 @@ def test_request_checks(spark, features, n, status):
 def test_finite_rule(spark):
     df = frame(spark, [(1.0,), (math.inf,), (-math.inf,), (math.nan,), (None,)], "x double")
     assert quality.assert_table(df, {"finite": quality.finite("x")}).first()["violations"] == 3
+
+
+def test_a_scenario_without_the_base_level_keeps_the_training_levels(spark):
+    from demandframe.plans import monitor
+
+    new = spark.createDataFrame([("b", 1.0, 5.0), ("c", 2.0, 6.0), (None, 3.0, 7.0)], "kind string, x double, y double")
+    got = [tuple(r) for r in monitor.aligned(new, ["x", "kind_b", "kind_c"], "y").collect()]
+    assert got == [(1.0, 1, 0, 5.0), (2.0, 0, 1, 6.0), (3.0, 0, 0, 7.0)]
+
+
+def test_chi_square_tail(spark):
+    import math
+
+    cases = [(3.84, 1), (10.0, 4), (0.5, 7), (200.0, 150), (1.0, 900), (1e6 + 100, 1_000_000), (9e8, 900_000_000), (-1.0, 3)]
+    rows = spark.createDataFrame([(float(x), float(k)) for x, k in cases], "x double, k double")
+    got = [r["p"] for r in rows.select(drift.chi2_sf("x", "k").alias("p")).collect()]
+    assert got[0] == pytest.approx(math.erfc(math.sqrt(3.84 / 2)), rel=1e-9) and got[1] == pytest.approx(math.exp(-5) * 6, rel=1e-9)
+    assert got[7] == 1.0 and got[4] == pytest.approx(1.0)
+    # near its mean a wide chi-square is nearly normal
+    for p, (x, k) in zip(got[5:7], cases[5:7]):
+        z = ((x / k) ** (1 / 3) - (1 - 2 / (9 * k))) / math.sqrt(2 / (9 * k))
+        assert p == pytest.approx(0.5 * math.erfc(z / math.sqrt(2)), abs=1e-4)
