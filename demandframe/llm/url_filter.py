@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from demandframe.llm.common import ascii_lower, fresh
+from demandframe.llm.common import ascii_lower, fresh, materialise
 
 TOKEN = "[^a-z0-9]+"
 
@@ -115,6 +115,7 @@ def judge(pages: DataFrame, rules: Sequence[SiteRule], patterns: Sequence[Patter
         F.min(F.when(~F.col("site"), F.struct((F.col("action") != "block").alias("l"), "text", "action"))).alias("m"),
     )
     best = best.select(F.col("u").alias(key), F.col("s.text").alias(out_rule), F.coalesce("s.action", "m.action").alias(out_verdict), F.when(F.col("s").isNull(), F.col("m.text")).alias(out_pattern))
+    best = materialise(best, "verdicts")  # a table on either side: a URL that very many pages share is split in the join
     judged = pages.join(best, pages[url].cast("string") == best[key], "left")
     return judged.select(
         *[pages[c] for c in pages.columns], host_of(pages[url]).alias(out_host), path_of(pages[url]).alias(out_path), best[out_rule], F.coalesce(best[out_verdict], F.lit(default)).alias(out_verdict), best[out_pattern]
