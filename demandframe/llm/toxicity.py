@@ -74,28 +74,33 @@ def fit(texts: Sequence[str], toxic: np.ndarray, features: int = FEATURES, steps
     """Fit on documents and their labels. The features kept are those whose share of toxic documents stands out most."""
     if not len(texts) or toxic.min() == toxic.max():
         return Model(np.zeros(0, int), np.zeros(0), float(-20 if not len(texts) or not toxic.max() else 0))
-    parts, n_sentences, doc_of = [], 0, []
+    y = toxic.astype(float)
+    # once over the texts to choose features, once more to keep where the chosen ones stand: memory is that of one group
+    seen, bad = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for a, b in groups(texts):
         s = Sentences(texts[a:b])
-        for at, f in s.features():
-            k = np.searchsorted(s.end, at + s.is_blank[at], "right")
-            parts.append(np.unique((k + n_sentences) << BITS | f))
-        doc_of.append(s.text + a)
-        n_sentences += len(s.text)
-    doc_of, pairs = np.concatenate(doc_of), np.concatenate(parts)
-    sentence, f = pairs >> BITS, pairs & ((1 << BITS) - 1)
-    y = toxic.astype(float)
-    once = np.unique(f << 32 | doc_of[sentence])
-    seen = np.bincount(once >> 32, minlength=1 << BITS)
-    bad = np.bincount(once >> 32, y[once & 0xFFFFFFFF], minlength=1 << BITS)
+        if len(s.text):
+            held = [np.unique(f << 32 | s.text[np.searchsorted(s.end, at + s.is_blank[at], "right")]) for at, f in s.features()]
+            once = np.unique(np.concatenate(held))
+            seen += np.bincount(once >> 32, minlength=1 << BITS)
+            bad += np.bincount(once >> 32, y[a + (once & 0xFFFFFFFF)], minlength=1 << BITS)
     expected = seen * y.mean()
     stands_out = np.where(seen >= LEAST_DOCS, (bad - expected) / np.sqrt(expected * (1 - y.mean()) + 1), 0)
     kept = np.argsort(-stands_out, kind="stable")[:features]
     kept = kept[stands_out[kept] > 2]
     place = np.full(1 << BITS, -1)
     place[kept] = np.arange(len(kept))
-    use = place[f] >= 0
-    sentence, f = sentence[use], place[f[use]]
+    parts, n_sentences, doc_of = [np.zeros(0, np.int64)], 0, [np.zeros(0, np.int64)]
+    for a, b in groups(texts):
+        s = Sentences(texts[a:b])
+        for at, f in s.features():
+            at, f = at[place[f] >= 0], place[f[place[f] >= 0]]
+            k = np.searchsorted(s.end, at + s.is_blank[at], "right")
+            parts.append(np.unique((k + n_sentences) << BITS | f))
+        doc_of.append(s.text + a)
+        n_sentences += len(s.text)
+    doc_of, pairs = np.concatenate(doc_of), np.unique(np.concatenate(parts))
+    sentence, f = pairs >> BITS, pairs & ((1 << BITS) - 1)
     weight = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
 
     def gradient(w: np.ndarray) -> np.ndarray:
