@@ -8,7 +8,7 @@ import numpy as np
 
 BITS = 20
 #: Bytes of texts that are hashed together (a longer text is hashed alone).
-GROUP = 1 << 20
+GROUP = 1 << 18
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(0, 1 << 64, (16, 256), dtype=np.uint64)  # [place in the n-gram, byte]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
