@@ -4,8 +4,8 @@ A text has two fingerprints. One of its different words, which few edits change
 trie self-join links keys with at most two differing bits. At similarity 0.8 some 6 to 9 of 100 of these bits differ, so ten
 keys miss one pair in a hundred or less. One of 1,024 bits over the different five-word shingles then decides every candidate pair: the
 share of differing bits gives the cosine, with the numbers of shingles that gives the Jaccard similarity (standard
-deviation 0.03 at 0.8). Exact copies are one text from the start. A crowd of candidates is cut into chunks by hash; every chunk
-is compared within itself and with the first one, which joins what belongs together without making all pairs of a crowd.
+deviation 0.03 at 0.8). Exact copies are one text from the start. A large crowd of candidates is dealt out as pairs of chunks, so
+that no task holds more than two chunks; every pair of a crowd is compared, unless both texts are connected already.
 """
 
 from __future__ import annotations
@@ -15,14 +15,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandframe.llm.common import fresh, materialise
+from demandframe.llm.components import connected
 from demandframe.llm.simhash import linked, majority, shingle_hashes, smallest_linked, with_component
 
 TABLES, KEY_BITS, WIDE = 10, 40, 16
-#: Texts of a crowd that are compared with each other and with the first chunk.
+#: Texts of one chunk of a crowd.
 CHUNK = 512
 
 
@@ -66,26 +67,29 @@ def _features(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(made, "doc_id long, t1 long, t2 long, keys array<long>, n long, sketch binary")
 
 
-def similar(sketch: np.ndarray, n: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i, j), i < j, of texts whose similarity by sketch is at least ``least``."""
+def similar(sketch: np.ndarray, n: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j), i of ``left`` and j of ``right``, of texts whose similarity by sketch is at least ``least``."""
     out_i, out_j = [], []
-    for a in range(0, len(n), 64):
-        differ = np.bitwise_count(sketch[a : a + 64, None, :] ^ sketch[None, :, :]).sum(axis=2, dtype=np.int64)
-        both = np.cos(np.pi * differ / (64 * sketch.shape[1])) * np.sqrt(n[a : a + 64, None] * n[None, :])
-        i, j = np.nonzero(both >= least / (1 + least) * (n[a : a + 64, None] + n[None, :]))
-        later = i + a < j
-        out_i.append(i[later] + a)
-        out_j.append(j[later])
+    for a in range(0, len(left), 64):
+        some = left[a : a + 64]
+        differ = np.bitwise_count(sketch[some, None, :] ^ sketch[None, right, :]).sum(axis=2, dtype=np.int64)
+        both = np.cos(np.pi * differ / (64 * sketch.shape[1])) * np.sqrt(n[some, None] * n[None, right])
+        i, j = np.nonzero(both >= least / (1 + least) * (n[some, None] + n[None, right]))
+        out_i.append(some[i])
+        out_j.append(right[j])
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def _decided(crowds: DataFrame, least: float) -> DataFrame:
+def _decided(pairs: DataFrame, least: float) -> DataFrame:
+    """From rows (crowd, one, two, chunk, node, n, sketch): links (a, b) that connect what similar pairs of the chunks connect."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def links(group: pa.RecordBatch) -> pa.RecordBatch:
-        node = group.column(2).to_numpy()
-        sketch = np.frombuffer(b"".join(group.column(4).to_pylist()), np.uint64).reshape(len(node), -1)
-        i, j = similar(sketch, group.column(3).to_numpy().astype(float), least)
+        one, two = (group.column(k)[0].as_py() for k in (1, 2))
+        chunk, node = (group.column(k).to_numpy() for k in (3, 4))
+        sketch = np.frombuffer(b"".join(group.column(6).to_pylist()), np.uint64).reshape(len(node), -1)
+        left, right = np.flatnonzero(chunk == one), np.flatnonzero(chunk == two)
+        i, j = similar(sketch, group.column(5).to_numpy().astype(float), left, right, least) if len(left) and len(right) else (left[:0], right[:0])
         root = smallest_linked(len(node), i, j)
         own = np.flatnonzero(root != np.arange(len(node)))
         return pa.RecordBatch.from_arrays([pa.array(node[root[own]]), pa.array(node[own])], schema=schema)
@@ -95,9 +99,9 @@ def _decided(crowds: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             if rest is not None:
                 batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-            head = [batch.column(k).to_numpy() for k in range(2)]
+            head = [batch.column(k).to_numpy() for k in range(3)]
             at = 0
-            for end in (np.flatnonzero((np.diff(head[0]) != 0) | (np.diff(head[1]) != 0)) + 1).tolist():
+            for end in (np.flatnonzero(np.logical_or.reduce([np.diff(h) != 0 for h in head])) + 1).tolist():
                 if end - at > 1:
                     yield links(batch.slice(at, end - at))
                 at = end
@@ -105,8 +109,41 @@ def _decided(crowds: DataFrame, least: float) -> DataFrame:
         if rest is not None and rest.num_rows > 1:
             yield links(rest)
 
-    cols = ["crowd", "chunk", "node", "n", "sketch"]
-    return crowds.select(cols).repartition("crowd", "chunk").sortWithinPartitions("crowd", "chunk", "node").mapInArrow(decide, "a long, b long")
+    cols = ["crowd", "one", "two", "chunk", "node", "n", "sketch"]
+    return pairs.select(cols).repartition("crowd", "one", "two").sortWithinPartitions("crowd", "one", "two", "node").mapInArrow(decide, "a long, b long")
+
+
+def _pairs(dealt: DataFrame, other: Column) -> DataFrame:
+    """Every row of ``dealt`` once for each chunk that its own one is compared with."""
+    dealt = dealt.withColumn("other", F.explode(other))
+    return dealt.select("crowd", "node", "chunk", F.least("chunk", "other").alias("one"), F.greatest("chunk", "other").alias("two"))
+
+
+def _connecting(crowds: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that connect what similar pairs inside the crowds (crowd, node) connect, in two rounds.
+
+    First every chunk is compared with itself and with the first one. In a crowd of more than two chunks, what that leaves outside the
+    crowd's largest component is then compared with the whole crowd; only pairs that are connected already are not looked at.
+    """
+    place = lambda chunks: F.pmod(F.xxhash64("node", "crowd"), chunks).cast("int")
+    count = lambda n: F.ceil(n / CHUNK).cast("int")
+    sizes = materialise(crowds.groupBy("crowd").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    dealt = crowds.join(sizes, "crowd").withColumn("chunks", count(F.col("size"))).withColumn("chunk", place(F.col("chunks")))
+    dealt = _pairs(dealt, F.when(F.col("chunk") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array(F.lit(0), "chunk")))
+    links = materialise(_decided(dealt.join(texts, "node"), least), "links")
+    large = sizes.where(F.col("size") > 2 * CHUNK)
+    if large.isEmpty():
+        return links
+    rooted = crowds.join(large, "crowd", "left_semi").join(connected(links), "node", "left")
+    rooted = materialise(rooted.select("crowd", "node", F.coalesce("root", "node").alias("root")), "rooted")
+    parts = rooted.groupBy("crowd", "root").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("crowd").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size")).where("main.n < size")
+    parts = materialise(parts.select("crowd", "main.root", count(F.col("size") - F.col("main.n")).alias("outer"), count(F.col("main.n")).alias("inner")).withColumnRenamed("root", "main"), "parts")
+    # the outer chunks come first; they meet all chunks, the largest component's only them
+    inside = F.col("root") == F.col("main")
+    dealt = rooted.join(parts, "crowd").withColumn("chunk", F.when(inside, F.col("outer") + place(F.col("inner"))).otherwise(place(F.col("outer"))))
+    dealt = _pairs(dealt, F.sequence(F.lit(0), F.when(inside, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1))
+    return links.union(materialise(_decided(dealt.join(texts, "node"), least), "links"))
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,11 +162,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: s
     near = materialise(linked(counts, 2, "key"), "near")
     crowds = near.select(F.col("a").alias("crowd"), F.col("b").alias("key")).union(near.select("a", "a")).union(counts.where("members > 1").select("key", "key")).distinct()
     crowds = materialise(keyed.join(materialise(crowds, "crowds"), "key").select("crowd", "node").distinct(), "crowds")
-    sizes = materialise(crowds.groupBy("crowd").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
-    dealt = crowds.join(sizes, "crowd").withColumn("chunks", F.ceil(F.col("size") / CHUNK).cast("int")).withColumn("own", F.pmod(F.xxhash64("node", "crowd"), F.col("chunks")).cast("int"))
-    # the first chunk goes to all the others as well
-    dealt = dealt.withColumn("chunk", F.explode(F.when(F.col("own") == 0, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))))
-    links = materialise(_decided(dealt.select("crowd", "chunk", "node").join(texts.select("node", "n", "sketch"), "node"), similarity), "links")
+    links = _connecting(crowds, texts.select("node", "n", "sketch"), similarity)
     members = with_component(texts.select("node", "first"), links, "node")
     kept = texts.join(members, "node").where(F.col("first") == F.col("component_id")).select(F.col("first.doc_id").alias(keeper), F.col("t1").alias(t1), F.col("t2").alias(t2))
     t = F.coalesce(docs[text].cast("string"), F.lit(""))

@@ -112,6 +112,26 @@ def test_near_copies_keep_one_of_each_group(spark, monkeypatch, chunk):
     assert all(k == group.index(group[k]) for k in kept)
 
 
+def test_all_pairs_of_a_crowd_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "CHUNK", 8)
+    rng = np.random.default_rng(5)
+    # copies that are each an edit of one original: like the original, not like each other; and pairs among unlike texts
+    base = rng.integers(0, 2, 1024)
+    star = [base] + [np.where(rng.random(1024) < 0.11, 1 - base, base) for _ in range(60)]
+    pairs = [np.where(rng.random(1024) < 0.02, 1 - x, x) for x in rng.integers(0, 2, (20, 1024)) for _ in range(2)]
+    for vectors, order in ((star, 0), (star, 17), (pairs, 0)):
+        rows = [(1, (k * 7919 + order) % 10_007, 100, bytearray(np.packbits(v, bitorder="little").tobytes())) for k, v in enumerate(vectors)]
+        df = spark.createDataFrame(rows, "crowd long, node long, n long, sketch binary")
+        sketch = np.frombuffer(b"".join(bytes(r[3]) for r in rows), np.uint64).reshape(len(rows), -1)
+        every = np.arange(len(rows))
+        i, j = near_copies.similar(sketch, np.full(len(rows), 100.0), every, every, 0.8)
+        r = roots(len(rows), zip(i.tolist(), j.tolist(), strict=True))
+        links = near_copies._connecting(df.select("crowd", "node"), df.select("node", "n", "sketch"), 0.8).collect()
+        at = {row[1]: k for k, row in enumerate(rows)}
+        got = roots(len(rows), [(at[x.a], at[x.b]) for x in links])
+        assert got == r and len(set(r)) < len(rows)
+
+
 def test_near_copies_of_odd_rows(spark, odd_docs):
     got = near_copies.keep_one(odd_docs)
     assert got.columns == odd_docs.columns
