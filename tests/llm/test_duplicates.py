@@ -6,6 +6,7 @@ import xxhash
 
 from demandframe.llm import embedding_dedup, line_dedup, near_copies, simhash
 from demandframe.llm.components import connected
+from plain_versions import plain_near_copies
 
 
 def roots(n, links):
@@ -112,24 +113,37 @@ def test_near_copies_keep_one_of_each_group(spark, monkeypatch, chunk):
     assert all(k == group.index(group[k]) for k in kept)
 
 
-def test_all_pairs_of_a_crowd_are_compared(spark, monkeypatch):
+def edited(rng, words, edits):
+    out = list(words)
+    for k in rng.sample(range(len(out)), edits):
+        out[k] = f"w{rng.random()}"
+    return out
+
+
+def test_near_copies_against_exact_similarities(spark, monkeypatch):
+    """Copies of one original that are unlike each other, pairs in a crowd of the same words, texts of few shingles, cut and appended copies."""
     monkeypatch.setattr(near_copies, "CHUNK", 8)
-    rng = np.random.default_rng(5)
-    # copies that are each an edit of one original: like the original, not like each other; and pairs among unlike texts
-    base = rng.integers(0, 2, 1024)
-    star = [base] + [np.where(rng.random(1024) < 0.11, 1 - base, base) for _ in range(60)]
-    pairs = [np.where(rng.random(1024) < 0.02, 1 - x, x) for x in rng.integers(0, 2, (20, 1024)) for _ in range(2)]
-    for vectors, order in ((star, 0), (star, 17), (pairs, 0)):
-        rows = [(1, (k * 7919 + order) % 10_007, 100, bytearray(np.packbits(v, bitorder="little").tobytes())) for k, v in enumerate(vectors)]
-        df = spark.createDataFrame(rows, "crowd long, node long, n long, sketch binary")
-        sketch = np.frombuffer(b"".join(bytes(r[3]) for r in rows), np.uint64).reshape(len(rows), -1)
-        every = np.arange(len(rows))
-        i, j = near_copies.similar(sketch, np.full(len(rows), 100.0), every, every, 0.8)
-        r = roots(len(rows), zip(i.tolist(), j.tolist(), strict=True))
-        links = near_copies._connecting(df.select("crowd", "node"), df.select("node", "n", "sketch"), 0.8).collect()
-        at = {row[1]: k for k, row in enumerate(rows)}
-        got = roots(len(rows), [(at[x.a], at[x.b]) for x in links])
-        assert got == r and len(set(r)) < len(rows)
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(400)]
+    texts = [edited(rng, base, 8) for _ in range(60)]
+    texts.insert(37, base)
+    same = [f"v{k}" for k in range(60)]
+    for _ in range(30):
+        rng.shuffle(same)
+        texts += [list(same), [*same[:-2], same[-1], same[-2]]]
+    for n in range(1, 30):
+        for more in range(n // 3 + 2):
+            own = [f"s{n}.{more}.{k}" for k in range(n + 4)]
+            texts += [own, own + [f"e{n}.{more}.{k}" for k in range(more)]]
+    for k in range(40):
+        own = [f"l{k}.{m}" for m in range(204)]
+        texts += [own, own + [f"m{k}.{m}" for m in range(40 + 20 * (k % 2))], own[k % 5 * 5 + 20 :]]
+    rng.shuffle(texts)
+    texts = [" ".join(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    groups = plain_near_copies(df.toPandas().set_index("doc_id"), 0.8)
+    assert max(map(len, groups)) > 30
+    assert {r.doc_id for r in near_copies.keep_one(df).collect()} == {min(g) for g in groups}
 
 
 def test_near_copies_of_odd_rows(spark, odd_docs):
