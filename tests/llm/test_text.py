@@ -60,6 +60,19 @@ def test_terms_that_give_an_entity_away(spark):
     assert not any("zed@" in t or "orblax" in t for t in texts if t) and any(t.startswith("Agent [TERM] number 0 wrote from [EMAIL] on day a\n") for t in texts if t)
 
 
+def terms(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {s.value.lower() for r in pii.find(df).collect() for s in r.spans if s.kind == 4}
+
+
+def test_terms_stay_terms_in_many_texts(spark):
+    rng = random.Random(2)
+    common, words = ["the", "of", "and", "to"], [word(rng) for _ in range(3000)]
+    body = lambda: " ".join(rng.choice(common if k % 2 else words) for k in range(150))
+    # texts that are really different but share their frequent words
+    assert "zorblax" in terms(spark, [f"Zorblax zed@x.org\n{body()}" for _ in range(400)] + [body() for _ in range(600)])
+
+
 def test_overlapping_spans_become_one(spark):
     df = spark.createDataFrame([(1, "call +10.0.0.1234567 now"), (2, "a@10.0.0.1 😀 b@c.de!")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in pii.sanitise(df).collect()} == {1: "call [PHONE] now", 2: "[EMAIL] 😀 [EMAIL]!"}
