@@ -73,6 +73,13 @@ def test_terms_stay_terms_in_many_texts(spark):
     assert "zorblax" in terms(spark, [f"Zorblax zed@x.org\n{body()}" for _ in range(400)] + [body() for _ in range(600)])
 
 
+def test_copies_take_no_terms_away(spark):
+    rng = random.Random(3)
+    body = lambda: " ".join(word(rng) for _ in range(60))
+    texts = [f"Zorblax zed@x.org\n{body()}" for _ in range(5)]
+    assert terms(spark, texts + [texts[0]] * 300 + [body() for _ in range(200)]) == {"zorblax"}
+
+
 def test_overlapping_spans_become_one(spark):
     df = spark.createDataFrame([(1, "call +10.0.0.1234567 now"), (2, "a@10.0.0.1 😀 b@c.de!")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in pii.sanitise(df).collect()} == {1: "call [PHONE] now", 2: "[EMAIL] 😀 [EMAIL]!"}
