@@ -80,6 +80,13 @@ def test_copies_take_no_terms_away(spark):
     assert terms(spark, texts + [texts[0]] * 300 + [body() for _ in range(200)]) == {"zorblax"}
 
 
+def test_terms_on_other_lines_and_short_names(spark):
+    rng = random.Random(4)
+    body = lambda: " ".join(word(rng) + "xx" for _ in range(40))
+    texts = [f"{body()}\nKim\n李\n{body()}\nWu: kim@x.org\n{body()}\nZorblax" for _ in range(4)]
+    assert terms(spark, texts + [body() for _ in range(200)]) == {"kim", "李", "wu", "zorblax"}
+
+
 def test_overlapping_spans_become_one(spark):
     df = spark.createDataFrame([(1, "call +10.0.0.1234567 now"), (2, "a@10.0.0.1 😀 b@c.de!")], "doc_id long, text string")
     assert {r.doc_id: r.text for r in pii.sanitise(df).collect()} == {1: "call [PHONE] now", 2: "[EMAIL] 😀 [EMAIL]!"}
