@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import embedding_dedup, line_dedup, packing, pii, quality, sentencepiece_fst, simhash, token_store, toxicity, url_filter
+from demandframe.llm import bpe_backtrack, conversation_trie, embedding_dedup, line_dedup, packing, pii, quality, sentencepiece_fst, simhash, token_store, toxicity, url_filter
+from demandframe.llm.common import materialise
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -149,3 +150,60 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op8_sentencepiece"] = op8_sentencepiece
+
+
+def op11_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = bpe_backtrack.encode(_table(spark, folder, "documents").select("doc_id", "text"), path)
+    back = bpe_backtrack.decode(ids, path)
+    joined = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+QUERIES["op11_bpe"] = op11_bpe
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and ids of the rebuilt conversations: the first h turns of conversation c - c % 5, then c's own after its first h, with h = crc32(c) % 9."""
+    convs = turns.select("conv_id").distinct().withColumn("h", F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9)
+    donors = turns.where("pos <= 8").withColumnRenamed("conv_id", "donor")
+    heads = convs.withColumn("donor", F.col("conv_id") - F.col("conv_id") % 5).join(donors, "donor").where("pos <= h").select(turns.columns)
+    taken = heads.groupBy("conv_id").agg(F.count("*").alias("taken"))
+    shifts = convs.join(taken, "conv_id", "left").select("conv_id", "h", F.coalesce("taken", F.lit(0)).alias("taken"))
+    own = turns.join(shifts, "conv_id").where("pos > h").withColumn("pos", F.col("pos") - F.col("h") + F.col("taken"))
+    return heads.union(own.select(turns.columns)), convs.select("conv_id")
+
+
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = materialise(conversation_trie.numbered(_table(spark, folder, "conversations")), "numbered")
+    return conversation_trie.trie(*rebuilt(turns))
+
+
+QUERIES["op12_conversation_trie"] = op12_conversation_trie
+
+#: CRC-32 in SQL: a table of 256 steps, made by the rule of its polynomial, and one step per byte of a list.
+CRC_TABLE = """(SELECT list(v ORDER BY i) AS steps FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def crc_sql(octets: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+SQL["op12_conversation_trie"] = f"""
+WITH crc AS {CRC_TABLE},
+d AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(length(role) || ':' || role || text ORDER BY turn NULLS FIRST, substr(sha256(length(role) || ':' || role || text), 1, 30)) AS turns,
+  list(strlen(text) ORDER BY turn NULLS FIRST, substr(sha256(length(role) || ':' || role || text), 1, 30)) AS bytes FROM d GROUP BY conv_id),
+h AS (SELECT own.*, {crc_sql("list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda k: unicode(substr(conv_id::VARCHAR, k, 1))::BIGINT)")} % 9 AS h FROM own, crc),
+r AS (SELECT h.conv_id, list_concat(coalesce(list_slice(f.turns, 1, h.h), []), list_slice(h.turns, h.h + 1, len(h.turns))) AS turns,
+  list_concat(coalesce(list_slice(f.bytes, 1, h.h), []), list_slice(h.bytes, h.h + 1, len(h.bytes))) AS bytes FROM h LEFT JOIN own f ON f.conv_id = h.conv_id - h.conv_id % 5),
+p AS (SELECT conv_id, d AS depth, list_slice(turns, 1, d) AS node, CASE WHEN d > 0 THEN list_slice(turns, 1, d - 1) END AS parent, CASE WHEN d > 0 THEN bytes[d] ELSE 0 END AS bytes, d = len(turns) AS last
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM r)),
+n AS (SELECT node, min(conv_id) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, count(*) AS n_convs, any_value(bytes) AS bytes,
+  sha256(coalesce(string_agg(CASE WHEN last THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends_sha256 FROM p GROUP BY node),
+k AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+w AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * bytes AS saved FROM n LEFT JOIN k USING (node)),
+up AS (SELECT list_slice(node, 1, d) AS node, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(depth + 1)) AS d FROM w) GROUP BY 1)
+SELECT w.conv_id, w.depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
+FROM w JOIN up USING (node) LEFT JOIN n a ON a.node = w.parent
+"""
