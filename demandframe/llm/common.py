@@ -27,10 +27,13 @@ def new_path(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, what: str = "part") -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts the lineage, survives lost executors."""
+def materialise(df: DataFrame, what: str = "part", *folders: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    ``folders``: columns whose values get a folder each, so that a filter on them reads nothing else.
+    """
     path = new_path(df.sparkSession, what)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

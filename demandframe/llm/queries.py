@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandframe.llm import bpe_backtrack, conversation_trie, embedding_dedup, line_dedup, packing, pii, quality, sentencepiece_fst, simhash, token_store, toxicity, url_filter
-from demandframe.llm.common import materialise
+from demandframe.llm import bpe_backtrack, conversation_trie, embedding_dedup, line_dedup, packing, pii, quality, sentencepiece_fst, simhash, spelling, token_store, toxicity, url_filter
+from demandframe.llm.common import LOWER, UPPER, ascii_lower, materialise
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -207,3 +207,41 @@ up AS (SELECT list_slice(node, 1, d) AS node, sum(leaf) AS n_leaves, sum(saved)
 SELECT w.conv_id, w.depth, a.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, w.ends_sha256
 FROM w JOIN up USING (node) LEFT JOIN n a ON a.node = w.parent
 """
+
+
+#: Letters of a run, the divisor that picks the runs that lose a letter, the shortest and rarest word.
+LETTERS, LOSES, LEAST_LETTERS, LEAST_TIMES = "A-Za-z\u00C0-\u00FF", 199, 6, 5
+
+
+def mangled_words(docs: DataFrame) -> DataFrame:
+    """(word, n): runs of letters, A-Z in lower case; where 199 divides the CRC-32 h of "doc_id:run", letter h % length is missing."""
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all(F.col("text").cast("string"), F.lit(f"[{LETTERS}]{{{LEAST_LETTERS},}}"), F.lit(0))).alias("run"))
+    plain = F.octet_length("run") == F.length("run")
+    runs = runs.select("doc_id", F.when(plain, F.lower("run")).otherwise(ascii_lower(F.col("run"))).alias("run"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    cut = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.length("run")))
+    words = runs.withColumn("h", h).select(F.when(F.col("h") % LOSES == 0, cut).otherwise(F.col("run")).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n")).where((F.col("n") >= LEAST_TIMES) & (F.length("word") >= LEAST_LETTERS))
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.groups(mangled_words(_table(spark, folder, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+QUERIES["op13_spelling"] = op13_spelling
+SQL["op13_spelling"] = f"""
+WITH RECURSIVE crc AS {CRC_TABLE},
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[{LETTERS}]{{6,}}')), '{UPPER}', '{LOWER}') AS run FROM documents) GROUP BY ALL),
+h AS (SELECT run, n, {crc_sql("flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))")} AS h FROM runs, crc),
+m AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM m GROUP BY word HAVING sum(n) >= 5 AND length(word) >= 6),
+k AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS any_at FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (SELECT a.word, b.word AS other FROM k a JOIN k b ON a.any_at = b.any_at AND a.word <> b.word
+  UNION SELECT k.word, w.word FROM k JOIN w ON k.less = w.word UNION SELECT w.word, k.word FROM k JOIN w ON k.less = w.word),
+best AS (SELECT near.word, count(*) AS n_near, arg_min(other, (-o.n, other)) AS form, max(o.n) AS form_n FROM near JOIN w o ON o.word = other GROUP BY near.word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n FROM w LEFT JOIN best USING (word)),
+r AS (SELECT word, word AS at, form AS to FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON f.word = r.to)
+SELECT f.word, f.form, r.at AS root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.to IS NULL
+"""
