@@ -71,6 +71,23 @@ def _(t: Tables) -> DataFrame:
     return prep.split(t.orders.select("o_orderkey"), "o_orderkey")
 
 
+def exact_sql(key: str, table: str, seed: int = 333) -> str:
+    """The split by rank: rows in the order of the key's hash, then of the key, cut at shares of the rows."""
+    return f"""SELECT *, CASE WHEN r <= floor(round(n * 0.7, 6) + 0.5) THEN 'train' WHEN r <= floor(round(n * 0.85, 6) + 0.5) THEN 'valid' ELSE 'test' END AS split
+        FROM (SELECT *, row_number() OVER (ORDER BY {hash_sql(key, seed)}, {key}) AS r, count(*) OVER () AS n FROM {table})"""
+
+
+@check("split_exact", f"SELECT o_orderkey, split FROM ({exact_sql('o_orderkey', 'orders')})")
+def split_exact(t: Tables) -> DataFrame:
+    return prep.split_exact(t.orders.select("o_orderkey"), "o_orderkey")
+
+
+@check("split_exact_sizes", f"SELECT split, count(*) AS n FROM ({exact_sql('l_key', '(SELECT l_orderkey * 8 + l_linenumber AS l_key FROM lineitem)', 42)}) GROUP BY split")
+def split_exact_sizes(t: Tables) -> DataFrame:
+    lines = t.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("l_key"))
+    return prep.split_exact(lines, "l_key", seed=42).groupBy("split").agg(F.count("*").alias("n"))
+
+
 @check("split_sizes", f"SELECT split, count(*) AS n FROM (SELECT {split_sql('o_orderkey', 42)} AS split FROM orders) GROUP BY split")
 def _(t: Tables) -> DataFrame:
     return prep.split(t.orders, "o_orderkey", seed=42).groupBy("split").agg(F.count("*").alias("n"))

@@ -107,13 +107,17 @@ def inner_lengths(c: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.transform(_as_column(c), lambda row: F.size(row))))
 
 
+#: Values that ``hash_fraction`` can take.
+HASH_PRIME = 1000003
+
+
 def hash_fraction(key: Column | str, seed: int) -> Column:
     """A number in [0, 1) that depends on the integer key and the seed only.
 
     Plain integer arithmetic modulo a prime: the same row gets the same number whatever the
     partitioning, and any SQL engine computes the same one. For text keys pass ``xxhash64(key)``.
     """
-    prime = F.lit(1000003).cast("bigint")
+    prime = F.lit(HASH_PRIME).cast("bigint")
     k = F.pmod(_as_column(key).cast("bigint"), F.lit(4294967296).cast("bigint"))
     m = F.pmod(k * 40503 + F.floor(k / 65536) * 2654435 + seed * 7919, prime)
-    return F.pmod(m * m + m * 65599 + seed, prime) / 1000003.0
+    return F.pmod(m * m + m * 65599 + seed, prime) / float(HASH_PRIME)

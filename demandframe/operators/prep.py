@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark import keyword_only
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from demandframe.functions import columns as fc
 from demandframe.operators.lookup import attach_row, join_summary, one_row
+from demandframe.operators import profile
 from demandframe.operators.profile import modes, quantile_arrays, quantile_row
 from demandframe.operators.typing import columns_of_kind
 
@@ -59,6 +61,10 @@ def align_columns(df: DataFrame, features: Sequence[str]) -> DataFrame:
 # ---- split ---------------------------------------------------------------------------------
 
 
+#: The shares of a split.
+SHARES = {"train": 0.70, "valid": 0.15, "test": 0.15}
+
+
 def split_label(key: Column | str, fractions: Mapping[str, float], seed: int) -> Column:
     """Split name per row from a seeded hash of the unique key; no shuffle, no sort.
 
@@ -76,9 +82,46 @@ def split_label(key: Column | str, fractions: Mapping[str, float], seed: int) ->
     return F.lit(names[-1]) if out is None else out.otherwise(names[-1])
 
 
+def _told_apart(df: DataFrame, key: str) -> Column:
+    """The key; where it is NULL, a hash of the whole row, so that such rows are dealt out as well."""
+    return F.coalesce(F.col(key).cast("bigint"), F.xxhash64(*[F.col(c) for c in sorted(df.columns)]))
+
+
 def split(df: DataFrame, key: str, fractions: Mapping[str, float] | None = None, seed: int = 333, out: str = "split") -> DataFrame:
-    """Add the split column; default shares are 70/15/15."""
-    return df.withColumn(out, split_label(key, fractions or {"train": 0.70, "valid": 0.15, "test": 0.15}, seed))
+    """Add the split column; default shares are 70/15/15. Rows with a NULL key are dealt out by their other columns; equal rows stay together."""
+    return df.withColumn(out, split_label(_told_apart(df, key), fractions or SHARES, seed))
+
+
+def split_exact(df: DataFrame, key: str, fractions: Mapping[str, float] | None = None, seed: int = 333, out: str = "split") -> DataFrame:
+    """As ``split``, with sizes that are right to the row: shares of n rows, summed up and rounded half up.
+
+    Rows are ordered by a hash of the key and then by the key; what stands at the borders is found by selection in rounds when this is
+    called, and each row is then labelled by itself, without a sort or a shuffle. Rows of equal keys stay together, so sizes
+    are exact for unique keys.
+    """
+    shares = dict(fractions or SHARES)
+    total, names = float(sum(shares.values())), list(shares)
+    upto = [sum(list(shares.values())[: i + 1]) / total for i in range(len(names) - 1)]
+    key_ = _told_apart(df, key)
+    low, high = F.pmod(key_, F.lit(1 << 32)), F.floor(key_ / (1 << 32))
+    u = F.round(fc.hash_fraction(key_, seed) * fc.HASH_PRIME).cast("bigint")
+    rows = df.select((u * (1 << 32) + low).alias("place"), high.alias("high"))  # below 2**53, and exact as doubles
+    last = lambda n, q: math.floor(round(n * q, 6) + 0.5) - 1
+    n, at = profile.select_ranks(rows, ["place"], upto, lambda n, q: {last(n, q)} - {-1}).get("place", (0, {}))
+    borders = [int(at.get(last(n, q), -1)) for q in upto]
+    ends = [None] * len(borders)
+    if borders:  # keys that are equal in their lower 32 bits are told apart by the others
+        counts = rows.agg(*[F.struct(F.count_if(F.col("place") < b), F.count_if(F.col("place") == b)) for b in borders]).first()
+        for i, (b, (below, same)) in enumerate(zip(borders, counts)):
+            rank = last(n, upto[i]) - below
+            if same > 1 and rank < same - 1:
+                found = profile.select_ranks(rows.where(F.col("place") == b), ["high"], [rank / (same - 1)], lambda n, q, r=rank: {r})
+                ends[i] = int(found["high"][1][rank])
+    place, label = u * (1 << 32) + low, None
+    for name, b, end in zip(names, borders, ends):
+        here = place <= b if end is None else (place < b) | ((place == b) & (high <= end))
+        label = F.when(here, name) if label is None else label.when(here, name)
+    return df.withColumn(out, F.lit(names[-1]) if label is None else label.otherwise(names[-1]))
 
 
 # ---- scaling -------------------------------------------------------------------------------

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import sys
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,8 +13,11 @@ from pyspark.sql import types as T
 
 from demandframe.operators.lookup import attach_row, join_summary, one_row
 
-# Entries of the sketch that brackets a quantile: its rank error is one in this many rows.
-SKETCH = 20_000
+# Entries of the sketch that brackets a quantile: its rank error is one in this many rows. A whole column is narrowed down
+# in rounds, so a coarse first bracket will do; a group has one.
+SKETCH, GROUP_SKETCH = 1_000, 20_000
+# Parts into which a round of selection cuts a bracket: so many counts per column and quantile come to the driver at most.
+CELLS = 8192
 
 
 def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -20,53 +26,152 @@ def to_long(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataF
     return shaped.unpivot(list(by), list(cols), "column", "value").where("value IS NOT NULL AND NOT isnan(value)")
 
 
-def quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """(by…, column, q ARRAY): exact, linearly interpolated quantiles.
+def _marks(qs: Sequence[float], sketch: int) -> list[float]:
+    """Ranks between which the sketch brackets each quantile."""
+    margin = 3.0 / sketch
+    return [min(1.0, max(0.0, q + side * margin)) for q in qs for side in (-1, 1)]
+
+
+def _cell(c: Column, low: float, high: float) -> Column:
+    """Which of CELLS equal parts of [low, high] a value lies in; NULL outside, infinities beyond all others."""
+    a, b = max(low, -sys.float_info.max), min(high, sys.float_info.max)
+    scale = 1.0 if math.isfinite(b - a) else 0.5
+    width = (b * scale - a * scale) or 1.0
+    part = F.least(F.floor((c * scale - a * scale) / width * CELLS), F.lit(CELLS - 1))
+    placed = F.when(c < a, -1).when(c > b, CELLS).otherwise(part)
+    return F.when((c >= low) & (c <= high), placed)
+
 
-    A sketch brackets each quantile; one scan counts the values below each bracket and groups those inside; the
-    neighbours of the rank are picked from these. Only brackets are shuffled, never a column. A bracket that
-    misses its rank (the sketch's error is bounded, so none should) is taken again as the whole group.
+def select_ranks(df: DataFrame, cols: Sequence[str], qs: Sequence[float], ranks: Callable[[int, float], set[int]]) -> dict[str, tuple[int, dict[int, float]]]:
+    """(n, values by rank from 0) of each column that has values, by selection in rounds; ``ranks`` names the ranks near a share of n rows.
+
+    A mergeable sketch brackets each rank. Then each round counts the values of a bracket by cells, and the cell with
+    the rank is the next bracket, until it holds one value. What comes to the driver is at most CELLS counts per
+    column and quantile; no task ever sees a column, and every size and distribution goes the same way.
     """
-    long = to_long(df, cols, by)
-    keys = [*by, "column"]
-    long = long.select(F.struct(*keys).alias("_group"), "value")
-    margin, m = 3.0 / SKETCH, len(qs)
-    marks = [min(1.0, max(0.0, q + side * margin)) for q in qs for side in (-1, 1)]
-    sketch = long.groupBy("_group").agg(F.count("*").alias("_n"), F.percentile_approx("value", marks, SKETCH).alias("_m"), F.min("value").alias("_min"), F.max("value").alias("_max"))
-    # at the ends of the distribution the bracket is closed by the extreme itself
-    low = [F.when(F.lit(q - margin <= 0), F.col("_min")).otherwise(F.col("_m")[2 * i]).alias("lo") for i, q in enumerate(qs)]
-    high = [F.when(F.lit(q + margin >= 1), F.col("_max")).otherwise(F.col("_m")[2 * i + 1]).alias("hi") for i, q in enumerate(qs)]
-    brackets = sketch.select("_group", "_n", F.array(*[F.struct(a, b) for a, b in zip(low, high)]).alias("_b"))
-    near = long.join(brackets, "_group")
-    below = [F.sum((F.col("value") < F.col("_b")[i]["lo"]).cast("long")).alias(f"_below{i}") for i in range(m)]
-    inside = F.exists("_b", lambda b: (F.col("value") >= b["lo"]) & (F.col("value") <= b["hi"]))
-    cells = near.withColumn("_v", F.when(inside, F.col("value"))).groupBy("_group", "_n", "_b", "_v").agg(F.count("*").alias("_c"), *below)
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    rows = df.select(*[v.alias(f"v{i}") for i, v in enumerate(value.values())])
+    seen = {}
+    marks = _marks(qs, SKETCH)
+    per_column = [F.struct(F.count(f"v{i}"), F.min(f"v{i}"), F.max(f"v{i}"), F.percentile_approx(f"v{i}", marks, SKETCH)) for i in range(len(cols))]
+    for i, r in enumerate(rows.agg(*[x.alias(f"s{i}") for i, x in enumerate(per_column)]).first()):
+        n, least, most, found = r
+        if n:
+            seen[i] = n, least, most, found
+    # (column, rank) -> (low, high, values below low); the ends of the distribution close a bracket
+    open_: dict[tuple[int, int], tuple[float, float, int | None]] = {}
+    for i, (n, least, most, found) in seen.items():
+        for j, q in enumerate(qs):
+            low = least if marks[2 * j] <= 0 or n <= SKETCH else found[2 * j]
+            high = most if marks[2 * j + 1] >= 1 or n <= SKETCH else found[2 * j + 1]
+            for rank in ranks(n, q):
+                open_[i, rank] = low, high, None
+    done: dict[tuple[int, int], float] = {}
+    while open_:
+        brackets = {b: k for k, b in enumerate(dict.fromkeys((i, low, high) for (i, _), (low, high, _) in open_.items()))}
+        first = any(below is None for _, _, below in open_.values())
+        wide = {b: k for b, k in brackets.items() if b[1] < b[2]}
+        parts = []
+        if wide:
+            within = reduce(lambda a, b: a | b, [F.col(f"v{i}").between(low, high) for i, low, high in wide])
+            placed = [F.struct(F.lit(k).alias("k"), _cell(F.col(f"v{i}"), low, high).alias("cell"), F.col(f"v{i}").alias("v")) for (i, low, high), k in wide.items()]
+            near = rows.where(within).select(F.inline(F.array(*placed))).where("cell IS NOT NULL")
+            parts.append(near.groupBy("k", "cell").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")))
+        if first:  # in the same job the rows below the brackets of the sketch, and those of brackets that are one value
+            count = lambda test: F.coalesce(F.sum(test.cast("long")), F.lit(0).cast("long")).alias("n")
+            none, told = F.lit(None).cast("double"), []
+            for (i, low, high), k in brackets.items():
+                told.append(F.struct(F.lit(k).alias("k"), F.lit(-2).cast("long").alias("cell"), count(F.col(f"v{i}") < low), none.alias("low"), none.alias("high")))
+                if low == high:
+                    told.append(F.struct(F.lit(k).alias("k"), F.lit(0).cast("long").alias("cell"), count(F.col(f"v{i}") == low), F.lit(low).alias("low"), F.lit(high).alias("high")))
+            parts.append(rows.agg(F.array(*told).alias("u")).select(F.inline("u")))
+        counts = reduce(DataFrame.union, parts)
+        cells: dict[int, list] = {}
+        for r in sorted(counts.collect(), key=lambda r: (r.k, r.cell)):
+            cells.setdefault(r.k, []).append(r)
+        following = {}
+        for (i, rank), (low, high, below) in open_.items():
+            upto = below or 0
+            for r in cells[brackets[i, low, high]]:
+                if r.low is not None and upto <= rank < upto + r.n:
+                    if r.low == r.high:
+                        done[i, rank] = r.low
+                    else:
+                        following[i, rank] = r.low, r.high, upto
+                    break
+                upto += r.n
+            else:  # the sketch left the rank out: the bracket becomes the whole column, in the same rounds
+                following[i, rank] = seen[i][1], seen[i][2], 0
+        open_ = following
+    return {cols[i]: (n, {rank: v for (k, rank), v in done.items() if k == i}) for i, (n, *_) in seen.items()}
+
+
+def _order_statistics(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> dict[str, list[float]]:
+    """The linearly interpolated quantiles of each column that has values."""
+    out = {}
+    for c, (n, at) in select_ranks(df, cols, qs, lambda n, q: {math.floor((n - 1) * q), math.ceil((n - 1) * q)}).items():
+        values = []
+        for q in qs:
+            place = (n - 1) * q
+            a, b = at[math.floor(place)], at[math.ceil(place)]
+            values.append(a if a == b else a + (place - math.floor(place)) * (b - a))
+        out[c] = values
+    return out
+
+
+def _group_arrays(long: DataFrame, qs: Sequence[float]) -> DataFrame:
+    """(_group, q ARRAY) of (_group, value): a sketch brackets each quantile of a group, one scan counts what is below
+    the brackets and the values inside them, and the neighbours of the rank are picked from these."""
+    m, marks = len(qs), _marks(qs, GROUP_SKETCH)
+    sketch = long.groupBy("_group").agg(F.count("*").alias("_n"), F.percentile_approx("value", marks, GROUP_SKETCH).alias("_m"), F.min("value").alias("_min"), F.max("value").alias("_max"))
+    ends = []
+    for i in range(m):
+        # the neighbours of a rank may lie outside of the sketch's margin where a group has fewer rows than the sketch has entries
+        low = F.when((F.col("_n") <= GROUP_SKETCH) | F.lit(marks[2 * i] <= 0), F.col("_min")).otherwise(F.col("_m")[2 * i])
+        high = F.when((F.col("_n") <= GROUP_SKETCH) | F.lit(marks[2 * i + 1] >= 1), F.col("_max")).otherwise(F.col("_m")[2 * i + 1])
+        ends += [low.alias(f"_lo{i}"), high.alias(f"_hi{i}")]
+    near = long.join(sketch.select("_group", *ends), "_group")
+    inside = [(F.col("value") >= F.col(f"_lo{i}")) & (F.col("value") <= F.col(f"_hi{i}")) for i in range(m)]
+    below = [F.sum((F.col("value") < F.col(f"_lo{i}")).cast("long")).alias(f"_below{i}") for i in range(m)]
+    kept = F.when(reduce(lambda a, b: a | b, inside), F.col("value"))
+    own = [F.sum(inside[i].cast("long")).alias(f"_in{i}") for i in range(m)]
+    cells = near.groupBy("_group", kept.alias("_v")).agg(*below, *own)
     group = Window.partitionBy("_group")
     upto = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = cells
-    for i in range(m):
-        own = (F.col("_v") >= F.col("_b")[i]["lo"]) & (F.col("_v") <= F.col("_b")[i]["hi"])
-        ranked = ranked.withColumn(f"_end{i}", F.when(own, F.sum(f"_below{i}").over(group) + F.sum(F.when(own, F.col("_c")).otherwise(0)).over(upto)))
-    picks = []
+    ranked = cells.select("_group", "_v", *[f"_in{i}" for i in range(m)], *[(F.sum(f"_below{i}").over(group) + F.sum(f"_in{i}").over(upto)).alias(f"_end{i}") for i in range(m)])
+    ranked = ranked.join(sketch.select("_group", "_n"), "_group")
+    picks, values = [], []
     for i, q in enumerate(qs):
         place = (F.col("_n") - 1) * F.lit(float(q))
         for rank, name in ((F.floor(place), "lo"), (F.ceil(place), "hi")):
-            picks.append(F.max(F.when((F.col(f"_end{i}") - F.col("_c") <= rank) & (rank < F.col(f"_end{i}")), F.col("_v"))).alias(f"_{name}{i}"))
-    found = ranked.groupBy("_group", "_n").agg(*picks)
-    values = []
-    for i, q in enumerate(qs):
-        place = (F.col("_n") - 1) * F.lit(float(q))
-        values.append(F.col(f"_lo{i}") + (place - F.floor(place)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")))
-    found = found.select("_group", F.array(*values).alias("q"))
-    missed = found.where(F.exists("q", F.isnull)).select("_group")
-    again = long.join(missed, "_group", "left_semi").groupBy("_group").agg(F.percentile("value", F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-    return found.where(~F.exists("q", F.isnull)).union(again).select("_group.*", "q")
+            here = (F.col(f"_end{i}") - F.col(f"_in{i}") <= rank) & (rank < F.col(f"_end{i}"))
+            picks.append(F.max(F.when(here, F.col("_v"))).alias(f"_{name}{i}"))
+        a, b = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        missed = F.raise_error(F.lit("a sketch missed the rank it must bracket"))
+        values.append(F.when(a.isNull() | b.isNull(), missed.cast("double")).otherwise(F.when(a == b, a).otherwise(a + (place - F.floor(place)) * (b - a))))
+    return ranked.groupBy("_group", "_n").agg(*picks).select("_group", F.array(*values).alias("q"))
+
+
+def quantile_arrays(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by…, column, q ARRAY): exact, linearly interpolated quantiles of the non-NULL values; columns without any are left out.
+
+    Without ``by`` the selection runs when this is called, and the result holds the numbers. Groups keep to one plan: what a
+    group sorts is GROUP_SKETCH of its distinct values, or a three-thousandth of them per quantile.
+    """
+    if by:
+        long = to_long(df, cols, by).select(F.struct(*by, "column").alias("_group"), "value")
+        return _group_arrays(long, qs).select("_group.*", "q")
+    found = _order_statistics(df, cols, qs)
+    kind = "array<struct<column:string,q:array<double>>>"
+    rows = [F.struct(F.lit(c).alias("column"), F.array(*map(F.lit, v)).alias("q")) for c, v in found.items()]
+    return df.sparkSession.range(1).select(F.inline(F.array(*rows).cast(kind)))
 
 
 def quantile_row(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
-    """One row with an array of exact, linearly interpolated quantiles per column."""
-    arrays = quantile_arrays(df, cols, qs)
-    return arrays.agg(*[F.max(F.when(F.col("column") == c, F.col("q"))).alias(c) for c in cols])
+    """One row with an array of exact, linearly interpolated quantiles per column, found when this is called; NULL for a column without values."""
+    found = _order_statistics(df, cols, qs)
+    array = lambda v: F.array(*map(F.lit, v)) if v else F.lit(None).cast("array<double>")
+    return df.sparkSession.range(1).select(*[array(found.get(c)).alias(c) for c in cols])
 
 
 def quantiles(

@@ -53,6 +53,26 @@ def test_split_is_exhaustive_disjoint_and_repeatable(spark, partitions):
     assert first.join(other.withColumnRenamed("split", "s2"), "k").where("split <> s2").count() > 500
 
 
+@pytest.mark.parametrize("keys", ["id", "id * 4294967296 * 1000003", "id * 1000003 - 5000", "(id % 3) * 4294967296 + id DIV 3"])
+def test_exact_split_is_right_to_the_row(spark, keys):
+    """Also for keys that the hash can't tell apart."""
+    for n in (0, 1, 2, 3, 10, 1001):
+        df = spark.range(n).selectExpr(f"{keys} AS k", "1 AS place")
+        got = prep.split_exact(df, "k")
+        assert {r["split"]: r["count"] for r in got.groupBy("split").count().collect()} == {
+            s: c for s, c in zip(("train", "valid", "test"), (int(n * 0.7 + 0.5), int(n * 0.85 + 0.5) - int(n * 0.7 + 0.5), n - int(n * 0.85 + 0.5))) if c
+        }
+    again = prep.split_exact(df.repartition(7), "k")
+    assert got.join(again.withColumnRenamed("split", "s2"), "k").where("split <> s2").count() == 0
+
+
+def test_null_keys_are_dealt_out(spark):
+    df = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS k", "id AS other")
+    for got in (prep.split(df, "k"), prep.split_exact(df, "k")):
+        n = {r["split"]: r["count"] for r in got.groupBy("split").count().collect()}
+        assert 1900 < n["train"] < 2300 and n["valid"] > 300 and n["test"] > 300
+
+
 def test_split_shares_hold_for_patterned_keys(spark):
     for keys in (F.col("id") * 1000, F.col("id") * 7 + 3, F.col("id") * 65536, F.col("id") + 10_000_000_000, -F.col("id")):
         df = prep.split(spark.range(20_000).select(keys.alias("k")), "k")

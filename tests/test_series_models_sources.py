@@ -278,3 +278,34 @@ def test_stages_between_assembler_and_model_are_run(spark, sample):
     assert got["predictions"] == pytest.approx(want)
     with pytest.raises(ValueError):
         scoring.score_requests(spark.createDataFrame([], "id int, rows array<array<double>>"), Pipeline(stages=stages[:1]).fit(df), "id", "rows")
+
+
+@pytest.mark.parametrize("kind", ["linear", "forest"])
+def test_requests_without_rows_are_kept(spark, kind):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+
+    from demandframe.operators import scoring
+
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(40)], "x double, y double")
+    last = LinearRegression(featuresCol="f", labelCol="y") if kind == "linear" else RandomForestRegressor(featuresCol="f", labelCol="y", numTrees=3, seed=1)
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="f"), last]).fit(df)
+    asked = spark.createDataFrame([(1, [[1.0], [2.0]]), (1, []), (None, None), (2, [[3.0]])], "id int, rows array<array<double>>")
+    got = scoring.score_requests(asked, model, "id", "rows").collect()
+    assert sorted((str(r["id"]), None if r["predictions"] is None else len(r["predictions"])) for r in got) == [("1", 0), ("1", 2), ("2", 1), ("None", None)]
+    plain = {x: p for x, p in model.transform(df).select("x", "prediction").collect()}
+    assert [p for r in got if r["id"] == 2 for p in r["predictions"]] == [pytest.approx(plain[3.0])]
+
+
+def test_a_row_of_another_length_is_an_error(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from demandframe.operators import scoring
+
+    df = spark.createDataFrame([(float(i), 2.0 * i + 1) for i in range(40)], "x double, y double")
+    model = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="f"), LinearRegression(featuresCol="f", labelCol="y")]).fit(df)
+    with pytest.raises(Exception, match="does not have the model's 1 numbers"):
+        scoring.score_requests(spark.createDataFrame([(1, [[1.0, 2.0]])], "id int, rows array<array<double>>"), model, "id", "rows").collect()
