@@ -80,7 +80,7 @@ def powers(n: int) -> list[int]:
     return [1 << k for k in range(n.bit_length() - 1, -1, -1) if n >> k & 1]
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits(), doc_id: str = "doc_id", text: str = "text", blank_in_chunk: bool = True, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits = Limits(), doc_id: str = "doc_id", text: str = "text", blank_in_chunk: bool = True, with_ids: bool = False, special_as_text: bool = True) -> DataFrame:
     """Pack whole texts, each followed by ``end_id``; texts may be cut. One row for each piece.
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with ``with_ids`` also ``ids`` (binary,
@@ -93,7 +93,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, limits: Limits
     schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in names])
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, pool, rows = encoder(tokenizer, blank_in_chunk).encode, Pool(limits, cut=True), []
+        encode, pool, rows = encoder(tokenizer, blank_in_chunk, special_as_text).encode, Pool(limits, cut=True), []
         sequence = TaskContext.get().partitionId() << 40
 
         def put(pieces: list[tuple[list, int]]) -> None:

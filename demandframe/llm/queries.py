@@ -50,12 +50,12 @@ SQL = {"op1_url_filter": OP1_SQL}
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 0).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, special_as_text=False).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op7_token_store(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    path = token_store.write(docs, public_tokenizers.path("word_bpe_49k.json"), 2)
+    path = token_store.write(docs, public_tokenizers.path("word_bpe_49k.json"), 2, special_as_text=False)
     return token_store.read_digest(spark, path)
 
 

@@ -101,7 +101,7 @@ class Shard:
         return out
 
 
-def write(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", blank_in_chunk: bool = False, path: str | None = None) -> str:
+def write(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text", blank_in_chunk: bool = False, path: str | None = None, special_as_text: bool = True) -> str:
     """Encode all texts and write them as shard files in ascending ``doc_id`` order; returns the table's path.
 
     The table has one row for each shard (part, shard, n_docs, n_tokens, doc_ids, data). NULL texts count as empty and
@@ -114,7 +114,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id",
     end = np.array([end_id], "<u4").tobytes()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, n = encoder(tokenizer, blank_in_chunk).encode, TaskContext.get().partitionId(), 0
+        encode, part, n = encoder(tokenizer, blank_in_chunk, special_as_text).encode, TaskContext.get().partitionId(), 0
         docs_, lengths, parts, size = [], [], [], 0
 
         def closed() -> pa.RecordBatch:

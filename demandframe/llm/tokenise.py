@@ -16,15 +16,44 @@ import numpy as np
 KEPT, SHORT, LONGEST, TOGETHER = 900_000, 8, 48, 128
 
 
+class Recent:
+    """Results that were needed of late, up to twice ``kept``: what is looked up again stays, the rest goes when a generation is full."""
+
+    def __init__(self, kept: int, longest: int):
+        self.kept, self.longest = kept, longest
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def find(self, keys: Sequence[str]) -> list[bytes | None]:
+        found = list(map(self.young.get, keys))
+        if self.old:
+            i = -1
+            for _ in range(found.count(None)):
+                i = found.index(None, i + 1)
+                found[i] = self.old.get(keys[i])
+                if found[i] is not None:
+                    self.young[keys[i]] = found[i]
+        return found
+
+    def add(self, new: dict[str, bytes]) -> None:
+        if len(self.young) + len(new) > self.kept:
+            self.old, self.young = self.young, {}
+        self.young.update((k, v) for k, v in new.items() if len(k) <= self.longest)
+
+
 class ChunkEncoder:
-    """``blank_in_chunk``: the blank before a chunk belongs to it (byte-level vocabularies); else white space is dropped."""
+    """``blank_in_chunk``: the blank before a chunk belongs to it (byte-level vocabularies); else white space is dropped.
+
+    ``special_as_text``: the strings of special tokens are ordinary text; else they are the special tokens, as the library has it by default.
+    """
 
-    def __init__(self, path: str, blank_in_chunk: bool, kept: int = KEPT):
+    def __init__(self, path: str, blank_in_chunk: bool, kept: int = KEPT, special_as_text: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.special = [] if special_as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.blank, self.kept = blank_in_chunk, kept
         self.memo: dict[str, bytes] = {}
 
@@ -45,8 +74,8 @@ class ChunkEncoder:
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         out = [b""] * len(texts)
-        # several blanks in a row make one token where the blank counts: such texts go whole
-        whole = [i for i, t in enumerate(texts) if self.blank and "  " in t]
+        # several blanks in a row make one token where the blank counts: such texts go whole, and those with special tokens
+        whole = [i for i, t in enumerate(texts) if self.blank and "  " in t or any(c in t for c in self.special)]
         for i, ids in zip(whole, self._whole([texts[i] for i in whole]), strict=True):
             out[i] = ids
         skip, memo = {*whole}, self.memo
@@ -70,11 +99,12 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[tuple[str, bool], ChunkEncoder] = {}
+_ENCODERS: dict[tuple, ChunkEncoder] = {}
 
 
-def encoder(path: str, blank_in_chunk: bool) -> ChunkEncoder:
+def encoder(path: str, blank_in_chunk: bool, special_as_text: bool = True) -> ChunkEncoder:
     """One encoder for each vocabulary and Python worker; later tasks of the worker go on with what it knows."""
-    if (path, blank_in_chunk) not in _ENCODERS:
-        _ENCODERS[path, blank_in_chunk] = ChunkEncoder(path, blank_in_chunk)
-    return _ENCODERS[path, blank_in_chunk]
+    key = path, blank_in_chunk, special_as_text
+    if key not in _ENCODERS:
+        _ENCODERS[key] = ChunkEncoder(path, blank_in_chunk, special_as_text=special_as_text)
+    return _ENCODERS[key]

@@ -33,6 +33,16 @@ def test_chunks_give_the_library_s_ids(path, blank, kept):
         assert encoder.encode(part) == [x.tobytes() for x in library(path)(part)]
 
 
+@pytest.mark.parametrize("path, blank", [(BYTE, True), (WORD, False)])
+def test_special_tokens_and_marks(path, blank):
+    encoder, t = ChunkEncoder(path, blank, 50, special_as_text=False), Tokenizer.from_file(path)
+    rng = random.Random(4)
+    marked = [" ".join("".join(rng.choice(["a", "é", "ß", "the", "梦", "1", "'s", "x."]) for _ in range(rng.randrange(1, 5))) + rng.choice(["", ".", ",", "?!", ":", "'", ".'"]) for _ in range(30)) for _ in range(100)]
+    texts = odd_texts(300, 2) + marked + ["a<|endoftext|>b", "<|endoftext|>", "\x1cb \x1f. \x85x\xa0y\u2028z"]
+    for _ in range(2):
+        assert encoder.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
 def odd_table(spark):
     texts = odd_texts(120, 1)
     rows = [(i * 7 % 1000, t) for i, t in enumerate(texts)] + [(None, "null id"), (5000, None), (5001, "twice"), (5001, "twice")]
