@@ -32,27 +32,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Words, chunks and pairs kept per Python worker; beyond that the long words go, and pairs are judged anew.
-KEPT, SHORT, LONGEST, PAIRS = 600_000, 9, 48, 400_000
+from demandframe.llm.tokenise import Recent
+
+#: Words and chunks of a generation that a Python worker keeps (some 200 bytes each), the longest ones, and pairs until they are judged anew.
+KEPT, LONGEST, PAIRS = 150_000, 48, 300_000
 #: Characters (or ids) that are worked on at a time; a longer text is worked on alone.
 TOGETHER = 1 << 18
 #: The last character of a word is another symbol where the vocabulary marks word ends: that code point further up.
 LAST = 0x1000
 
 
+def _read(path: str) -> tuple[dict, str | None]:
+    """The vocabulary file and the kind of its decoder."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, decoder = spec["model"], (spec["decoder"] or {}).get("type")
+    odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)]
+    if model["type"] != "BPE" or odd or decoder not in (None, "ByteLevel") or any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
+        raise ValueError(f"{path}: only plain byte-pair vocabularies are read here {odd}")
+    return spec, decoder
+
+
 class Merges:
-    """The tokens of a byte-pair vocabulary, which of them may follow each other, and how they are written."""
+    """The tokens of a byte-pair vocabulary, and which of them may follow each other."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        model, decoder = spec["model"], (spec["decoder"] or {}).get("type")
-        odd = [k for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges") if model.get(k)]
-        if model["type"] != "BPE" or odd or decoder not in (None, "ByteLevel") or any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
-            raise ValueError(f"{path}: only plain byte-pair vocabularies are read here {odd}")
+        spec, _ = _read(path)
+        model = spec["model"]
         library = Tokenizer.from_file(path)
         normal, cutter = library.normalizer, library.pre_tokenizer
         self.normal = normal.normalize_str if normal else str
@@ -65,9 +74,7 @@ class Merges:
         self.by_chunk = [w for w, _ in self.cut(self.normal("a b  c\n d"))] == ["a", "b", "c", "d"]
         self.no_space = [c for c in map(chr, range(0x3001)) if c.isspace() and self.normal(f"a{c}b") != "a b"]
         self._tokens(model["vocab"], [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]])
-        self._offsets(model["vocab"] | self.added, decoder)
-        self.words: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.words, self.chunks = Recent(KEPT, LONGEST), Recent(KEPT, LONGEST)
         self.pairs: dict[int, bool] = {}
 
     def _tokens(self, vocab: dict[str, int], merges: list[tuple[str, str]]) -> None:
@@ -118,19 +125,6 @@ class Merges:
                     return False
         return True
 
-    def _offsets(self, vocab: dict[str, int], decoder: str | None) -> None:
-        """All tokens' bytes in one run, and where each begins."""
-        self.joined_by = b"" if decoder else b" "
-        written = [b""] * (max(vocab.values()) + 1)
-        if decoder:
-            keep = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or 174 <= b]
-            byte = {chr(b): b for b in keep} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in keep)}
-        for t, i in vocab.items():
-            plain = decoder and all(c in byte for c in t)
-            written[i] = (bytes(byte[c] for c in t) if plain else t.encode()) + self.joined_by
-        self.blob = np.frombuffer(b"".join(written), np.uint8)
-        self.offsets = np.concatenate([[0], np.cumsum([len(w) for w in written])])
-
     def _word(self, n: int, longest: Sequence[int]) -> list[int]:
         """The ids of a word of n symbols; ``longest``: the longest token that starts at each."""
         out: list[int] = []
@@ -159,27 +153,26 @@ class Merges:
                 at -= size[token]
                 token = shorter[token]
 
-    def _words(self, words: Sequence[str]) -> None:
-        """Encode words that aren't known yet; one run of the automaton goes over all of them, from behind."""
-        known, end = self.words, self.end
+    def _words(self, words: Sequence[str]) -> list[bytes]:
+        """The ids of each word; one run of the automaton goes over all that aren't known, from behind."""
+        found = self.words.find(words)
+        if None not in found:
+            return found
         if len(self.pairs) > PAIRS:
             self.pairs.clear()
-        if len(known) > KEPT:
-            for w in [w for w in known if len(w) > SHORT]:
-                del known[w]
-            if len(known) > KEPT:
-                known.clear()
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        symbols = [w[:-1] + chr(ord(w[-1]) + LAST) for w in new] if end else new
+        missing = [*{w for w, ids in zip(words, found, strict=True) if ids is None}]
+        symbols = [w[:-1] + chr(ord(w[-1]) + LAST) for w in missing] if self.end else missing
         run = "\x00".join(symbols)[::-1]
         longest, last, before = [0] * len(run), len(run) - 1, -1
         for stop, token in self.automaton.iter(run):  # at each place the longest one first
             if stop != before:
                 longest[last - stop], before = token, stop
-        at = 0
-        for w, s in zip(new, symbols, strict=True):
-            known[w] = np.array(self._word(len(s), longest[at : at + len(s)]), "<u4").tobytes()
+        new, at = {}, 0
+        for w, s in zip(missing, symbols, strict=True):
+            new[w] = np.array(self._word(len(s), longest[at : at + len(s)]), "<u4").tobytes()
             at += len(s) + 1
+        self.words.add(new)
+        return [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
 
     def _units(self, units: Sequence[str]) -> list[bytes]:
         """The ids of several chunks or texts, which never join."""
@@ -194,28 +187,22 @@ class Merges:
         else:
             each = [[p for p, _ in self.cut(self.normal(u))] for u in units]
             owner, pieces = [i for i, ps in enumerate(each) for _ in ps], [p for ps in each for p in ps]
-        self._words(pieces)
         out: list[list[bytes]] = [[] for _ in units]
-        for i, p in zip(owner, pieces, strict=True):
-            out[i].append(self.words[p])
+        for i, ids in zip(owner, self._words(pieces), strict=True):
+            out[i].append(ids)
         return [b"".join(x) for x in out]
 
     def _plain(self, texts: Sequence[str]) -> list[bytes]:
         if not self.by_chunk:
             return self._units(texts)
-        memo = self.chunks
         cut = [[t] if any(c in t for c in self.no_space) else t.split() for t in texts]
-        found = [list(map(memo.get, c)) for c in cut]
+        found = [self.chunks.find(c) for c in cut]
         missing = [*{c for cs, f in zip(cut, found, strict=True) if None in f for c, ids in zip(cs, f, strict=True) if ids is None}]
-        new = dict(zip(missing, self._units(missing), strict=True)) if missing else {}
-        out = [b"".join([new[c] if ids is None else ids for c, ids in zip(cs, f, strict=True)] if None in f else f) for cs, f in zip(cut, found, strict=True)]
-        if len(memo) + len(new) > KEPT:
-            for c in [c for c in memo if len(c) > SHORT]:
-                del memo[c]
-            if len(memo) > KEPT:
-                memo.clear()
-        memo.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST)
-        return out
+        if not missing:
+            return [b"".join(f) for f in found]
+        new = dict(zip(missing, self._units(missing), strict=True))
+        self.chunks.add(new)
+        return [b"".join([new[c] if ids is None else ids for c, ids in zip(cs, f, strict=True)]) for cs, f in zip(cut, found, strict=True)]
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
@@ -227,6 +214,24 @@ class Merges:
             out[i] = b"".join(x for pair in zip(parts, [*marks, b""], strict=True) for x in pair)
         return out
 
+
+class Offsets:
+    """All tokens' bytes in one run, and where each begins."""
+
+    def __init__(self, path: str):
+        spec, decoder = _read(path)
+        vocab = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.joined_by = b"" if decoder else b" "
+        written = [b""] * (max(vocab.values()) + 1)
+        if decoder:
+            keep = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 173 or 174 <= b]
+            byte = {chr(b): b for b in keep} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in keep)}
+        for t, i in vocab.items():
+            plain = decoder and all(c in byte for c in t)
+            written[i] = (bytes(byte[c] for c in t) if plain else t.encode()) + self.joined_by
+        self.blob = np.frombuffer(b"".join(written), np.uint8)
+        self.offsets = np.concatenate([[0], np.cumsum([len(w) for w in written])])
+
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         """The texts of many runs of ids; ``ends``: where each run ends. Ids that name no token are left out, as in the library."""
         there = (ids >= 0) & (ids < len(self.offsets) - 1)
@@ -242,6 +247,7 @@ class Merges:
 
 
 _MERGES: dict[str, Merges] = {}
+_OFFSETS: dict[str, Offsets] = {}
 
 
 def merges(path: str) -> Merges:
@@ -251,6 +257,12 @@ def merges(path: str) -> Merges:
     return _MERGES[path]
 
 
+def offsets(path: str) -> Offsets:
+    if path not in _OFFSETS:
+        _OFFSETS[path] = Offsets(path)
+    return _OFFSETS[path]
+
+
 def _runs(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
     """Runs a:b of rows of some TOGETHER units."""
     a = total = 0
@@ -296,7 +308,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
     rows = df.select(clean.cast("array<int>").alias("i"), *[F.col(c).alias(f"c{k}") for k, c in enumerate(kept)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = merges(path)
+        m = offsets(path)
         for batch in batches:
             lists = batch.column(0)
             ends = np.asarray(lists.offsets)

@@ -9,7 +9,8 @@ from tokenizers.models import BPE
 from test_tokens import odd_texts
 
 from demandframe.llm import bpe_backtrack, queries
-from demandframe.llm.bpe_backtrack import Merges
+from demandframe.llm.bpe_backtrack import Merges, Offsets
+from demandframe.llm.tokenise import Recent
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 SPECIAL = ["<|endoftext|>", "a<|startoftext|> b<|endoftext|>", "<|EndOfText|> <|endoftext|", "İΣς Σ\x1c\x1d x\x85y z", "a" * 5000, "é ́ x"]
@@ -28,7 +29,7 @@ def test_ids_and_texts_are_the_library_s(path):
     for _ in range(2):  # the second time from what is known
         assert [np.frombuffer(x, "<u4").tolist() for x in m.encode(texts)] == expected
     ends = np.cumsum([len(x) for x in expected])
-    assert m.decode(np.array(sum(expected, []), np.int64), ends).to_pylist() == library.decode_batch(expected, skip_special_tokens=False)
+    assert Offsets(path).decode(np.array(sum(expected, []), np.int64), ends).to_pylist() == library.decode_batch(expected, skip_special_tokens=False)
 
 
 def merged(symbols, ranks):
@@ -57,14 +58,13 @@ def test_random_vocabularies(tmp_path):
         vocab = {t: i for i, t in enumerate(tokens)}
         Tokenizer(BPE(vocab, [*ranks])).save(path)
         m = Merges.__new__(Merges)
-        m.end, m.words, m.pairs = "", {}, {}
+        m.end, m.words, m.pairs = "", Recent(50, 48), {}
         m._tokens(vocab, [*ranks])
         words = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 40))) for _ in range(300)] + ["a" * 50, "ab" * 30]
-        m._words(words)
-        for w in words:
+        for w, ids in zip(words * 2, m._words(words) + m._words(words)):
             expected = merged(w, ranks)
             if all(vocab[t] in m.right for t in expected):
-                assert [tokens[i] for i in np.frombuffer(m.words[w], "<u4")] == expected, (k, w)
+                assert [tokens[i] for i in np.frombuffer(ids, "<u4")] == expected, (k, w)
 
 
 def test_rows(spark, odd_docs):
