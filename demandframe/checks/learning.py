@@ -9,7 +9,7 @@ from demandframe.checks.cleaning import CLEAN_SQL, EVENT_RULES, RAW_EVENTS
 from demandframe.checks.features import split_sql
 from demandframe.checks.monitoring import WIDTH, requests
 from demandframe.checks.registry import Tables, check, plain, rounded
-from demandframe.operators import drift, models, prep, scoring
+from demandframe.operators import drift, fold_search, models, prep, scoring
 from demandframe.operators.metrics import metrics_by_split
 from demandframe.operators.ordered import Blocking
 from demandframe.plans import clean, monitor, training
@@ -93,9 +93,9 @@ def _(t: Tables) -> DataFrame:
 PARTS = "SELECT p_partkey, p_retailprice AS y, CAST(p_size AS DOUBLE) AS s, CAST(p_partkey % 7 AS DOUBLE) AS w FROM {part}"
 
 
-def folds_sql(k: int) -> str:
+def folds_sql(k: int, rows: str = PARTS, key: str = "p_partkey") -> str:
     return f"""SELECT *, CASE WHEN i < (n % {k}) * (n // {k} + 1) THEN i // (n // {k} + 1) ELSE n % {k} + (i - (n % {k}) * (n // {k} + 1)) // (n // {k}) END AS fold
-               FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS i, count(*) OVER () AS n FROM ({plain(PARTS)}))"""
+               FROM (SELECT *, row_number() OVER (ORDER BY {key}) - 1 AS i, count(*) OVER () AS n FROM ({plain(rows)}))"""
 
 
 def _folded(t: Tables, k: int) -> DataFrame:
@@ -152,6 +152,63 @@ def _(t: Tables) -> DataFrame:
     return table.select("point", F.round("rmse", 5).alias("rmse"), F.round("mae", 5).alias("mae"), "best")
 
 
+# ---- search with the preparation refitted in every fold ------------------------------------
+
+# Prices rise with the key, so that folds differ in medians and ranges; the priority of the first rows is rare later on.
+GAPPED = """SELECT o_orderkey, o_totalprice / 1000 + o_orderkey % 10 AS y, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice / 100 + o_orderkey END AS x,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderpriority < '3' AND o_orderkey % 3 > 0 THEN 'rush' ELSE 'calm' END AS g FROM {orders}"""
+FILLED = f"""f AS ({folds_sql(5, GAPPED, "o_orderkey")}), h AS (SELECT DISTINCT fold AS held FROM f),
+      s AS (SELECT held, median(x) AS med, min(x) AS lo, max(x) AS hi FROM f, h WHERE fold <> held GROUP BY held),
+      c AS (SELECT held, min(g) AS first_level, arg_min(g, (-n, g)) AS mode FROM (SELECT held, g, count(*) AS n FROM f, h WHERE fold <> held AND g IS NOT NULL GROUP BY held, g) GROUP BY held)"""
+FOLD_GRID = {"alpha": [0.01, 10.0, 1000.0], "fit_intercept": [True, False]}
+
+
+def _gapped(t: Tables) -> DataFrame:
+    return models.with_folds(t.view(GAPPED), "o_orderkey", 5)
+
+
+def fold_search_sql(points: list[dict], feature: str) -> str:
+    """Errors over the folds of one-feature ridge fits; the feature is made with the statistics of the other folds."""
+    rows = ", ".join(f"({i}, {p['alpha']}, {str(p['fit_intercept']).upper()})" for i, p in enumerate(points))
+    return f"""WITH {FILLED}, pt(point, alpha, icpt) AS (VALUES {rows}), z AS (SELECT held, fold, y, {feature} AS z FROM f, s JOIN c USING (held)),
+      b AS (SELECT point, icpt, held, CASE WHEN icpt THEN covar_pop(y, z) * count(*) / (var_pop(z) * count(*) + alpha) ELSE sum(z * y) / (sum(z * z) + alpha) END AS b, avg(y) AS my, avg(z) AS mz
+            FROM z, pt WHERE fold <> held GROUP BY point, alpha, icpt, held),
+      e AS (SELECT point, held, avg(power(y - (CASE WHEN icpt THEN my - b * mz ELSE 0 END + b * z), 2)) AS mse FROM z JOIN b USING (held) WHERE fold = held GROUP BY point, held),
+      a AS (SELECT point, avg(mse) AS mse FROM e GROUP BY point)
+      SELECT CAST(point AS INT) AS point, round(-mse, 4) AS score, round(sqrt(mse), 5) AS cv_rmse, CAST(mse = min(mse) OVER () AS INT) AS best FROM a"""
+
+
+@check(
+    "fold_preparation",
+    f"""WITH {FILLED}, w AS (SELECT median(x) AS med, min(x) AS lo, max(x) AS hi FROM f), m AS (SELECT arg_min(g, (-n, g)) AS mode FROM (SELECT g, count(*) AS n FROM f WHERE g IS NOT NULL GROUP BY g))
+        SELECT CAST(held AS INT) AS held_out, round(med, 6) AS med, round(lo, 6) AS lo, round(hi, 6) AS hi, mode FROM s JOIN c USING (held)
+        UNION ALL SELECT -1, round(med, 6), round(lo, 6), round(hi, 6), mode FROM w, m""",
+)
+def _(t: Tables) -> DataFrame:
+    """Statistics of all rows but one fold's, for each fold, and of all rows (-1)."""
+    rows = []
+    for held, m in fold_search.fit_folds(_gapped(t), prep.TablePrep(numeric=["x"], categorical=["g"])).items():
+        rows.append((-1 if held is None else held, *m.getOrDefault(m.ranges)["x"], m.getOrDefault(m.levels)["g"][0]))
+    return rounded(t.spark.createDataFrame(rows, "held_out int, med double, lo double, hi double, mode string"))
+
+
+def _fold_scores(t: Tables, maker: prep.TablePrep) -> DataFrame:
+    _, table = fold_search.search("ridge", FOLD_GRID, _gapped(t), "y", maker)
+    return table.select("point", F.round("score", 4).alias("score"), F.round("cv_rmse", 5).alias("cv_rmse"), "best")
+
+
+@check("fold_search_numeric", fold_search_sql(models.param_grid(FOLD_GRID), "(coalesce(x, med) - lo) / (hi - lo)"))
+def _(t: Tables) -> DataFrame:
+    """Median and range of each fold's training rows."""
+    return _fold_scores(t, prep.TablePrep(numeric=["x"]))
+
+
+@check("fold_search_categorical", fold_search_sql(models.param_grid(FOLD_GRID), "CASE WHEN coalesce(g, mode) <> first_level THEN 1.0 ELSE 0.0 END"))
+def _(t: Tables) -> DataFrame:
+    """Mode and levels of each fold's training rows, the first level dropped."""
+    return _fold_scores(t, prep.TablePrep(categorical=["g"]))
+
+
 # ---- trees ---------------------------------------------------------------------------------
 
 STEP = "SELECT p_partkey, p_retailprice AS y, CAST(CASE WHEN p_partkey % 10 < 4 THEN 1 ELSE 0 END AS DOUBLE) AS big, CAST(p_size AS DOUBLE) AS s FROM {part}"
