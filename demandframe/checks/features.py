@@ -189,17 +189,17 @@ def _month_dummies() -> str:
     return ", ".join(f"CAST(mnth = {m} AS INT) AS mnth_{m}" for m in MONTHS[1:])
 
 
-@check(
-    "prepare_job",
-    f"""WITH x AS (SELECT *, {split_sql('o_orderkey')} AS split FROM ({plain(PREP_ORDERS)})),
-        s AS (SELECT min(price) AS lo_price, max(price) AS hi_price, min(cust) AS lo_cust, max(cust) AS hi_cust FROM x WHERE split = 'train')
-        SELECT o_orderkey, {_scaled_sql('price', 9)}, {_scaled_sql('cust', 9)}, split, {dummy_sql('priority', PRIORITIES)}, {_month_dummies()} FROM x, s""",
+ORDER_RULES = prepare_plan.PrepareRules(
+    key="o_orderkey", domains={"priority": PRIORITIES, "mnth": MONTHS}, integers=("o_orderkey",), doubles=("price", "cust"), drop=("o_orderstatus",), scale=("price", "cust")
 )
+PREPARED_SQL = f"""WITH x AS (SELECT *, {split_sql('o_orderkey')} AS split FROM ({plain(PREP_ORDERS)})),
+        s AS (SELECT min(price) AS lo_price, max(price) AS hi_price, min(cust) AS lo_cust, max(cust) AS hi_cust FROM x WHERE split = 'train')
+        SELECT o_orderkey, {_scaled_sql('price', 9)}, {_scaled_sql('cust', 9)}, split, {dummy_sql('priority', PRIORITIES)}, {_month_dummies()} FROM x, s"""
+
+
+@check("prepare_job", PREPARED_SQL)
 def _(t: Tables) -> DataFrame:
-    rules = prepare_plan.PrepareRules(
-        key="o_orderkey", domains={"priority": PRIORITIES, "mnth": MONTHS}, integers=("o_orderkey",), doubles=("price", "cust"), drop=("o_orderstatus",), scale=("price", "cust")
-    )
-    made, _ = prepare_plan.prepare(t.view(PREP_ORDERS), rules)
+    made, _ = prepare_plan.prepare(t.view(PREP_ORDERS), ORDER_RULES)
     return rounded(made, 9)
 
 

@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandframe.checks.cleaning import CLEAN_SQL, EVENT_RULES, RAW_EVENTS
-from demandframe.checks.features import split_sql
+from demandframe.checks.features import ORDER_RULES, PREP_ORDERS, PREPARED_SQL, split_sql
 from demandframe.checks.monitoring import WIDTH, requests
 from demandframe.checks.registry import Tables, check, plain, rounded
 from demandframe.operators import drift, fold_search, models, prep, scoring
 from demandframe.operators.metrics import metrics_by_split
 from demandframe.operators.ordered import Blocking
-from demandframe.plans import clean, monitor, training
+from demandframe.plans import clean, monitor, prepare, training
+from demandframe.sources import publish
 from demandframe.sources import tables as io
 from demandframe.streaming.scoring import score_stream
 
@@ -361,11 +362,11 @@ FITTED = f"""x AS ({plain(TRAINING)}), md AS (SELECT quantile_cont(s, 0.5) AS m
   co AS (SELECT regr_slope(y, s) AS b, regr_intercept(y, s) AS a FROM z WHERE split = 'train')"""
 
 
-@check(
-    "train_all",
-    f"""WITH {FITTED} SELECT 'linear' AS model, split, count(*) AS n, round(sqrt(avg(power(y - a - b * s, 2))), 4) AS rmse, round(avg(abs(y - a - b * s)), 4) AS mae,
-               round(1 - sum(power(y - a - b * s, 2)) / (var_pop(y) * count(*)), 6) AS r2, round(avg(abs((y - a - b * s) / y)) * 100, 4) AS mape FROM z, co GROUP BY split""",
-)
+TRAINED_SQL = f"""WITH {FITTED} SELECT 'linear' AS model, split, count(*) AS n, round(sqrt(avg(power(y - a - b * s, 2))), 4) AS rmse, round(avg(abs(y - a - b * s)), 4) AS mae,
+               round(1 - sum(power(y - a - b * s, 2)) / (var_pop(y) * count(*)), 6) AS r2, round(avg(abs((y - a - b * s) / y)) * 100, 4) AS mape FROM z, co GROUP BY split"""
+
+
+@check("train_all", TRAINED_SQL)
 def _(t: Tables) -> DataFrame:
     """One model works, one is switched off, one is unknown and must not stop the others."""
     config = {
@@ -399,11 +400,11 @@ SHIFTED = f"""b AS (SELECT regr_slope(y, q) AS s, regr_intercept(y, q) AS a FROM
   dl AS (SELECT su.*, su.rmse - base.rmse AS dr, su.mae - base.mae AS dm, su.r2 - base.r2 AS d2 FROM su, base)"""
 
 
-@check(
-    "scenario_summary",
-    f"""WITH {SHIFTED} SELECT scenario, round(rmse, 5) AS rmse, round(mae, 5) AS mae, round(r2, 5) AS r2, round(dr, 5) AS delta_rmse, round(dm, 5) AS delta_mae, round(d2, 5) AS delta_r2,
-               CASE WHEN abs(dr) > 10 OR abs(dm) > 10 OR d2 < -0.05 THEN 'red' WHEN abs(dr) > 5 OR abs(dm) > 5 THEN 'yellow' ELSE 'green' END AS alert FROM dl""",
-)
+SUMMARY_SQL = f"""WITH {SHIFTED} SELECT scenario, round(rmse, 5) AS rmse, round(mae, 5) AS mae, round(r2, 5) AS r2, round(dr, 5) AS delta_rmse, round(dm, 5) AS delta_mae, round(d2, 5) AS delta_r2,
+               CASE WHEN abs(dr) > 10 OR abs(dm) > 10 OR d2 < -0.05 THEN 'red' WHEN abs(dr) > 5 OR abs(dm) > 5 THEN 'yellow' ELSE 'green' END AS alert FROM dl"""
+
+
+@check("scenario_summary", SUMMARY_SQL)
 def _(t: Tables) -> DataFrame:
     x = t.view(PRICED)
     model = models.fit("linear", x, "y", ["q"])
@@ -517,3 +518,64 @@ def _(t: Tables) -> DataFrame:
     folder = _scratch(t, "clean")
     io.write_table(t.view(RAW_EVENTS), f"{folder}/raw", "csv")
     return rounded(clean.run(t.spark, f"{folder}/raw", f"{folder}/cleaned", EVENT_RULES), 9)
+
+
+# ---- jobs from files to published outputs --------------------------------------------------
+
+
+@check("prepare_files", PREPARED_SQL)
+def _(t: Tables) -> DataFrame:
+    """The preparation job from a CSV file to what its manifest names."""
+    folder = _scratch(t, "prepare")
+    io.write_table(t.view(PREP_ORDERS), f"{folder}/cleaned", "csv")
+    prepare.run(t.spark, f"{folder}/cleaned", f"{folder}/out", ORDER_RULES, "csv")
+    return rounded(publish.read_output(t.spark, f"{folder}/out", "prepare", "splits"), 9)
+
+
+def _published_splits(t: Tables, table: DataFrame, folder: str) -> None:
+    out = publish.JobOutput(t.spark, folder, "prepare")
+    out.table("splits", table, ("split",))
+    out.publish()
+
+
+@check("train_files", TRAINED_SQL)
+def _(t: Tables) -> DataFrame:
+    """Training from published splits to published metrics; one model is unknown and one disabled."""
+    folder = _scratch(t, "train")
+    _published_splits(t, t.view(TRAINING), folder)
+    config = {"linear": {"folds": 4, "grid": {"fit_intercept": [True, False]}}, "lasso": {"enabled": False, "grid": {}}, "no_such_model": {"grid": {"alpha": [1.0]}}}
+    training.run(t.spark, folder, folder, "y", "p_partkey", config)
+    out = publish.read_output(t.spark, folder, "train", "metrics")
+    return out.select("model", "split", "n", *[F.round(c, 6 if c == "r2" else 4).alias(c) for c in ("rmse", "mae", "r2", "mape")])
+
+
+@check(
+    "compare_saved_models",
+    f"""WITH {FITTED}, zo AS (SELECT sum(s * y) / sum(s * s) AS b0 FROM z WHERE split = 'train'), p AS (
+          SELECT 'linear' AS model, y, a + b * s AS p FROM z, co WHERE split = 'test' UNION ALL SELECT 'through_zero', y, b0 * s FROM z, zo WHERE split = 'test')
+        SELECT model, count(*) AS n, round(sqrt(avg(power(y - p, 2))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae FROM p GROUP BY model""",
+)
+def _(t: Tables) -> DataFrame:
+    """Two saved models, read back and compared on the test rows."""
+    folder = _scratch(t, "compare")
+    table = prep.impute_median(t.view(TRAINING), ["s"])
+    _published_splits(t, table, folder)
+    config = {"linear": {"grid": {"fit_intercept": [True]}}, "through_zero": {"model": "linear", "grid": {"fit_intercept": [False]}}}
+    training.run(t.spark, folder, folder, "y", "p_partkey", config)
+    test = publish.read_output(t.spark, folder, "prepare", "splits").where("split = 'test'")
+    return rounded(training.compare_saved(t.spark, folder, test, "y"), 4)
+
+
+@check("monitor_files", SUMMARY_SQL)
+def _(t: Tables) -> DataFrame:
+    """Monitoring of a published model over tables in files."""
+    folder, x = _scratch(t, "monitor"), t.view(PRICED).select("y", "q")
+    out = publish.JobOutput(t.spark, folder, "train")
+    out.model("linear", models.fit("linear", x, "y", ["q"]))
+    out.publish({"best": "linear"})
+    paths = {}
+    for name, table in [("base", x), *[(n, drift.perturb(x, {"q": {"add": sh, "clip": (0, 50)}})) for n, sh in (("small", 2), ("large", 10))]]:
+        paths[name] = f"{folder}/{name}"
+        io.write_table(table, paths[name])
+    monitor.run(t.spark, paths.pop("base"), paths, folder, folder, "y")
+    return rounded(publish.read_output(t.spark, folder, "monitor", "summary"), 5)

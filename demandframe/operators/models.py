@@ -436,6 +436,15 @@ def _session():
 UNFITTABLE = ("SingularMatrixException", "not positive definite", "singular", "NaN", "Infinity", "requirement failed")
 
 
+def singular(e: Exception) -> bool:
+    """Whether a solver on the JVM found a singular matrix, by the classes of the error and its causes."""
+    cause, names = getattr(e, "java_exception", None), []
+    while cause is not None:
+        names.append(cause.getClass().getSimpleName())
+        cause = cause.getCause()
+    return "SingularMatrixException" in names
+
+
 def _unfittable(e: Exception) -> bool:
     """Whether a fit failed by its data and not for lack of executors, memory or columns."""
     return any(mark in str(e) for mark in UNFITTABLE)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandframe.functions.columns import flag
@@ -15,6 +16,8 @@ from demandframe.operators.metrics import regression_metrics
 from demandframe.operators.models import predict
 from demandframe.operators.prep import align_columns
 from demandframe.operators.typing import columns_of_kind
+from demandframe.sources import tables as io
+from demandframe.sources.publish import JobOutput, load_models, published
 
 
 def aligned(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -44,3 +47,27 @@ def feature_reports(base: DataFrame, scenarios: Mapping[str, DataFrame], target:
     return stack_tables(
         *[drift.drift_report(base, t, target).withColumn("scenario", F.lit(name)) for name, t in scenarios.items()]
     )
+
+
+def run(
+    spark: SparkSession, base: str, scenarios: Mapping[str, str], models: str, target: str, label: str, model: str | None = None
+) -> DataFrame:
+    """Monitor a published model: ``base`` and each scenario are Parquet paths, ``models`` is where the job "train" published.
+
+    ``model`` names the model (default: the best by its comparison), which must take finished columns. Publishes ``summary``
+    and ``features`` as the job "monitor" in ``target``; returns the published summary.
+    """
+    name = model or published(spark, models, "train")["facts"]["best"]
+    fitted = load_models(spark, models)
+    if name not in fitted:
+        raise ValueError(f"no model {name!r} in {models}, but {sorted(fitted)}")
+    first = fitted[name].stages[0]
+    if not isinstance(first, VectorAssembler):
+        raise ValueError(f"model {name!r} prepares raw columns itself; its features have no columns to align")
+    before = io.require_rows(io.read_table(spark, base), base)
+    after = {n: io.require_rows(io.read_table(spark, path), path) for n, path in scenarios.items()}
+    out = JobOutput(spark, target, "monitor")
+    summary = out.table("summary", scenario_summary(before, after, fitted[name], first.getInputCols(), label))
+    out.table("features", feature_reports(before, after, label))
+    out.publish({"model": name})
+    return summary

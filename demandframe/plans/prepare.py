@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandframe.operators import prep
 from demandframe.operators.typing import cast_columns, coerce_numeric, to_category
+from demandframe.sources import tables as io
+from demandframe.sources.publish import JobOutput
 
 
 @dataclass(frozen=True)
@@ -57,3 +59,26 @@ def prepare(df: DataFrame, rules: PrepareRules = PrepareRules()) -> tuple[DataFr
     cols = [c for c in rules.scale if c in table.columns]
     stats = prep.minmax_fit(table.where(F.col("split") == "train"), cols)
     return prep.minmax_apply(table, stats, cols), stats
+
+
+def require_splits(counts: Mapping[str, int], names: Sequence[str]) -> None:
+    """ValueError that names the splits without a row."""
+    empty = [n for n in names if not counts.get(n)]
+    if empty:
+        raise ValueError(f"splits without rows: {empty}; the input has too few rows for them")
+
+
+def run(spark: SparkSession, source: str, target: str, rules: PrepareRules = PrepareRules(), fmt: str = "parquet") -> DataFrame:
+    """Prepare a cleaned table (``fmt`` parquet or csv) and publish ``splits`` (by split) and ``scaler`` as the job "prepare" in ``target``.
+
+    A missing or empty source, or a split without rows, is an error, and nothing is published. Returns the published splits.
+    """
+    table = io.read_csv_text(spark, source) if fmt == "csv" else io.read_table(spark, source)
+    made, stats = prepare(io.require_rows(table, source), rules)
+    out = JobOutput(spark, target, "prepare")
+    splits = out.table("splits", made, ("split",))
+    counts = {r["split"]: r["count"] for r in splits.groupBy("split").count().collect()}
+    require_splits(counts, list(rules.fractions))
+    out.table("scaler", stats)
+    out.publish({f"rows_{name}": str(n) for name, n in sorted(counts.items())})
+    return splits
