@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandframe.llm import line_dedup, near_copies, packing, pii, toxicity
-from demandframe.llm.common import materialise
+from demandframe.llm.common import fresh, materialise
 
 #: Documents with this score or a higher one are rejected.
 TOXIC = 0.7
@@ -24,7 +24,8 @@ def _counted(docs: DataFrame, like: DataFrame) -> DataFrame:
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects toxic documents; the model learns from the labelled rows of the whole table."""
     model = toxicity.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored(docs, model).where(F.col("score") < TOXIC).select(docs.columns)
+    score = fresh(docs.columns, "score")[0]
+    return toxicity.scored(docs, model, out=score).where(F.col(score) < TOXIC).select(docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

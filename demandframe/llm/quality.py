@@ -70,34 +70,38 @@ def fit(texts: Sequence[str], good: np.ndarray, stands_for: np.ndarray | None =
     stands_for = np.ones(len(texts)) if stands_for is None else stands_for
     if not len(texts) or good.min() == good.max():
         return Model(np.zeros(0, int), np.zeros(0), 0.0, 0.0, 20.0 if not len(texts) or good.max() else -20.0)
-    pairs, counts, n_words = [], [], []
-    for a, b in groups(texts):
-        w = Words(texts[a:b])
-        n_words.append(w.n_words)
-        for t, f in w.features():
-            p, c = np.unique((t + a) << BITS | f, return_counts=True)
-            pairs.append(p)
-            counts.append(c)
-    pairs, n_words = np.concatenate(pairs), np.maximum(np.concatenate(n_words), 1)
-    doc, f = pairs >> BITS, pairs & ((1 << BITS) - 1)
-    x = np.concatenate(counts) / n_words[doc]
     y = good.astype(float)
     fitted = np.arange(len(y)) % 5 != 4
     if y[fitted].min() == y[fitted].max():
         fitted[:] = True
     n = np.array([(fitted & (y == k)).sum() for k in (0, 1)])
-    of = lambda v, k: np.bincount(f, v * (fitted & (y == k))[doc], minlength=1 << BITS)
-    mean = [of(x, k) / n[k] for k in (0, 1)]
-    var = [np.maximum(of(x * x, k) / n[k] - mean[k] ** 2, 0) for k in (0, 1)]
-    seen = np.bincount(f, fitted[doc], minlength=1 << BITS)
+
+    def shares(chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(document, feature, share of its words) of the chosen features, for a group of texts at a time."""
+        for a, b in groups(texts):
+            w = Words(texts[a:b])
+            found = [np.unique((t[u] + a) << BITS | f[u], return_counts=True) for t, f in w.features() for u in [chosen[f]]]
+            pairs, counts = (np.concatenate(z) for z in zip(*found, strict=True))
+            yield pairs >> BITS, pairs & ((1 << BITS) - 1), counts / np.maximum(w.n_words, 1)[(pairs >> BITS) - a]
+
+    # once over the texts to choose features, once more to keep where the chosen ones stand: memory is that of one group
+    seen, sums, squares = np.zeros(1 << BITS), np.zeros((2, 1 << BITS)), np.zeros((2, 1 << BITS))
+    for doc, f, x in shares(np.ones(1 << BITS, bool)):
+        seen += np.bincount(f, fitted[doc], minlength=1 << BITS)
+        for k in (0, 1):
+            mine = (fitted & (y == k))[doc]
+            sums[k] += np.bincount(f[mine], x[mine], minlength=1 << BITS)
+            squares[k] += np.bincount(f[mine], x[mine] ** 2, minlength=1 << BITS)
+    mean = [sums[k] / n[k] for k in (0, 1)]
+    var = [np.maximum(squares[k] / n[k] - mean[k] ** 2, 0) for k in (0, 1)]
     apart = np.where(seen >= LEAST_DOCS, np.abs(mean[1] - mean[0]) / np.sqrt(var[0] / n[0] + var[1] / n[1] + 1e-12), 0)
     kept = np.argsort(-apart, kind="stable")[:features]
     kept = kept[apart[kept] > 2]
     scale = np.sqrt((var[0] + var[1])[kept] / 2 + (mean[1] - mean[0])[kept] ** 2 / 4) + 1e-9
     place = np.full(1 << BITS, -1)
     place[kept] = np.arange(len(kept))
-    use = place[f] >= 0
-    doc, f, x = doc[use], place[f[use]], x[use]
+    doc, f, x = (np.concatenate(z) for z in zip(*shares(place >= 0), strict=True))
+    f = place[f]
     x = x / scale[f]
     weight = np.where(fitted, np.where(y > 0, 0.5 / n[1], 0.5 / n[0]), 0)
 

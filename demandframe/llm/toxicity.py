@@ -155,7 +155,10 @@ def _model(model: bytes) -> Model:
 
 
 def scored(docs: DataFrame, model: bytes, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with each whole text's score from 0 to 1; NULL and empty texts have 0. All rows and columns stay."""
+    """``docs`` with each whole text's score from 0 to 1; NULL and empty texts have 0. All rows stay, and all columns but one named ``out``, which the score replaces."""
+    if text.lower() == out.lower():
+        raise ValueError("the score can't replace the text it is taken from")
+    docs = docs.select(*[c for c in docs.columns if c.lower() != out.lower()])
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

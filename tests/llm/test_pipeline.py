@@ -85,3 +85,10 @@ def test_an_empty_table_goes_through(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{FOLDER}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_toxicity_stage_keeps_a_column_named_score(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    got = corpus_pipeline.toxicity_stage(spark, docs.selectExpr("*", "doc_id % 7 as score"), FOLDER)
+    assert got.columns == [*docs.columns, "score"]
+    assert {(r.doc_id, r.score) for r in got.collect()} == {(r.doc_id, r.doc_id % 7) for r in corpus_pipeline.toxicity_stage(spark, docs, FOLDER).collect()}

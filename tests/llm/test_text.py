@@ -1,3 +1,4 @@
+import tracemalloc
 import hashlib
 import random
 import re
@@ -7,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from demandframe.llm import pii, quality, toxicity
+from demandframe.llm import hashing, pii, quality, toxicity
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -139,6 +140,14 @@ def test_toxicity_of_odd_rows(spark, odd_docs):
     assert all(0 <= r.p <= 1 for r in toxicity.scored(odd_docs, only, out="p").collect())
 
 
+def test_toxicity_score_replaces_a_column_of_its_name(spark, odd_docs):
+    nothing = toxicity.train(odd_docs.limit(0), spark.createDataFrame([], "doc_id long, toxic int"))
+    got = toxicity.scored(odd_docs.selectExpr("*", "'old' as Score"), nothing)
+    assert [c for c in got.columns if c.lower() == "score"] == ["score"] and got.where("score > 0.01").count() == 0
+    with pytest.raises(ValueError, match="replace the text"):
+        toxicity.scored(odd_docs, nothing, out="text")
+
+
 def test_noisy_or_over_sentences():
     m = toxicity.Model(np.zeros(0, int), np.zeros(0), -2.0)
     p = 1 / (1 + np.exp(2.0))
@@ -196,6 +205,22 @@ def test_quality_learns_junk(spark):
     assert all(r.kept == (r.doc_id % 4 != 0) for r in got)
 
 
+def test_quality_fit_holds_one_group_of_texts(monkeypatch):
+    """Texts of very many different n-grams: the same model however they are grouped, in memory that does not grow with them."""
+    rng = random.Random(3)
+    good = np.array([i % 3 > 0 for i in range(60)])
+    texts = [" ".join(("%x" % rng.getrandbits(64)) + (" fine" if g else " junk") * (k % 5 == 0) for k in range(2000)) for g in good]
+    tracemalloc.start()
+    one = quality.fit(texts, good)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    monkeypatch.setattr(hashing, "GROUP", 1 << 15)
+    two = quality.fit(texts, good)
+    assert np.allclose(one.probabilities(texts), two.probabilities(texts), atol=1e-6)
+    assert np.mean((one.probabilities(texts) >= 0.5) == good) > 0.9
+
+
 def test_quality_of_odd_rows(spark, odd_docs):
     model = quality.train(odd_docs.limit(0), spark.createDataFrame([], "doc_id long, quality int"))
     got = quality.judged(odd_docs, model).collect()
