@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("cleaning", "features", "profiling", "monitoring", "forecasting", "learning")
+AREAS = ("cleaning", "features", "wide_levels", "profiling", "monitoring", "forecasting", "learning")
 
 
 def all_checks():

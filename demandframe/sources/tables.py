@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -115,6 +116,11 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="demandframe-")
 
 
+def fresh_folder(spark: SparkSession, what: str) -> str:
+    """A path that nothing uses yet, in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
