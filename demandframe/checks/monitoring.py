@@ -242,6 +242,33 @@ def _(t: Tables) -> DataFrame:
     return rounded(drift.drift_report(x.where("half = 'base'"), x.where("half = 'new'"), exclude=["half"]).drop("p_value"))
 
 
+CASES = {"moved": {"value": {"add": 20}}, "wrapped": {"k": {"add": 30, "mod": 100}, "value": {"add": 1, "clip": (0, 300)}}, "same": {}}
+CASES_SQL = f"""WITH h0 AS ({plain(PARTS)}),
+  h AS (SELECT 'base' AS half, event_type, value AS moved_value, value AS wrapped_value, value AS same_value, k AS moved_k, k AS wrapped_k, k AS same_k FROM h0
+        UNION ALL SELECT 'new', event_type, value + 20, least(greatest(value + 1, 0), 300), value, k, (k + 30) % 100, k FROM h0),
+  {ks_sql('h', ['moved_value', 'wrapped_value', 'same_value', 'moved_k', 'wrapped_k', 'same_k'])},
+  p AS (SELECT s || '_event_type' AS feature, half AS r, event_type AS c FROM h, (VALUES ('moved'), ('wrapped'), ('same')) v(s)), {chi2_sql('p', 'x')},
+  report AS (SELECT feature, 'ks' AS kind, statistic, p_value FROM ks UNION ALL SELECT feature, 'chi2', statistic, CASE WHEN statistic < 0.000001 THEN 1 END FROM x)
+  SELECT split_part(feature, '_', 1) AS scenario, substr(feature, strpos(feature, '_') + 1) AS feature, kind, round(statistic, 6) AS statistic,
+         round(p_value, 6) AS p_value, CAST(p_value < 0.05 AS INT) AS drift_detected FROM report"""
+
+
+@check("scenario_reports", CASES_SQL)
+def scenario_reports(t: Tables) -> DataFrame:
+    """Three scenarios of the events in one table, each tested against the events."""
+    x = t.view(PARTS).select("event_type", "value", "k")
+    return rounded(drift.scenario_reports(x, drift.perturbed(x, CASES)))
+
+
+@check(
+    "perturbed",
+    f"""WITH h AS ({plain(PARTS)}) SELECT event_id, 'moved' AS scenario, value + 20 AS value, k FROM h UNION ALL SELECT event_id, 'same', value, k FROM h
+        UNION ALL SELECT event_id, 'wrapped', least(greatest(value + 1, 0), 300), (k + 30) % 100 FROM h""",
+)
+def perturbed(t: Tables) -> DataFrame:
+    return drift.perturbed(t.view(PARTS).select("event_id", "value", "k"), CASES)
+
+
 @check(
     "dataset_drift",
     f"""{REPORT} SELECT count(*) AS n_columns, CAST(sum(drift_detected) AS BIGINT) AS n_drifted, sum(drift_detected) / count(*) AS share_drifted,

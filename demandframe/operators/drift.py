@@ -25,6 +25,8 @@ RED_R2_DROP = 0.05
 
 SERIES_TERMS = 100
 
+SCENARIO = "_scenario"
+
 
 # ---- Kolmogorov-Smirnov --------------------------------------------------------------------
 
@@ -59,21 +61,32 @@ def ks_two_sample(
     The p-value is the asymptotic one.
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    both = to_long(a, cols).select("column", "value", one.alias("a"), zero.alias("b")).unionByName(
-        to_long(b, cols).select("column", "value", zero.alias("a"), one.alias("b"))
-    )
+    tested = _ks_by_scenario(to_long(a, cols), to_long(b, cols).withColumn(SCENARIO, F.lit("new")), ["new"], alpha, blocking)
+    return _every_feature(tested.drop(SCENARIO), cols)
+
+
+def _ks_by_scenario(base: DataFrame, new: DataFrame, names: Sequence[str], alpha: float, blocking: Blocking) -> DataFrame:
+    """The KS test of each scenario in ``new`` (scenario, column, value) against ``base`` (column, value), which is counted once.
+
+    One table of distinct values holds a counter for the base and one per scenario. A value that only other scenarios have
+    repeats the distance at the value before it, so the greatest distance is right for each.
+    """
+    both = base.withColumn(SCENARIO, F.lit(None).cast("string")).unionByName(new)
     borders = sample_borders(both, "value", blocking)
-    counts = both.groupBy("column", "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    run = running_sums(counts, "value", {"ca": "a", "cb": "b"}, ["column"], totals=True, borders=borders)
-    gap = F.abs(F.col("ca") / F.nullif("ca_total", F.lit(0)) - F.col("cb") / F.nullif("cb_total", F.lit(0)))
+    own = [F.count_if(F.col(SCENARIO) == name).alias(f"n{i}") for i, name in enumerate(names, 1)]
+    counts = both.groupBy("column", "value").agg(F.count_if(F.col(SCENARIO).isNull()).alias("n0"), *own)
+    run = running_sums(counts, "value", {f"c{i}": f"n{i}" for i in range(len(names) + 1)}, ["column"], totals=True, borders=borders)
+    part = lambda i: F.col(f"c{i}") / F.nullif(f"c{i}_total", F.lit(0))
     found = run.groupBy("column").agg(
-        F.max(gap).alias("statistic"), F.max("ca_total").alias("n_base"), F.max("cb_total").alias("n_new")
+        F.max("c0_total").alias("n_base"),
+        *[F.struct(F.max(F.abs(part(0) - part(i))).alias("statistic"), F.max(f"c{i}_total").alias("n_new")).alias(f"s{i}") for i in range(1, len(names) + 1)],
     )
+    each = F.array(*[F.struct(F.lit(name).alias(SCENARIO), f"s{i}.statistic", f"s{i}.n_new") for i, name in enumerate(names, 1)])
     size = F.sqrt(F.col("n_base") * F.col("n_new") / (F.col("n_base") + F.col("n_new")))
     p = F.coalesce(kolmogorov_sf(size * F.col("statistic")), F.lit(1.0))
-    tested = found.select(F.col("column").alias("feature"), "statistic", "n_base", "n_new", p.alias("p_value"))
-    return _every_feature(tested.withColumn("drift_detected", fc.flag(F.col("p_value") < alpha)), cols)
+    tested = found.select(F.col("column").alias("feature"), "n_base", F.inline(each))
+    tested = tested.select(SCENARIO, "feature", "statistic", "n_base", "n_new", p.alias("p_value"))
+    return tested.withColumn("drift_detected", fc.flag(F.col("p_value") < alpha))
 
 
 # ---- chi-square ----------------------------------------------------------------------------
@@ -166,12 +179,14 @@ def chi2_paired(a: DataFrame, b: DataFrame, cols: Sequence[str] | str, order: st
     """
     cols = [cols] if isinstance(cols, str) else list(cols)
 
-    def labels(t: DataFrame, name: str) -> DataFrame:
-        text = t.select(order, *[fc.text_or_nan(c).alias(c) for c in cols])
-        return text.unpivot([order], cols, "feature", name)
+    def labels(t: DataFrame, side: str) -> DataFrame:
+        return t.select(F.col(order).alias("_order"), *[fc.text_or_nan(c).alias(f"{side}{i}") for i, c in enumerate(cols)])
 
-    pairs = labels(a, "r").join(labels(b, "c"), [order, "feature"], "inner")
-    return _every_feature(_chi2_from_cells(pairs.groupBy("feature", "r", "c").agg(F.count("*").alias("n")), alpha), cols)
+    # rows meet once, with all columns; (feature, r, c) are counted in the task that joined them, so only counts are shuffled
+    pairs = labels(a, "r").join(labels(b, "c"), "_order")
+    each = [F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r"), F.col(f"c{i}").alias("c")) for i, c in enumerate(cols)]
+    cells = pairs.select(F.inline(F.array(*each))).groupBy("feature", "r", "c").agg(F.count("*").alias("n"))
+    return _every_feature(_chi2_from_cells(cells, alpha), cols)
 
 
 def chi2_homogeneity(a: DataFrame, b: DataFrame, cols: Sequence[str] | str, alpha: float = ALPHA) -> DataFrame:
@@ -179,12 +194,17 @@ def chi2_homogeneity(a: DataFrame, b: DataFrame, cols: Sequence[str] | str, alph
     cols = [cols] if isinstance(cols, str) else list(cols)
 
     def labels(t: DataFrame, name: str) -> DataFrame:
-        text = t.select(*[fc.text_or_nan(c).alias(c) for c in cols]).unpivot([], cols, "feature", "c")
-        return text.groupBy("feature", "c").agg(F.count("*").alias("n")).withColumn("r", F.lit(name))
+        return _label_counts(t, cols).withColumn("r", F.lit(name))
 
     return _every_feature(_chi2_from_cells(labels(a, "base").unionByName(labels(b, "new")), alpha), cols)
 
 
+def _label_counts(t: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by…, feature, c, n): rows per label; NULL is the label 'nan'."""
+    text = t.select(*by, *[fc.text_or_nan(c).alias(c) for c in cols]).unpivot(list(by), list(cols), "feature", "c")
+    return text.groupBy(*by, "feature", "c").agg(F.count("*").alias("n"))
+
+
 # ---- reports -------------------------------------------------------------------------------
 
 
@@ -213,6 +233,49 @@ def drift_report(
     return stack_tables(*parts)
 
 
+def scenario_reports(
+    base: DataFrame, scenarios: Mapping[str, DataFrame] | DataFrame, target: str | None = None, exclude: Sequence[str] = (),
+    alpha: float = ALPHA, blocking: Blocking = DEFAULT, scenario: str = "scenario",
+) -> DataFrame:
+    """(scenario, feature, kind, statistic, p_value, drift_detected): ``drift_report`` of every scenario against one base.
+
+    ``scenarios`` are tables by name, or one table of all with a column ``scenario`` (rows where that is NULL are left out). The
+    base is counted once for all of them, and so is a table of all: the scans don't grow with the number of scenarios. The names
+    of the scenarios become counters, so they come to the driver.
+    """
+    if isinstance(scenarios, DataFrame):
+        names = sorted(r[0] for r in scenarios.select(F.col(scenario).cast("string")).where(F.col(scenario).isNotNull()).distinct().collect())
+        tables = [(names, scenarios.withColumn(SCENARIO, F.col(scenario).cast("string")).where(F.col(SCENARIO).isNotNull()).drop(scenario))]
+    else:
+        names = list(scenarios)
+        tables = [([name], t.withColumn(SCENARIO, F.lit(name))) for name, t in scenarios.items()]
+    skip = {target, *exclude}
+    numbers, texts = columns_of_kind(base, "number"), columns_of_kind(base, "text") + columns_of_kind(base, "bool")
+    held = [[c for c in base.columns if c in t.columns and c not in skip] for _, t in tables]
+    wanted = [(n, c, "ks" if c in numbers else "chi2") for (own, _), cols in zip(tables, held) for n in own for c in cols if c in numbers or c in texts]
+    if not wanted:
+        raise ValueError("the tables share no column that can be tested")
+    cols, parts = ["feature", "statistic", "p_value", "drift_detected"], []
+    numeric = [c for c in numbers if any(c in h for h in held)]
+    if numeric:
+        new = stack_tables(*[to_long(t, own, [SCENARIO]) for (_, t), h in zip(tables, held) if (own := [c for c in numeric if c in h])])
+        parts.append(_ks_by_scenario(to_long(base, numeric), new, names, alpha, blocking).select(SCENARIO, *cols, F.lit("ks").alias("kind")))
+    labels = [c for c in texts if any(c in h for h in held)]
+    if labels:
+        new = [_label_counts(t, own, [SCENARIO]) for (_, t), h in zip(tables, held) if (own := [c for c in labels if c in h])]
+        every = _label_counts(base, labels).withColumn(SCENARIO, F.explode(F.array(*[F.lit(n) for n in names])))
+        cells = stack_tables(every.withColumn("r", F.lit("base")), *[t.withColumn("r", F.lit("new")) for t in new])
+        keyed = cells.select(F.struct(SCENARIO, "feature").alias("feature"), "r", "c", "n")
+        tested = _chi2_from_cells(keyed, alpha).withColumn(SCENARIO, F.col(f"feature.{SCENARIO}")).withColumn("feature", F.col("feature.feature"))
+        parts.append(tested.select(SCENARIO, *cols, F.lit("chi2").alias("kind")))
+    rows = base.sparkSession.createDataFrame(wanted, f"{SCENARIO} string, feature string, kind string")
+    full = rows.join(stack_tables(*parts), [SCENARIO, "feature", "kind"], "left")
+    return full.select(
+        F.col(SCENARIO).alias("scenario"), "feature", "kind", "statistic", F.coalesce("p_value", F.lit(1.0)).alias("p_value"),
+        F.coalesce("drift_detected", F.lit(0)).alias("drift_detected"),
+    )
+
+
 def dataset_drift(report: DataFrame, share: float = 0.5) -> DataFrame:
     """(n_columns, n_drifted, share_drifted, dataset_drift): drifted if at least ``share`` of the columns are."""
     n, d = F.count("*"), F.sum("drift_detected")
@@ -243,17 +306,30 @@ DEFAULT_SCENARIO = {
 
 def perturb(df: DataFrame, spec: Mapping[str, Mapping] = DEFAULT_SCENARIO) -> DataFrame:
     """What-if copy of a table: per present column add a constant, then clip or wrap around."""
-    new = {}
-    for c, change in spec.items():
-        if c not in df.columns:
-            continue
-        value = F.col(c) + F.lit(change.get("add", 0))
-        if "mod" in change:
-            value = F.pmod(value, F.lit(change["mod"]))
-        if "clip" in change:
-            value = fc.clamp(value, *change["clip"])
-        new[c] = value
-    return df.withColumns(new)
+    return df.withColumns({c: _changed(c, change) for c, change in spec.items() if c in df.columns})
+
+
+def _changed(c: str, change: Mapping) -> Column:
+    value = F.col(c) + F.lit(change.get("add", 0))
+    if "mod" in change:
+        value = F.pmod(value, F.lit(change["mod"]))
+    if "clip" in change:
+        value = fc.clamp(value, *change["clip"])
+    return value
+
+
+def perturbed(df: DataFrame, specs: Mapping[str, Mapping[str, Mapping]], out: str = "scenario") -> DataFrame:
+    """What-if copies under one another, with the scenario's name in ``out``: one read of the table, however many there are."""
+    if not specs:
+        raise ValueError("no scenarios")
+    if out.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the table already has {out}")
+    moved = [c for c in df.columns if any(c in spec for spec in specs.values())]
+    case = lambda name, spec: F.struct(
+        F.lit(name).alias(out), *[(_changed(c, spec[c]) if c in spec else F.col(c)).alias(c) for c in moved]
+    )
+    each = df.withColumn("_case", F.explode(F.array(*[case(name, spec) for name, spec in specs.items()])))
+    return each.select(*[F.col("_case").getField(c).alias(c) if c in moved else F.col(c) for c in df.columns], F.col("_case").getField(out).alias(out))
 
 
 def scenario_metrics(scenarios: DataFrame, y: str, yhat: str, scenario: str = "scenario") -> DataFrame:

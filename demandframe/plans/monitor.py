@@ -32,21 +32,25 @@ def aligned(df: DataFrame, features: list[str], target: str) -> DataFrame:
     return align_columns(df.withColumns(new) if new else df, [*features, target])
 
 
-def scenario_summary(base: DataFrame, scenarios: Mapping[str, DataFrame], model: PipelineModel, features: list[str], target: str) -> DataFrame:
-    """(scenario, rmse, mae, r2, delta_*, alert): all scenarios are scored and aggregated in one job."""
-    stacked = stack_tables(
-        *[aligned(t, features, target).withColumn("scenario", F.lit(name)) for name, t in scenarios.items()]
-    )
+def scenario_summary(
+    base: DataFrame, scenarios: Mapping[str, DataFrame] | DataFrame, model: PipelineModel, features: list[str], target: str
+) -> DataFrame:
+    """(scenario, rmse, mae, r2, delta_*, alert): all scenarios are scored and aggregated in one job.
+
+    ``scenarios`` are tables by name, or one table of all with a column ``scenario``, as ``drift.perturbed`` makes it.
+    """
+    if isinstance(scenarios, DataFrame):
+        stacked = aligned(scenarios, [*features, "scenario"], target)
+    else:
+        stacked = stack_tables(*[aligned(t, features, target).withColumn("scenario", F.lit(name)) for name, t in scenarios.items()])
     summary = drift.scenario_metrics(predict(stacked, model), target, "prediction")
     baseline = regression_metrics(predict(aligned(base, features, target), model), target, "prediction")
     return drift.alert_level(drift.delta_vs_baseline(summary, baseline))
 
 
-def feature_reports(base: DataFrame, scenarios: Mapping[str, DataFrame], target: str) -> DataFrame:
-    """(scenario, feature, kind, statistic, p_value, drift_detected)."""
-    return stack_tables(
-        *[drift.drift_report(base, t, target).withColumn("scenario", F.lit(name)) for name, t in scenarios.items()]
-    )
+def feature_reports(base: DataFrame, scenarios: Mapping[str, DataFrame] | DataFrame, target: str) -> DataFrame:
+    """(scenario, feature, kind, statistic, p_value, drift_detected); the base is counted once for all scenarios."""
+    return drift.scenario_reports(base, scenarios, target)
 
 
 def run(
