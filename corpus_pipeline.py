@@ -29,8 +29,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes boilerplate lines; every document stays."""
-    return _counted(line_dedup.remove_boilerplate(docs), docs)
+    """Removes boilerplate lines; every document stays, and copied texts stay whole for the next stage."""
+    return _counted(line_dedup.remove_boilerplate(docs, keep_copies=True), docs)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,13 +122,8 @@ def line_dedup_sql(docs: str = "documents", min_sites: int = line_dedup.MIN_SITE
     """The same rows (row_id, text, removed) by exact counts."""
     return f"""
 lines AS (SELECT row_id, source, text, generate_subscripts(string_split(text, chr(10)), 1) AS place, trim(unnest(string_split(text, chr(10))), chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM {docs}),
-firsts AS (SELECT row_id, min(line) AS m, sum(length(line)) AS letters FROM lines WHERE line <> '' GROUP BY row_id),
-seconds AS (SELECT row_id, min(line) AS m2 FROM lines JOIN firsts USING (row_id) WHERE line <> '' AND line <> m GROUP BY row_id),
-each AS (SELECT row_id, coalesce(source, '') AS site, place, line, letters, coalesce(CASE WHEN line = m THEN m2 ELSE m END, '') AS context
-  FROM lines JOIN firsts USING (row_id) LEFT JOIN seconds USING (row_id) WHERE line <> ''),
-wide AS (SELECT line, 2 * count(DISTINCT context) >= count(*) AS independent FROM each GROUP BY line HAVING count(DISTINCT site) >= {min_sites}),
-held AS (SELECT row_id, place, independent, 2 * sum(CASE WHEN independent THEN 0 ELSE length(line) END) OVER (PARTITION BY row_id) <= letters AS few FROM each JOIN wide USING (line)),
-gone AS (SELECT row_id, place FROM held WHERE independent OR few),
+wide AS (SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT coalesce(source, '')) >= {min_sites}),
+gone AS (SELECT row_id, place FROM lines JOIN wide USING (line)),
 kept AS (SELECT l.row_id, string_agg(list_extract(string_split(text, chr(10)), place), chr(10) ORDER BY place) AS kept FROM lines l ANTI JOIN gone g ON l.row_id = g.row_id AND l.place = g.place GROUP BY l.row_id),
 counted AS (SELECT row_id, count(*) AS n_removed FROM gone GROUP BY row_id),
 cleaned AS (SELECT d.* EXCLUDE (text), CASE WHEN n_removed IS NULL THEN d.text ELSE coalesce(kept, '') END AS text, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines, coalesce(n_removed, 0) AS n_removed

@@ -1,4 +1,5 @@
 import random
+from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -191,14 +192,40 @@ def test_vectors_repeated_and_empty(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_lines_on_many_sites_go_and_copies_stay(spark):
+@pytest.mark.parametrize("keep", [False, True])
+def test_lines_on_many_sites_go_and_copies_stay_if_asked(spark, keep):
     rows = [(i, f"own text number {i} which nobody else has\nAll rights reserved.\nmore of {i}", f"s{i}") for i in range(8)]
     rows += [(20 + i, "copied first line of some length\ncopied second line of some length\ncopied third line", f"s{i}") for i in range(8)]
     rows += [(40 + i, f"only on one site {i}\nsite's own footer", "s0") for i in range(8)]
-    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"), keep_copies=keep).collect()}
     for d, text, _ in rows:
-        assert got[d].text == (text.replace("\nAll rights reserved.", "") if d < 20 else text)
-        assert (got[d].n_lines, got[d].n_removed) == (len(text.split("\n")), int(d < 20))
+        emptied = 20 <= d < 40 and not keep
+        assert got[d].text == (text.replace("\nAll rights reserved.", "") if d < 20 else "" if emptied else text)
+        assert (got[d].n_lines, got[d].n_removed) == (len(text.split("\n")), 3 if emptied else int(d < 20))
+
+
+def test_every_line_on_many_sites_goes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.collect()
+    sites = defaultdict(set)
+    for r in rows:
+        for line in r.text.split("\n"):
+            sites[line.strip(line_dedup.BLANKS)].add(r.source)
+    wide = {x for x, s in sites.items() if x and len(s) >= 5}
+    got = {r.doc_id: (r.text, r.n_removed) for r in line_dedup.remove_boilerplate(docs).collect()}
+    for r in rows:
+        lines = r.text.split("\n")
+        kept = [x for x in lines if x.strip(line_dedup.BLANKS) not in wide]
+        assert got[r.doc_id] == ("\n".join(kept), len(lines) - len(kept))
+    assert wide
+
+
+def test_a_long_text_of_shared_lines(spark):
+    """A hundred thousand lines, two thirds of them removed."""
+    shared = [f"line {i} of the licence" for i in range(100_000)]
+    rows = [(i, "\n".join(f"own {i} {k}" if k % 3 == 0 else x for k, x in enumerate(shared)), f"s{i}") for i in range(5)]
+    got = line_dedup.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(r.n_removed == 66_666 and r.text.split("\n") == [f"own {r.doc_id} {k}" for k in range(0, 100_000, 3)] for r in got) and len(got) == 5
 
 
 def test_exact_count_near_the_threshold(spark):
