@@ -36,8 +36,8 @@ WORD = r"\p{L}+"
 SHORTEST, LETTER_IS_WORD = 2, r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]"
 #: Min-hash keys of a text's shingles, values of one key, and the share of shingles from which texts are one class.
 BANDS, ROWS, ALIKE = 16, 3, 0.5
-#: Texts of one key that are compared with each other in one round.
-CHUNK = 16
+#: Texts of one key that are compared with each other in one round, and of one cell when all that are left are compared.
+CHUNK, CELL = 16, 256
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
@@ -115,14 +115,8 @@ def found_entities(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return materialise(rows, "entities")
 
 
-def _classes(texts: DataFrame) -> DataFrame:
-    """(text_key, context) for (text_key, text): texts of one class share their context.
-
-    The texts that share a min-hash key are compared in rounds, by all their shingles; those that share ``ALIKE`` of them link. In a round
-    all are compared with one of them, the one with most links, and (after the first round) with those that are dealt into the same
-    chunk, anew in each round; nearly all pairs of a group of up to ``CHUNK`` texts meet. Texts of one class are not compared
-    again, and rounds end when one finds no new link. A round costs as much as there are keys, however large a group is.
-    """
+def _keyed(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Shingle sets (text_key, h, node) and min-hash keys (node, key) of (text_key, text), as tables."""
     rows = texts.select("text_key", F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "").alias("words"))
     shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 5)))
     sets = materialise(rows.select("text_key", F.array_distinct(shingles).alias("h")).withColumn("node", F.monotonically_increasing_id()), "sets")
@@ -131,27 +125,70 @@ def _classes(texts: DataFrame) -> DataFrame:
     # hashed anew for each: with bits merely turned, masks that share their leading bits would pick the same shingle
     mins = [F.array_min(F.transform("h", lambda x: F.xxhash64(F.lit(r), x))) for r in turn]  # noqa: B023
     keyed = sets.select("node", F.explode(F.array(*[F.xxhash64(F.lit(b), *mins[b * ROWS : b * ROWS + ROWS]) for b in range(BANDS)])).alias("key"))
-    keyed = materialise(keyed, "keyed")
+    return sets, materialise(keyed, "keyed")
+
+
+def _alike() -> Column:
+    both, all_ = F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y")
+    return (F.least(F.size("x"), F.size("y")) >= ALIKE * F.greatest(F.size("x"), F.size("y"))) & ((1 + ALIKE) * both >= ALIKE * all_)
+
+
+def _other_links(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) among all pairs of texts that share a key and have different roots, for (key, node, root).
+
+    The largest component of a key meets only what lies outside it. Texts are dealt into cells, and any two cells meet in a group of
+    their own, so that no key has to be held by one task.
+    """
+    cells = lambda n: F.ceil(n / CELL).cast("int")
+    place = lambda n: F.pmod(F.xxhash64("key", "node"), n).cast("int")
+    parts = live.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n"))
+    parts = parts.select("key", F.col("main.root").alias("main"), cells(F.col("n") - F.col("main.n")).alias("outer"), cells(F.col("main.n")).alias("inner"))
+    inside = F.col("root") == F.col("main")
+    # the outer cells come first; they meet all cells, the largest component's only them
+    dealt = live.join(parts, "key").withColumn("cell", F.when(inside, F.col("outer") + place(F.col("inner"))).otherwise(place(F.col("outer"))))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(inside, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)))
+    dealt = dealt.withColumns({"one": F.least("cell", "other"), "two": F.greatest("cell", "other")}).join(sets.select("node", "h"), "node")
+    left = dealt.where("cell = one").select("key", "one", "two", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("h").alias("x"))
+    right = dealt.where("cell = two").select("key", "one", "two", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("h").alias("y"))
+    met = left.join(right, ["key", "one", "two"]).where("root_a != root_b AND (one < two OR a < b)").where(_alike())
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _classes(texts: DataFrame) -> DataFrame:
+    """(text_key, context) for (text_key, text): texts of one class share their context.
+
+    Texts that share a min-hash key are compared by all their shingles; those that share ``ALIKE`` of them link. That goes in rounds first,
+    each of which costs as much as there are keys: all texts of a key are compared with one of them, the one with most links, and (after
+    the first round) with those that are dealt into the same chunk, anew in each round. Rounds end when one finds no new link;
+    then all pairs of a key that no links connect yet are compared, so none that shares a key is left out.
+    """
+    sets, keyed = _keyed(texts)
     a, b = (sets.select(F.col("node").alias(n), F.col("h").alias(h)) for n, h in (("a", "x"), ("b", "y")))
-    alike = F.size(F.array_intersect("x", "y")) >= ALIKE * F.size(F.array_union("x", "y"))
     links, rooted = None, keyed.withColumns({"root": F.col("node"), "degree": F.lit(0).cast("long")})
     for k in itertools.count():
         mixed = F.xxhash64(F.lit(k), "key", "node")
         groups = rooted.groupBy("key").agg(F.count("*").alias("n"), F.max_by(F.struct("node", "root"), F.struct(F.col("degree"), mixed)).alias("one"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        live = rooted.join(groups.where("lo < hi"), "key")
+        live = materialise(rooted.join(groups.where("lo < hi"), "key").select("key", "node", "root", "n", "one"), "live")
+        if live.isEmpty():
+            break
         pairs = live.where("root != one.root").select(F.least("node", "one.node").alias("a"), F.greatest("node", "one.node").alias("b"))
         if k:
             dealt = live.select("key", F.pmod(mixed, F.ceil(F.col("n") / CHUNK)).alias("chunk"), "node", "root")
             left = dealt.select("key", "chunk", F.col("node").alias("a"), F.col("root").alias("root_a"))
             right = dealt.select("key", "chunk", F.col("node").alias("b"), F.col("root").alias("root_b"))
             pairs = pairs.union(left.join(right, ["key", "chunk"]).where("a < b AND root_a != root_b").select("a", "b"))
-        found = materialise(pairs.distinct().join(a, "a").join(b, "b").where(alike).select("a", "b"), "links")
-        if found.isEmpty():
-            if k:
-                break
+        found = materialise(pairs.distinct().join(a, "a").join(b, "b").where(_alike()).select("a", "b"), "links")
+        last = found.isEmpty()
+        if last and not k:
             continue
+        if last:
+            found = materialise(_other_links(live, sets), "links")
+            if found.isEmpty():
+                break
         links = links.union(found) if links else found
         roots = materialise(connected(links), "roots")
+        if last:
+            break
         degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
         rooted = keyed.join(roots.join(degrees, "node"), "node", "left").withColumns({"root": F.coalesce("root", "node"), "degree": F.coalesce("degree", F.lit(0))})
     if links is None:

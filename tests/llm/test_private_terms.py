@@ -128,3 +128,28 @@ def test_classes_keep_links_and_make_no_others(spark):
     same = [(a, b) for a, b in combinations(texts, 2) if exact[a] == exact[b]]
     assert sum(got[a] == got[b] for a, b in same) >= 0.99 * len(same) and len(same) > 500
     assert all(exact[a] == exact[b] for a, b in combinations(texts, 2) if got[a] == got[b])
+
+
+def test_all_texts_of_a_key_are_compared(spark):
+    """Pages that share most of their text, and so their keys, but are unlike, except for pairs of them: the classes of all pairs that share a key."""
+    rng = random.Random(5)
+    shared = " ".join(f"s{i}" for i in range(190))
+    texts = []
+    for g in range(80):
+        more = " ".join(f"m{g}x{i}" for i in range(16))
+        texts += [f"{shared} {' '.join(f'p{g}y{k}z{i}' for i in range(80))} {more}" for k in range(2)]
+        texts.append(f"{shared} {' '.join(f'q{g}z{i}' for i in range(100))}")
+    rng.shuffle(texts)
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text")).alias("text_key"), "text")
+    sets, keyed = pii._keyed(df)
+    own = {r.node: set(r.h) for r in sets.collect()}
+    keys = {}
+    for r in keyed.collect():
+        keys.setdefault(r.key, set()).add(r.node)
+    links = {(a, b) for nodes in keys.values() for a, b in combinations(sorted(nodes), 2) if len(own[a] & own[b]) >= pii.ALIKE * len(own[a] | own[b])}
+    # nearly all of them meet in large groups only
+    assert len(links) > 50 and max(map(len, keys.values())) > 4 * pii.CHUNK
+    first = {r.text_key: r.node for r in sets.collect()}
+    got = {first[r.text_key]: r.context for r in pii._classes(df).collect()}
+    assert all(got[a] == got[b] for a, b in links)
+    assert len(set(got.values())) == len(own) - len(links)  # each pair is a class of its own
