@@ -50,7 +50,8 @@ def select_ranks(df: DataFrame, cols: Sequence[str], qs: Sequence[float], ranks:
     column and quantile; no task ever sees a column, and every size and distribution goes the same way.
     """
     value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
-    rows = df.select(*[v.alias(f"v{i}") for i, v in enumerate(value.values())])
+    # a one-row inline: the filter on the brackets would else repeat the columns' expressions for each of its bounds
+    rows = df.select(F.inline(F.array(F.struct(*[v.alias(f"v{i}") for i, v in enumerate(value.values())]))))
     seen = {}
     marks = _marks(qs, SKETCH)
     per_column = [F.struct(F.count(f"v{i}"), F.min(f"v{i}"), F.max(f"v{i}"), F.percentile_approx(f"v{i}", marks, SKETCH)) for i in range(len(cols))]

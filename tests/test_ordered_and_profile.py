@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from demandframe.functions import columns as fc
 from demandframe.operators import lookup, ordered, profile, ranking
 from demandframe.operators.ordered import Blocking
 
@@ -199,3 +200,16 @@ def test_median_matches_statistics(spark):
     given = [4.0, 1.0, 3.0, 2.0]
     row = profile.quantile_row(spark.createDataFrame([(v,) for v in given], "x double"), ["x"], [0.5]).first()
     assert row["x"][0] == statistics.median(given)
+
+
+def test_a_round_of_selection_computes_a_column_once(spark, monkeypatch):
+    """And not anew for each bound of each bracket."""
+    df = spark.range(30_000).selectExpr("CAST(id * 7919 % 30011 AS STRING) AS t").select(fc.number_or_null("t").alias("v"))
+    plans, collect = [], type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: plans.append(self._jdf.queryExecution().optimizedPlan().toString()) or collect(self))
+    got = profile.select_ranks(df, ["v"], [0.1, 0.3, 0.5, 0.7, 0.9], lambda n, q: {int(n * q), int(n * q) + 1})["v"]
+    monkeypatch.undo()
+    ordered_values = sorted(r.v for r in df.collect())
+    assert got == (30_000, {r: ordered_values[r] for q in (0.1, 0.3, 0.5, 0.7, 0.9) for r in (int(30_000 * q), int(30_000 * q) + 1)})
+    # twice (the value, and whether it is NaN) in each of the two parts of a round
+    assert plans and max(p.count("RLIKE") for p in plans) <= 4
