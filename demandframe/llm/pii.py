@@ -206,6 +206,20 @@ def _different(texts: DataFrame) -> DataFrame:
     return texts.groupBy("text_key").agg(F.first("text").alias("text"))
 
 
+def _texts_of_words(texts: DataFrame, entities: DataFrame) -> DataFrame:
+    """(term, n_t): how many different texts hold a word, for every word of (text_key, text).
+
+    Words are counted over all rows, in each task first, so that a frequent word is a few rows before anything meets it; then what the
+    further copies of a text have added is taken off. Only texts that have copies are folded for that.
+    """
+    counted = texts.select(F.explode(_words(F.col("text"))).alias("term"), F.lit(1).cast("long").alias("n"))
+    copied = materialise(entities.groupBy("text_key").agg(F.count("*").alias("rows")).where("rows > 1"), "copied")
+    if not copied.isEmpty():
+        folded = _different(texts.join(copied.select("text_key"), "text_key", "left_semi")).join(copied, "text_key")
+        counted = counted.union(folded.select(F.explode(_words(F.col("text"))).alias("term"), (1 - F.col("rows")).alias("n")))
+    return counted.groupBy("term").agg(F.sum("n").alias("n_t"))
+
+
 def revealing_terms(docs: DataFrame, entities: DataFrame, text: str = "text", disclosure: float = 0.8, contexts: int = 3) -> DataFrame:
     """(term, disclosure): terms that disclose at least that share of some entity's information."""
     near = materialise(entities.select("text_key", F.explode(F.transform("spans", lambda s: s["value"])).alias("entity")).distinct(), "near")
@@ -231,9 +245,9 @@ def revealing_terms(docs: DataFrame, entities: DataFrame, text: str = "text", di
     least = held.groupBy("term").agg(F.count("*").alias("n_t"))
     pairs = pairs.join(least, "term").join(several, "entity").join(total).where(share >= disclosure).drop("n_t")
     pairs = materialise(pairs, "pairs")
-    wanted = pairs.select("term").distinct()
-    of_term = _texts(docs, text).select("text_key", F.explode(_words(F.col("text"))).alias("term")).join(wanted, "term").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    scored = pairs.join(of_term, "term")
+    if pairs.isEmpty():
+        return pairs.select("term", F.lit(1.0).alias("disclosure"))
+    scored = pairs.join(_texts_of_words(_texts(docs, text), entities), "term")
     return materialise(scored.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= disclosure), "terms")
 
 

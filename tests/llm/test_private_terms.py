@@ -153,3 +153,35 @@ def test_all_texts_of_a_key_are_compared(spark):
     got = {first[r.text_key]: r.context for r in pii._classes(df).collect()}
     assert all(got[a] == got[b] for a, b in links)
     assert len(set(got.values())) == len(own) - len(links)  # each pair is a class of its own
+
+
+def test_words_are_counted_before_they_meet_pairs(spark, planted, monkeypatch):
+    """Each word's different texts are those of a plain count, and no row per text and word reaches a join on the word."""
+    df, joined = spark.createDataFrame(list(enumerate(planted)), "doc_id long, text string"), []
+    join = type(df).join
+
+    def noted(self, other, on=None, how="inner"):
+        if on == "term" and set(self.columns) >= {"entity", "n_te"}:
+            joined.append(other)
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(type(df), "join", noted)
+    kept, materialise = [], pii.materialise
+    monkeypatch.setattr(pii, "materialise", lambda d, what="part", *f: (kept.append((what, d)), materialise(d, what, *f))[1])
+    assert not pii.revealing_terms(df, pii.found_entities(df, "doc_id", "text")).isEmpty()
+    holds = defaultdict(set)
+    for t in {r or "" for r in planted}:
+        for w in words(t):
+            holds[w].add(t)
+    assert len(planted) > len(set(planted))
+    got = joined[-1].collect()
+    assert {r.term: r.n_t for r in got} == {w: len(ts) for w, ts in holds.items()} and len(got) == len(holds)
+    # below a join on the word, an aggregate folds the words as soon as texts are cut into them
+    plan = next(d for what, d in kept if what == "terms")._jdf.queryExecution().optimizedPlan().toString()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    above = []
+    for line in plan.splitlines():
+        above = [a for a in above if depth(a) < depth(line)] + [line]
+        if "Generate explode" in line:
+            last = next(a for a in reversed(above[:-1]) if "Join Inner" in a or "Aggregate" in a)
+            assert "Aggregate [term" in last
