@@ -170,3 +170,21 @@ def test_the_arcs_may_be_forgotten(monkeypatch):
     small, full = sentencepiece_fst.Transducer(PIECE), sentencepiece_fst.transducer(PIECE)
     for t in odd_texts(60, 4):
         assert small.encode(t) == full.encode(t)
+
+
+@pytest.mark.parametrize("path, blank", [(BYTE, True), (WORD, False)])
+@pytest.mark.parametrize("special_as_text", [True, False])
+def test_words_go_to_the_model(path, blank, special_as_text):
+    """Ids are the library's for words of all the letters that go to its model, with marks and line ends, and such words go no other way."""
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = special_as_text
+    rng, encoder = random.Random(6), ChunkEncoder(path, blank, 500, special_as_text)
+    letters = [chr(c) for c in range(0xC0, 0x100)] + list("abcdefghijklmnopqrstuvwxyzABCST") * 2 + ["'s", "µ", "ª"]
+    word = lambda: "".join(rng.choices(letters, k=rng.randrange(1, 12))) + rng.choice(["", "", ".", ",\n", "\n", ".\n", "!?", "'", "***", ".\n\n", "$%&#!", "\t"])
+    texts = ["".join(word() + rng.choice([" ", " ", ""]) for _ in range(60)).rstrip() for _ in range(300)] + ["<|EndOfText|> A.", "<|endoftext|> A", "A<|endoftext|", "İi A, Σ Σ."]
+    for _ in range(2):
+        assert encoder.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    went = []
+    encoder._chunks = lambda chunks: went.extend(chunks) or iter(())
+    encoder.encode(["x Newword, Éàword newerword."])
+    assert went == []
