@@ -188,3 +188,5 @@ def test_words_go_to_the_model(path, blank, special_as_text):
     encoder._chunks = lambda chunks: went.extend(chunks) or iter(())
     encoder.encode(["x Newword, Éàword newerword."])
     assert went == []
+    encoder.encode(["x newestword,\nÉànewestword."])  # a line's end between words
+    assert went == []
