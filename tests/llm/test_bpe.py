@@ -92,3 +92,55 @@ def test_query(spark):
         expected[d] = (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
     got = queries.op11_bpe(spark, folder).collect()
     assert {r.doc_id: tuple(r)[1:] for r in got} == expected and len(got) == len(docs)
+
+
+def ids_of(library, texts):
+    return [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_new_words_cost_no_step_of_their_own(monkeypatch):
+    """Plain words that were never seen: the library's cutter sees none of them, and no loop runs over one word alone."""
+    rng = random.Random(7)
+    m, library = Merges(WORD), Tokenizer.from_file(WORD)
+    words = ["".join(rng.choice(["th", "er", "ation", "é", "ß", "Un", "z"]) for _ in range(rng.randrange(1, 9))) for _ in range(4000)]
+    texts = [" ".join(w + rng.choice(["", ",", ".", "!!"]) for w in words[i : i + 100]) for i in range(0, len(words), 100)]
+    cut, alone, seen = m.cut, m._word, []
+    monkeypatch.setattr(m, "cut", lambda s: seen.append(len(s)) or cut(s))
+    monkeypatch.setattr(m, "_word", lambda *a: seen.append(1000) or alone(*a))
+    got = [np.frombuffer(x, "<u4").tolist() for x in m.encode(texts)]
+    assert sum(seen) < 100, sum(seen)
+    assert got == ids_of(library, texts)
+
+
+def test_plain_words_and_marks(monkeypatch):
+    monkeypatch.setattr(bpe_backtrack, "TAILS", 3)
+    rng = random.Random(8)
+    m, library = Merges(WORD), Tokenizer.from_file(WORD)
+    assert m.plain_words and not Merges(BYTE).plain_words
+    letters, marks = "abzAÀÖØöøÿßÞẞŸ×÷ªµ", "!'\"-_`~{}#*.,$"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 6))) + "".join(rng.choice(marks) for _ in range(rng.randrange(6))) for _ in range(3000)]
+    texts += ["don't", "we'll'", "L'été,", "éa!", "a̧", "A" * 48 + "!", "A" * 49 + "!", "é" * 48, "<|endoftext|", "a'S", "ab's."]
+    for _ in range(2):
+        for i in range(0, len(texts), 500):
+            assert [np.frombuffer(x, "<u4").tolist() for x in m.encode(texts[i : i + 500])] == ids_of(library, texts[i : i + 500])
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_together_as_alone(path, monkeypatch):
+    """Short words, long words in stretches, and a table of pairs with few places."""
+    monkeypatch.setattr(bpe_backtrack, "PLACES", 5)
+    rng = random.Random(9)
+    m, library = Merges(path), Tokenizer.from_file(path)
+    words = ["".join(rng.choice("abinthe") for _ in range(n)) for n in [*range(1, 60)] * 5 + [200, 500, 3000, 20_000]] + ["a" * n for n in (1, 2, 47, 48, 49, 3000)]
+    expected = ids_of(library, words)
+    assert [np.frombuffer(x, "<u4").tolist() for x in m._together(words)] == expected
+    assert [np.frombuffer(x, "<u4").tolist() for w in (words, words[-1:]) for x in m._alone(w)] == [*expected, expected[-1]]
+    assert [np.frombuffer(x, "<u4").tolist() for x in m._words(words)] == expected
+
+
+def test_edges():
+    rng = random.Random(10)
+    child = {rng.randrange(1000) * 50 + rng.randrange(50): i for i in range(20_000)}
+    edges = bpe_backtrack.Edges(child, 50)
+    nodes, symbols = (x.ravel() for x in np.meshgrid(np.arange(1000), np.arange(50)))
+    assert edges.find(nodes, symbols).tolist() == [child.get(k, -1) for k in (nodes * 50 + symbols).tolist()]
