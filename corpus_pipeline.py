@@ -15,6 +15,8 @@ from demandframe.llm.common import fresh, materialise
 
 #: Documents with this score or a higher one are rejected.
 TOXIC = 0.7
+#: Chunks that a worker of the packing stage remembers: few, as the stages after one another share an executor's memory.
+KEPT = 200_000
 
 
 def _counted(docs: DataFrame, like: DataFrame) -> DataFrame:
@@ -45,7 +47,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their ids."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, with_ids=True)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 0, with_ids=True, kept=KEPT)
 
 
 STAGES = [

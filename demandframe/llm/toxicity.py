@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandframe.llm.common import materialise
+from demandframe.llm.common import held, materialise, release
 from demandframe.llm.hashing import BITS, Bytes, bucket, gradient_steps, groups
 
 #: Labelled documents of each class that the model is fitted on at most, features it keeps, and documents a feature needs.
@@ -131,6 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     rows = rows.groupBy("id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         all_ = [(t, y) for b in batches for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
         model = fit([t for t, _ in all_], np.array([y for _, y in all_]))
         used = np.flatnonzero(model.table)
@@ -144,14 +145,8 @@ def load(model: bytes) -> Model:
     return Model(*pickle.loads(model))
 
 
-_LOADED: dict[int, Model] = {}
-
-
 def _model(model: bytes) -> Model:
-    if hash(model) not in _LOADED:
-        _LOADED.clear()
-        _LOADED[hash(model)] = load(model)
-    return _LOADED[hash(model)]
+    return held(("toxicity", model), lambda: load(model))
 
 
 def scored(docs: DataFrame, model: bytes, text: str = "text", out: str = "score") -> DataFrame:

@@ -190,3 +190,20 @@ def test_words_go_to_the_model(path, blank, special_as_text):
     assert went == []
     encoder.encode(["x newestword,\nÉànewestword."])  # a line's end between words
     assert went == []
+
+
+def test_memory_of_a_worker():
+    """Chunks are forgotten however short they are, and a worker keeps one vocabulary or model, not those of all stages."""
+    from demandframe.llm import common, tokenise, toxicity
+
+    path, words = public_tokenizers.path("byte_bpe_50k.json"), [f"{k:06x}" for k in range(4000)]
+    encoder = tokenise.encoder(path, True, kept=1000)
+    for i in range(0, 4000, 100):
+        encoder.encode([" ".join(words[i : i + 100])])
+        assert len(encoder.memo) <= 1000
+    assert tokenise.encoder(path, True, kept=1000) is encoder
+    model = toxicity._model(toxicity.pickle.dumps((np.array([3]), np.array([0.5]), -1.0)))
+    assert list(common._HELD.values()) == [model]
+    assert tokenise.encoder(path, True, kept=1000) is not encoder
+    common.release()
+    assert not common._HELD
